@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from debutrank.functions.periods import season_label, season_start
+
 GAMES_PER_DOCUMENT = 10_000
 
 
@@ -94,3 +96,15 @@ def compact(documents: DataFrame, keys: Sequence[str], stats: Sequence[str]) ->
 
     with_stats = F.filter(F.map_entries("seasons"), lambda e: e["value"]["all"].isNotNull())
     return documents.select(*keys, F.transform(with_stats, entry).alias("seasons"))
+
+
+def with_labels(documents: DataFrame) -> DataFrame:
+    """Season labels instead of years as map keys, as JSON files need text keys."""
+    labelled = F.transform_keys("seasons", lambda k, _: season_label(k))
+    return documents.withColumn("seasons", labelled)
+
+
+def with_years(documents: DataFrame) -> DataFrame:
+    """Years instead of season labels as map keys."""
+    years = F.transform_keys("seasons", lambda k, _: season_start(k))
+    return documents.withColumn("seasons", years)

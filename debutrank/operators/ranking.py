@@ -18,30 +18,36 @@ def extrema(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _bounds(rows: DataFrame, columns: Sequence[str]):
-    """The extrema as a scalar subquery: one row by construction, and no join."""
+def _with_bounds(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add the extrema as one struct: a scalar subquery, so one row by construction.
+
+    It is a column of its own rather than part of each expression, so that it is
+    planned once however many columns use it.
+    """
     one = extrema(rows, columns)
-    return one.select(F.struct(*one.columns).alias("bounds")).scalar()
+    return rows.withColumn("_bounds", one.select(F.struct(*one.columns)).scalar())
 
 
 def rescale(rows: DataFrame, columns: Sequence[str] | str, top: float = 100.0) -> DataFrame:
     """Rescale each column to 0..top over all rows, shifting a column with a negative minimum."""
     columns = [columns] if isinstance(columns, str) else list(columns)
-    bounds = _bounds(rows, columns)
-    return rows.withColumns(
-        {
-            c: shifted_rescale(F.col(c), bounds[f"{c}_min"], bounds[f"{c}_max"], top)
-            for c in columns
-        }
-    )
+
+    def value(c):
+        low, high = F.col(f"_bounds.{c}_min"), F.col(f"_bounds.{c}_max")
+        return shifted_rescale(F.col(c), low, high, top)
+
+    bounded = _with_bounds(rows, columns)
+    return bounded.select(*[value(c).alias(c) if c in columns else c for c in rows.columns])
 
 
 def rescale_columns(rows: DataFrame, columns: Sequence[str], top: float = 100.0) -> DataFrame:
     """Rescale each column by its own maximum, without a shift."""
-    bounds = _bounds(rows, columns)
-    return rows.withColumns(
-        {c: plain_rescale(F.col(c), bounds[f"{c}_max"], top) for c in columns}
-    )
+
+    def value(c):
+        return plain_rescale(F.col(c), F.col(f"_bounds.{c}_max"), top)
+
+    bounded = _with_bounds(rows, columns)
+    return bounded.select(*[value(c).alias(c) if c in columns else c for c in rows.columns])
 
 
 def with_group(

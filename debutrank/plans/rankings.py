@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from debutrank.categories import CATEGORIES, Category, category
 from debutrank.operators.ranking import group_sum_count, rescale, with_group
 from debutrank.operators.scoring import score_columns, score_entities
+from debutrank.session import written
 
 ALL = tuple(c.name for c in CATEGORIES)
 
@@ -44,9 +45,12 @@ def rank_groups(
 def rank_entities_all(
     seasons: DataFrame, profile: DataFrame, categories: Sequence[str | Category] = ALL
 ) -> DataFrame:
-    """``entity`` and a rescaled ``<short>_score`` per category."""
+    """``entity`` and a rescaled ``<short>_score`` per category.
+
+    The raw scores are written once: the rescaling and all that follows read them.
+    """
     columns = score_columns(categories)
-    return rescale(score_entities(seasons, profile, categories), columns)
+    return rescale(written(score_entities(seasons, profile, categories), "scores"), columns)
 
 
 def rank_groups_all(
@@ -58,4 +62,5 @@ def rank_groups_all(
     """``grp``, a rescaled ``<short>_score`` per category, and ``members``."""
     columns = score_columns(categories)
     scores = score_entities(seasons, profile, categories)
-    return rescale(group_sum_count(with_group(scores, members), "grp", columns), columns)
+    grouped = group_sum_count(with_group(scores, members), "grp", columns)
+    return rescale(written(grouped, "group-scores"), columns)

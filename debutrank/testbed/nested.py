@@ -99,10 +99,10 @@ def scan_documents(spark, sf_dir):
 
 @R.query("sink_documents", _FLAT_SQL)
 def sink_documents(spark, sf_dir):
-    rows = documents(spark, sf_dir)
+    rows = docs.with_labels(documents(spark, sf_dir))
     path = shared_path(spark, "documents-json")
     rows.write.mode("overwrite").json(path)
-    return _flat(spark.read.schema(rows.schema).json(path))
+    return _flat(docs.with_years(spark.read.schema(rows.schema).json(path)))
 
 
 @R.query(

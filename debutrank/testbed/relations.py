@@ -195,7 +195,7 @@ def dense_number(spark, sf_dir):
   {snap_sql("CAST(sum(price) AS DOUBLE) / games")} AS game_score,
   {snap_sql("CAST(sum(margin) AS DOUBLE) / games")} AS plus_minus
 FROM (SELECT o_custkey AS entity, year(o_orderdate) AS period,
-    CASE WHEN l_returnflag <> 'A' THEN CAST(l_extendedprice AS DECIMAL(18,4)) END AS price,
+    CASE WHEN l_returnflag <> 'A' THEN CAST(l_extendedprice AS DECIMAL(18,4)) ELSE 0 END AS price,
     CAST(l_extendedprice AS DECIMAL(18,4)) - CAST(o_totalprice AS DECIMAL(18,4)) AS margin,
     count(DISTINCT (l_orderkey, l_linenumber))
       OVER (PARTITION BY o_custkey, year(o_orderdate)) AS games

@@ -545,6 +545,7 @@ def topk_per_category(spark, sf_dir):
 @R.query(
     "drilldown",
     _ROLLED
+    + _ranked_cte("scores", "ranked", "entity")
     + _presented_cte("rolled", "states", "region")
     + f""" SELECT places.region, {snap_sql("states.score", "1e3")} AS region_score, places.grp,
   {snap_sql("totals.score", "1e3")} AS grp_score, members.entity, members.name,

@@ -48,6 +48,67 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _total(value: str, condition: str = "true") -> str:
+    picked = value if condition == "true" else f"CASE WHEN {condition} THEN {value} END"
+    return f"coalesce(cast(sum({picked}) as double), 0D)"
+
+
+_SUMS = {
+    "q": _total("quantity"),
+    "q_f": _total("quantity", "l_linestatus = 'F'"),
+    "q_n": _total("quantity", "l_returnflag = 'N'"),
+    "q_nf": _total("quantity", "l_returnflag = 'N' AND l_linestatus = 'F'"),
+    "q_o": _total("quantity", "l_returnflag <> 'N'"),
+    "q_of": _total("quantity", "l_returnflag <> 'N' AND l_linestatus = 'F'"),
+    "d": _total("discount"),
+    "t": _total("tax"),
+    "p": _total("price"),
+    "pm": _total("price - cast(0.25 as decimal(3,2)) * order_price"),
+    "c": "count(*)",
+    "r_o": "count_if(l_returnflag = 'R' AND l_linestatus <> 'F')",
+    "r_f": "count_if(l_returnflag = 'R' AND l_linestatus = 'F')",
+    "r": "count_if(l_returnflag = 'R')",
+    "big": "count_if(discount >= 0.08BD)",
+    "a_f": "count_if(l_returnflag = 'A' AND l_linestatus = 'F')",
+    "a": "count_if(l_returnflag = 'A')",
+}
+
+# Statistic -> (numerator, denominator, scale).
+_STATS = {
+    "games_played": ("n", "1", "1D"),
+    "played_minutes": ("q", "c", "1D"),
+    "field_goals": ("q_f", "n", "1D"),
+    "field_goals_attempted": ("q", "n", "1D"),
+    "field_goals_percentage": ("q_f", "q", "1D"),
+    "three_field_goals": ("q_nf", "n", "1D"),
+    "three_field_goals_attempted": ("q_n", "n", "1D"),
+    "three_field_goals_percentage": ("q_nf", "q_n", "1D"),
+    "two_field_goals": ("q_of", "n", "1D"),
+    "two_field_goals_attempted": ("q_o", "n", "1D"),
+    "two_field_goals_percentage": ("q_of", "q_o", "1D"),
+    "effective_field_goals_percentage": ("q_f + 0.5D * q_nf", "q", "1D"),
+    "free_throws": ("a_f", "n", "1D"),
+    "free_throws_attempted": ("a", "n", "1D"),
+    "free_throws_percentage": ("a_f", "a", "1D"),
+    "offensive_rebounds": ("100D * d", "n", "1D"),
+    "defensive_rebounds": ("100D * t", "n", "1D"),
+    "total_rebounds": ("100D * (d + t)", "n", "1D"),
+    "assists": ("suppliers", "n", "1D"),
+    "steals": ("r_o", "n", "1D"),
+    "blocks": ("r_f", "n", "1D"),
+    "turnovers": ("big", "n", "1D"),
+    "personal_fouls": ("r", "n", "1D"),
+    "points": ("p", "n", "1000D"),
+    "game_score": ("p", "nl", "1000D"),
+    "plus_minus": ("pm", "nl", "1000D"),
+}
+
+
+def _ratio(numerator: str, denominator: str, scale: str) -> str:
+    ratio = f"try_divide(cast({numerator} as double), cast({denominator} as double))"
+    return f"coalesce({ratio}, 0D) / {scale}"
+
+
 def build_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """26 statistics per customer and year.
 
@@ -57,34 +118,7 @@ def build_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     keys = ["entity", "period"]
     lines = order_lines(spark, sf_dir)
-    finished = F.col("l_linestatus") == "F"
-    new = F.col("l_returnflag") == "N"
-    returned = F.col("l_returnflag") == "R"
-    accepted = F.col("l_returnflag") == "A"
-    quantity = F.col("quantity")
-
-    def total(column: Column, name: str) -> Column:
-        return F.coalesce(F.sum(column).cast("double"), F.lit(0.0)).alias(name)
-
-    sums = lines.groupBy(*keys).agg(
-        total(quantity, "q"),
-        total(F.when(finished, quantity), "q_f"),
-        total(F.when(new, quantity), "q_n"),
-        total(F.when(new & finished, quantity), "q_nf"),
-        total(F.when(~new, quantity), "q_o"),
-        total(F.when(~new & finished, quantity), "q_of"),
-        total(F.col("discount"), "d"),
-        total(F.col("tax"), "t"),
-        total(F.col("price"), "p"),
-        total(F.col("price") - F.expr("cast(0.25 as decimal(3,2))") * F.col("order_price"), "pm"),
-        F.count("*").alias("c"),
-        F.count_if(returned & ~finished).alias("r_o"),
-        F.count_if(returned & finished).alias("r_f"),
-        F.count_if(returned).alias("r"),
-        F.count_if(F.col("discount") >= F.expr("0.08BD")).alias("big"),
-        F.count_if(accepted & finished).alias("a_f"),
-        F.count_if(accepted).alias("a"),
-    )
+    sums = lines.groupBy(*keys).agg(*[F.expr(f"{e} AS {n}") for n, e in _SUMS.items()])
     lines_of_order = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
@@ -98,41 +132,7 @@ def build_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     suppliers = lines.groupBy(*keys).agg(F.count_distinct("l_suppkey").alias("suppliers"))
     parts = sums.join(games, keys).join(suppliers, keys)
-
-    c = F.col
-
-    def ratio(x: Column, y: Column) -> Column:
-        return F.coalesce(F.try_divide(x.cast("double"), y.cast("double")), F.lit(0.0))
-
-    formulas = {
-        "games_played": c("n").cast("double"),
-        "played_minutes": ratio(c("q"), c("c")),
-        "field_goals": ratio(c("q_f"), c("n")),
-        "field_goals_attempted": ratio(c("q"), c("n")),
-        "field_goals_percentage": ratio(c("q_f"), c("q")),
-        "three_field_goals": ratio(c("q_nf"), c("n")),
-        "three_field_goals_attempted": ratio(c("q_n"), c("n")),
-        "three_field_goals_percentage": ratio(c("q_nf"), c("q_n")),
-        "two_field_goals": ratio(c("q_of"), c("n")),
-        "two_field_goals_attempted": ratio(c("q_o"), c("n")),
-        "two_field_goals_percentage": ratio(c("q_of"), c("q_o")),
-        "effective_field_goals_percentage": ratio(c("q_f") + F.lit(0.5) * c("q_nf"), c("q")),
-        "free_throws": ratio(c("a_f"), c("n")),
-        "free_throws_attempted": ratio(c("a"), c("n")),
-        "free_throws_percentage": ratio(c("a_f"), c("a")),
-        "offensive_rebounds": ratio(F.lit(100.0) * c("d"), c("n")),
-        "defensive_rebounds": ratio(F.lit(100.0) * c("t"), c("n")),
-        "total_rebounds": ratio(F.lit(100.0) * (c("d") + c("t")), c("n")),
-        "assists": ratio(c("suppliers"), c("n")),
-        "steals": ratio(c("r_o"), c("n")),
-        "blocks": ratio(c("r_f"), c("n")),
-        "turnovers": ratio(c("big"), c("n")),
-        "personal_fouls": ratio(c("r"), c("n")),
-        "points": ratio(c("p"), c("n")) / F.lit(1000.0),
-        "game_score": ratio(c("p"), c("nl")) / F.lit(1000.0),
-        "plus_minus": ratio(c("pm"), c("nl")) / F.lit(1000.0),
-    }
-    return parts.select(*keys, *[F.round(formulas[s], 9).alias(s) for s in STATS])
+    return parts.selectExpr(*keys, *[f"round({_ratio(*_STATS[s])}, 9) AS {s}" for s in STATS])
 
 
 def forget() -> None:
