@@ -1,7 +1,7 @@
 """Look-ups, existence checks and upserts as joins.
 
-None of these carries a broadcast hint: the sides grow with the data, so Spark picks
-the strategy from their sizes, and splits skewed partitions at run time.
+Sides that grow with the data carry no broadcast hint: Spark picks the strategy from
+their sizes, and splits skewed partitions at run time.
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from debutrank.functions.cells import MISSING_GROUP, MISSING_REGION
 from debutrank.operators.dedupe import dedupe_first, dedupe_last
+from debutrank.operators.numbering import dense_number
+
+# Rows of a key list that may be sorted by a top-n and broadcast.
+SHORT_LIST = 100_000
 
 
 def look_up(
@@ -76,10 +80,19 @@ def upsert(
 
 
 def limit_entities(rows: DataFrame, entity: str, limit: int = -1) -> DataFrame:
-    """Rows of the first ``limit`` entities in key order; -1 keeps all."""
+    """Rows of the first ``limit`` entities in key order; -1 keeps all.
+
+    A short list of entities is sorted by a top-n and broadcast, its size being given by
+    the limit. A long one is numbered in partitions and joined as Spark sees fit.
+    """
     if limit < 0:
         return rows
-    chosen = rows.select(entity).distinct().orderBy(entity).limit(limit)
+    entities = rows.select(entity).distinct()
+    if limit <= SHORT_LIST:
+        chosen = F.broadcast(entities.orderBy(entity).limit(limit))
+    else:
+        chosen = dense_number(entities, entity, "_number").filter(F.col("_number") < limit)
+        chosen = chosen.select(entity)
     return rows.join(chosen, entity, "left_semi")
 
 

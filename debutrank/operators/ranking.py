@@ -72,8 +72,10 @@ def sum_and_last(
     rows: DataFrame, name: str, score: str, last: str, order: Sequence[str]
 ) -> DataFrame:
     """Per name: the sum of the scores, and ``last`` of the final row in ``order``."""
+    # A plain column keeps the aggregation on the hash path; a struct needs a sort.
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return rows.groupBy(name).agg(
-        F.sum(score).alias(score), F.max_by(last, F.struct(*order)).alias(last)
+        F.sum(score).alias(score), F.max_by(last, position).alias(last)
     )
 
 

@@ -17,11 +17,15 @@ def merge_categories(
 ) -> DataFrame:
     """Left join the base rows to their scores in all categories.
 
-    ``scores`` is long (key, category, score) with one row per key and category; one
-    pivot and one join replace a join per category.
+    ``scores`` is long (key, category, score) with one row per key and category. One
+    aggregation and one join, both on the key, replace a join per category.
     """
-    wide = scores.groupBy(key).pivot("category", list(shorts)).agg(F.first("score"))
-    wide = wide.withColumnsRenamed({s: f"{s}_score" for s in shorts})
+    wide = scores.groupBy(key).agg(
+        *[
+            F.max(F.when(F.col("category") == s, F.col("score"))).alias(f"{s}_score")
+            for s in shorts
+        ]
+    )
     return base.join(wide, key, "left")
 
 

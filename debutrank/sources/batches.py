@@ -40,8 +40,7 @@ def with_prefix(df: DataFrame, key: str, name: str = "prefix") -> DataFrame:
 def by_prefix(df: DataFrame, key: str, spread: int = 16, name: str = "prefix") -> DataFrame:
     """Bring rows of one prefix together, in ``spread`` pieces so that a hot letter is split."""
     piece = F.pmod(F.xxhash64(key), F.lit(spread))
-    labelled = with_prefix(df, key, name)
-    return labelled.repartition((len(PREFIXES) + 1) * spread, F.col(name), piece)
+    return with_prefix(df, key, name).repartition(F.col(name), piece)
 
 
 def with_fixed_batch(
