@@ -15,13 +15,18 @@ OPS = ("mean", "variance", "max", "min")
 DIGITS = 9
 
 
+# One short SQL text per measure: the profile has over a hundred of them.
+_MEASURES = {
+    "mean": "round(avg({x}), {digits})",
+    "variance": "round(coalesce(var_samp({x}), 0D), {digits})",
+    "max": "max({x})",
+    "min": "min({x})",
+}
+
+
 def _measure(op: str, stat: str, digits: int) -> Column:
-    col = F.coalesce(F.col(stat), F.lit(0.0))
-    if op == "mean":
-        return F.round(F.avg(col), digits)
-    if op == "variance":
-        return F.round(F.coalesce(F.var_samp(col), F.lit(0.0)), digits)
-    return F.max(col) if op == "max" else F.min(col)
+    measure = _MEASURES[op].format(x=f"coalesce(`{stat}`, 0D)", digits=digits)
+    return F.expr(f"{measure} AS `{stat}_{op}`")
 
 
 def profile(
@@ -41,7 +46,7 @@ def profile(
     if unknown:
         raise ValueError(f"unknown profile measures {sorted(unknown)}")
     return seasons.groupBy(period).agg(
-        *[_measure(op, stat, digits).alias(f"{stat}_{op}") for op in ops for stat in stats]
+        *[_measure(op, stat, digits) for op in ops for stat in stats]
     )
 
 
