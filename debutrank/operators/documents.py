@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from debutrank.functions.periods import season_label, season_start
 
 GAMES_PER_DOCUMENT = 10_000
+SALTS = 256
 
 
 def game_means(
@@ -42,16 +43,10 @@ def nest(
     is split by a hash of the game key, so that no document or task has to hold all of
     them; every game is in exactly one part and every period's statistics are in part 0.
     """
-    sizes = games.groupBy(entity).agg(
-        F.ceil(F.count("*") / F.lit(games_per_document)).alias("_parts")
-    )
-    part = F.pmod(F.xxhash64(period, game), F.col("_parts")).cast("int")
+    rows = _with_part(games, entity, [period, game], games_per_document)
     game_entry = F.struct(F.col(game), F.struct(*game_fields))
-    game_maps = (
-        games.join(sizes, entity)
-        .withColumn("part", part)
-        .groupBy(entity, "part", period)
-        .agg(F.map_from_entries(F.collect_list(game_entry)).alias("games"))
+    game_maps = rows.groupBy(entity, "part", period).agg(
+        F.map_from_entries(F.collect_list(game_entry)).alias("games")
     )
     alls = season_stats.select(
         entity, F.lit(0).alias("part"), period, F.struct(*stats).alias("all")
@@ -64,6 +59,23 @@ def nest(
     )
 
 
+def _with_part(
+    games: DataFrame, entity: str, game_key: Sequence[str], games_per_document: int
+) -> DataFrame:
+    """Number of the document each game goes to.
+
+    Only entities that need several documents are joined, once per salt, so that the
+    games of such an entity are spread over many tasks.
+    """
+    parts = F.ceil(F.count("*") / F.lit(games_per_document))
+    large = games.groupBy(entity).agg(parts.alias("_parts")).filter("_parts > 1")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = games.withColumn("_salt", F.pmod(F.hash(*game_key), F.lit(SALTS)))
+    joined = salted.join(large.withColumn("_salt", salts), [entity, "_salt"], "left")
+    part = F.pmod(F.xxhash64(*game_key), F.coalesce("_parts", F.lit(1))).cast("int")
+    return joined.withColumn("part", part).drop("_salt", "_parts")
+
+
 def _entry_type(games: DataFrame, game: str, fields: Sequence[str]) -> str:
     entry = games.select(F.struct(F.col(game), F.struct(*fields).alias("fields")).alias("e"))
     return f"array<{entry.schema['e'].dataType.simpleString()}>"

@@ -27,7 +27,11 @@ def look_up(
     order: Sequence[str] | None = None,
     defaults: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Left join to the first match; without ``order`` the keys of ``table`` are unique."""
+    """Left join to the first match; without ``order`` the keys of ``table`` are unique.
+
+    A key may be repeated in ``table`` any number of times: one row of it per map task
+    is shuffled.
+    """
     if order:
         table = dedupe_first(table, keys, order)
     out = rows.join(table.select(*keys, *columns), list(keys), "left")

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from debutrank.operators.numbering import dense_number
 
@@ -38,8 +39,12 @@ def with_prefix(df: DataFrame, key: str, name: str = "prefix") -> DataFrame:
 
 
 def by_prefix(df: DataFrame, key: str, spread: int = 16, name: str = "prefix") -> DataFrame:
-    """Bring rows of one prefix together, in ``spread`` pieces so that a hot letter is split."""
-    piece = F.pmod(F.xxhash64(key), F.lit(spread))
+    """Bring rows of one prefix together, in ``spread`` pieces.
+
+    The pieces are chosen by the whole row, so that a hot letter or key is split.
+    """
+    columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    piece = F.pmod(F.xxhash64(*columns), F.lit(spread))
     return with_prefix(df, key, name).repartition(F.col(name), piece)
 
 
