@@ -16,9 +16,13 @@ from debutrank.operators.numbering import dense_number
 from debutrank.operators.profile import profile
 from debutrank.schemas import FILE_STATS, GAME_FIELDS, GAME_FILE, GAME_MEANS, STATS
 from debutrank.session import written
-from debutrank.sources.tsv import read_games, read_players, read_season_stats
-
-FILE_ORDER = ("_file", "_line")
+from debutrank.sources.tsv import (
+    FILE_ORDER,
+    read_games,
+    read_players,
+    read_season_stats,
+    with_file_order,
+)
 
 
 @dataclass(frozen=True)
@@ -30,15 +34,6 @@ class Tables:
     members: DataFrame
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Columns that order the rows as in the files they were read from."""
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_line"),
-    )
-
-
 def clean_games(games: DataFrame) -> DataFrame:
     """Empty cells become ``0``."""
     return default_missing(games, GAME_FILE.values())

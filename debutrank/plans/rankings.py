@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from debutrank.categories import CATEGORIES, Category, category
 from debutrank.operators.ranking import group_sum_count, rescale, with_group
-from debutrank.operators.scoring import score_columns, score_entities
+from debutrank.operators.scoring import long_scores, score_columns, score_entities
+from debutrank.plans.populate import Tables
 from debutrank.session import written
 
 ALL = tuple(c.name for c in CATEGORIES)
@@ -36,10 +37,12 @@ def rank_groups(
     """``grp, score, members``: the members' raw scores summed, then rescaled to 0..100."""
     column = f"{category(name).short}_score"
     scores = score_entities(seasons, profile, [name], scaled=scaled)
-    grouped = group_sum_count(
-        with_group(scores.withColumnRenamed(column, "score"), members), "grp", "score"
-    )
-    return rescale(grouped, "score")
+    return rank_groups_of(scores.withColumnRenamed(column, "score"), members)
+
+
+def rank_groups_of(scores: DataFrame, members: DataFrame) -> DataFrame:
+    """Like ``rank_groups``, from a stored table ``entity, score`` of raw scores."""
+    return rescale(group_sum_count(with_group(scores, members), "grp", "score"), "score")
 
 
 def rank_entities_all(
@@ -64,3 +67,15 @@ def rank_groups_all(
     scores = score_entities(seasons, profile, categories)
     grouped = group_sum_count(with_group(scores, members), "grp", columns)
     return rescale(written(grouped, "group-scores"), columns)
+
+
+def run(tables: Tables, action: str, groups: bool = False) -> DataFrame:
+    """The ranking for one action: a category name, or ``all`` for every category at once."""
+    if action == "all":
+        if groups:
+            wide = rank_groups_all(tables.seasons, tables.profile, tables.members)
+            return long_scores(wide, ["grp", "members"], ALL)
+        return long_scores(rank_entities_all(tables.seasons, tables.profile), ["entity"], ALL)
+    if groups:
+        return rank_groups(tables.seasons, tables.profile, tables.members, action)
+    return rank_entities(tables.seasons, tables.profile, action)

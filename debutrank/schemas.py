@@ -126,3 +126,25 @@ GAME_FIELDS = tuple(
 def text_schema(columns) -> T.StructType:
     """All-text schema: files are read as text and cast once afterwards."""
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def _score_file(*columns: str, text: tuple[str, ...]) -> T.StructType:
+    return T.StructType(
+        [T.StructField(c, T.StringType() if c in text else T.DoubleType()) for c in columns]
+    )
+
+
+# Columns of the score files, which have no header row.
+GROUP_FILE = _score_file(
+    "name",
+    "state",
+    "state_abbreviation",
+    "score",
+    "players",
+    text=("name", "state", "state_abbreviation"),
+)
+REGION_FILE = _score_file(
+    "name", "state_abbreviation", "score", "players", text=("name", "state_abbreviation")
+)
+CATEGORY_FILE = _score_file("name", "score", text=("name",))
+ALUMNI_FILE = _score_file("name", "score", "alumni", text=("name",))

@@ -90,15 +90,19 @@ def row_cells(
     width: int,
     name: str = "cells",
     position: str = "position",
+    skip: int = 0,
 ) -> DataFrame:
     """One row per page row that matches, as an array of cell texts.
 
     ``row_pattern`` has to ask for the expected id, so that other rows are skipped.
-    A row that is not ``width`` long gets one ``0`` appended.
+    The first ``skip`` cells are left out. A row that is then not ``width`` long gets
+    one ``0`` appended.
     """
     kept = [c for c in df.columns if c != html]
     rows = df.select(*kept, F.posexplode(matches(F.col(html), row_pattern)).alias(position, "_row"))
-    cells = F.transform(matches(F.col("_row"), cell_pattern, 0), direct_else_child)
+    found = matches(F.col("_row"), cell_pattern, 0)
+    kept_cells = F.slice(found, skip + 1, F.greatest(F.size(found) - skip, F.lit(0)))
+    cells = F.transform(kept_cells, direct_else_child)
     padded = F.when(F.size("_cells") == width, F.col("_cells")).otherwise(
         F.concat("_cells", F.array(F.lit(MISSING_CELL)))
     )
@@ -151,7 +155,7 @@ SEASON_CELL = {
 }
 SEASON_ROW = r'(?s)<tr[^<>]*id="per_game\.<key>"[^<>]*>(.*?)</tr>'
 GAME_ROW = r'(?s)<tr[^<>]*id="[^"]*pgl_basic[^"]*"[^<>]*>(.*?)</tr>'
-GAME_CELL = r"(?s)<td[^<>]*>.*?</td>"
+GAME_CELL = r"(?s)<t[dh][^<>]*>.*?</t[dh]>"
 
 
 def listing_players(df: DataFrame, html: str = "html") -> DataFrame:
@@ -177,5 +181,5 @@ def season_cells(df: DataFrame, html: str = "html", season: str = "season_end")
 
 
 def game_rows(df: DataFrame, html: str = "html", width: int = 29) -> DataFrame:
-    """Game rows of game-log pages, as arrays of cell texts (header cells are not cells)."""
-    return row_cells(df, html, GAME_ROW, GAME_CELL, width)
+    """Game rows of game-log pages, as arrays of cell texts without the leading rank."""
+    return row_cells(df, html, GAME_ROW, GAME_CELL, width, skip=1)

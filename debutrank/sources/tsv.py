@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from debutrank.schemas import GAME_FILE, PLAYER_FILE, SEASON_FILE, text_schema
+from debutrank.schemas import CATEGORY_FILE, GAME_FILE, PLAYER_FILE, SEASON_FILE, text_schema
+
+FILE_ORDER = ("_file", "_line")
 
 _DIALECT = {
     "sep": "\t",
@@ -42,6 +45,31 @@ def read_scores(spark: SparkSession, path: str, columns: T.StructType) -> DataFr
     return read_tsv(spark, path, columns, header=False).dropna(how="any")
 
 
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Columns that order the rows as in the files they were read from."""
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias(FILE_ORDER[0]),
+        F.monotonically_increasing_id().alias(FILE_ORDER[1]),
+    )
+
+
+def read_category_files(
+    spark: SparkSession, paths: Mapping[str, str], columns: T.StructType = CATEGORY_FILE
+) -> DataFrame:
+    """Score files of several categories as one table, with the file order.
+
+    ``paths`` maps the short name of a category to its file.
+    """
+    files = [
+        with_file_order(read_tsv(spark, path, columns, header=False))
+        .dropna(how="any", subset=columns.names)
+        .withColumn("category", F.lit(short))
+        for short, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, files)
+
+
 def read_players(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, list(PLAYER_FILE.values()))
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from debutrank.categories import CATEGORIES
 from debutrank.operators.documents import compact, season_rows, season_stat
-from debutrank.plans import populate, presentation, rankings
+from debutrank.plans import extract, populate, presentation, rankings
 from debutrank.schemas import GAME_FILE, PLAYER_FILE, SEASON_FILE, STATS
 from debutrank.operators.scoring import score_columns
 from debutrank.sources import pages, tsv
@@ -109,13 +109,77 @@ def test_region_totals(spark, tables):
     assert got["empty"].score == 0.0
 
 
+def test_run(tables):
+    players = rankings.run(tables, "all")
+    assert players.columns == ["entity", "category", "score"]
+    assert players.count() == 7 * 12
+    groups = {r.grp: r.score for r in rankings.run(tables, "attackers", groups=True).collect()}
+    every = rankings.run(tables, "all", groups=True).filter("category = 'att'").collect()
+    assert {r.grp: r.score for r in every} == pytest.approx(groups)
+    with pytest.raises(ValueError, match="unknown category"):
+        rankings.run(tables, "goalkeepers")
+
+
+def test_group_ranking_of_stored_scores(spark, tables):
+    scores = spark.createDataFrame([("p00", 1.0), ("p01", 4.0), ("p04", 1.0)], "entity string, score double")
+    got = rankings.rank_groups_of(scores, tables.members).collect()
+    assert {tuple(r) for r in got} == {("college 0", 50.0, 2), ("college 1", 100.0, 1)}
+
+
+def test_presentation_files(spark, tmp_path):
+    def file(name, *lines):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        return str(tmp_path / name)
+
+    base = file("groups", "A\tOhio\tOH\t1\t2", "B\tUtah\tUT\t3\t4", "A\tIowa\tIA\t9\t9")
+    paths = {"att": file("att", "A\t5", "A\t6", "Z\t1", "broken"), "def": file("def", "B\t2")}
+    got = {tuple(r) for r in presentation.group_table(spark, base, paths).collect()}
+    assert got == {("A", "Ohio", "OH", 1.0, 2.0, 6.0, None), ("B", "Utah", "UT", 3.0, 4.0, None, 2.0)}
+    base = file("regions", "Ohio\tOH\t1\t2")
+    paths = {"att": file("att_states", "Ohio\t7")}
+    assert tuple(presentation.region_table(spark, base, paths).first()) == ("Ohio", "OH", 1.0, 2.0, 7.0)
+    people = spark.createDataFrame([("p1", "Ann")], "player_id string, name string")
+    paths = {"att": file("player_att", "p1\t4", "p2\t5")}
+    assert tuple(presentation.entity_table(spark, people, paths).first()) == ("p1", "Ann", 4.0)
+    alumni = file("alumni", "A\t1\t3", "", "A\t2\t5", "B\t1\t1")
+    got = {tuple(r) for r in presentation.sum_and_last_alumni(spark, alumni).collect()}
+    assert got == {("A", 3.0, 5.0), ("B", 1.0, 1.0)}
+
+
+def test_extract(spark):
+    listing = """<tr><th data-append-csv="a01" data-stat="player"><a href="/a">Al</a></th>
+<td data-stat="year_min">2000</td><td data-stat="year_max">2000</td>
+<td data-stat="college_name"><a href="/c">Duke</a></td></tr>"""
+    colleges = spark.createDataFrame([("Duke", "North Carolina")], "college string, state string")
+    people = extract.players(html(spark, listing), colleges)
+    assert tuple(people.first()) == ("a01", "Al", "Duke", "North Carolina", "2000", "2000")
+
+    page = '<tr id="per_game.2000"><td data-stat="g">2</td><td data-stat="pts_per_g">4.5</td></tr>'
+    pages_of = spark.createDataFrame([("a01", page)], "player_id string, html string")
+    stats = extract.season_stats(people, pages_of)
+    got = {r.season: (r.games_played, r.points) for r in stats.collect()}
+    assert got == {"1999-2000": ("2", "4.5"), "2000-2001": (None, None)}
+    assert extract.season_stats(people, pages_of, first=4).count() == 4
+
+    cells = "".join(f"<td>{i}</td>" for i in range(1, 28)) + "<td><i>9.5</i></td>"
+    log = f'<table id="pgl_basic"><tr id="pgl_basic.7"><th>1</th>{cells}</tr></table>'
+    logs = spark.createDataFrame(
+        [("a01", "1999-2000", log), ("a01", "2000-2001", log)],
+        "player_id string, season string, html string",
+    )
+    (game,) = extract.games(stats, logs).collect()
+    assert (game.season, game.season_game, game.game_score, game.plus_minus) == (
+        "1999-2000", "1", "9.5", "0",
+    )
+
+
 def test_limit(spark, files):
     few = populate.populate(spark, files["players"], files["stats"], files["games"], limit=3)
     assert {r.entity for r in few.seasons.select("entity").distinct().collect()} == {"p00", "p01", "p02"}
 
 
 def test_documents(spark, tables, files):
-    games = populate.with_file_order(tsv.read_games(spark, files["games"]))
+    games = tsv.with_file_order(tsv.read_games(spark, files["games"]))
     docs = populate.documents(populate.clean_games(games), tables.seasons, tables.members)
     rows = docs.collect()
     assert sorted(r.number for r in rows) == list(range(12))
@@ -190,7 +254,7 @@ def test_season_page(spark):
 
 def test_game_rows(spark):
     page = """<table id="pgl_basic"><tbody>
-<tr id="pgl_basic.1"><th>1</th><td>1</td><td><a href="x">2000-11-01</a></td><td></td></tr>
+<tr id="pgl_basic.1"><td>1</td><td>1</td><td><a href="x">2000-11-01</a></td><td></td></tr>
 <tr class="thead"><th>Rk</th></tr>
 <tr id="pgl_basic.2"><th>2</th><td>2</td><td>Inactive</td></tr></tbody></table>"""
     got = pages.game_rows(html(spark, page), width=3).collect()
