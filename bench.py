@@ -12,10 +12,16 @@ import os
 import re
 import time
 
-from debutrank.session import local_session
+from debutrank.operators.joins import replicate
+from debutrank.operators.profile import profile
+from debutrank.plans.rankings import rank_groups
+from debutrank.session import local_session, written
+from debutrank.testbed import seasons as testbed
 from debutrank.testbed.queries import QUERIES
 from debutrank.testbed.seasons import forget
 
+COPIES = 8  # of every customer, for the timings on a larger number of entities
+
 HEADLINE = (
     "season_table",
     "profile_long",
@@ -41,12 +47,26 @@ def run(spark, sf_dir: str, name: str) -> float:
     return time.perf_counter() - started
 
 
+def run_replicated(spark, sf_dir: str, action: str) -> float:
+    """Group ranking with every customer replicated, from the raw tables on."""
+    forget()
+    started = time.perf_counter()
+    rows = written(replicate(testbed.seasons(spark, sf_dir), COPIES, "entity"), "replicated")
+    people = replicate(testbed.members(spark, sf_dir), COPIES, "entity")
+    ranked = rank_groups(rows, written(profile(rows), "profile"), people, action)
+    ranked.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - started
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "debutrank-bench")
     spark.sparkContext.setLogLevel("ERROR")
     warm_up = run(spark, sf_dir, "group_score_att")
     times = {name: round(run(spark, sf_dir, name), 3) for name in HEADLINE}
+    for action in ("attackers", "plus_minus"):
+        name = f"group_score_{action}_x{COPIES}"
+        times[name] = round(run_replicated(spark, sf_dir, action), 3)
     scale = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(

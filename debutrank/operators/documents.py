@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from debutrank.functions.periods import season_label, season_start
+from debutrank.session import written
 
 GAMES_PER_DOCUMENT = 10_000
 SALTS = 256
@@ -42,20 +43,28 @@ def nest(
     at most ``games_per_document`` games has one document (part 0). One with more games
     is split by a hash of the game key, so that no document or task has to hold all of
     them; every game is in exactly one part and every period's statistics are in part 0.
+    The games are written once, since they are counted before they are nested.
     """
-    rows = _with_part(games, entity, [period, game], games_per_document)
-    game_entry = F.struct(F.col(game), F.struct(*game_fields))
-    game_maps = rows.groupBy(entity, "part", period).agg(
-        F.map_from_entries(F.collect_list(game_entry)).alias("games")
+    parts = _with_part(written(games, "games"), entity, [period, game], games_per_document)
+    game_rows = parts.select(
+        entity, "part", period, F.struct(F.col(game), F.struct(*game_fields)).alias("_game")
     )
-    alls = season_stats.select(
+    stat_rows = season_stats.select(
         entity, F.lit(0).alias("part"), period, F.struct(*stats).alias("all")
     )
-    season_rows = game_maps.join(alls, [entity, "part", period], "full")
-    no_games = F.map_from_entries(F.array().cast(_entry_type(games, game, game_fields)))
-    season = F.struct(F.coalesce("games", no_games).alias("games"), F.col("all"))
-    return season_rows.groupBy(entity, "part").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(period), season))).alias("seasons")
+    # Both kinds of rows in one aggregation: joining them on the entity would bring
+    # all parts of a large one together again. Missing games make an empty map.
+    seasons = (
+        game_rows.unionByName(stat_rows, allowMissingColumns=True)
+        .groupBy(entity, "part", period)
+        .agg(
+            F.map_from_entries(F.collect_list("_game")).alias("games"),
+            F.any_value("all", ignoreNulls=True).alias("all"),
+        )
+    )
+    season = F.struct(F.col(period), F.struct("games", "all"))
+    return seasons.groupBy(entity, "part").agg(
+        F.map_from_entries(F.collect_list(season)).alias("seasons")
     )
 
 
@@ -76,11 +85,6 @@ def _with_part(
     return joined.withColumn("part", part).drop("_salt", "_parts")
 
 
-def _entry_type(games: DataFrame, game: str, fields: Sequence[str]) -> str:
-    entry = games.select(F.struct(F.col(game), F.struct(*fields).alias("fields")).alias("e"))
-    return f"array<{entry.schema['e'].dataType.simpleString()}>"
-
-
 def explode_seasons(documents: DataFrame, keys: Sequence[str], period: str = "period") -> DataFrame:
     """One row per document and period: the keys, ``games`` and ``all``."""
     return documents.select(*keys, F.explode("seasons").alias(period, "_s")).select(

@@ -101,15 +101,13 @@ def documents(games: DataFrame, seasons: DataFrame, members: DataFrame) -> DataF
     )
     nested = nest(rows, seasons, "entity", "period", "season_game", GAME_FIELDS, STATS)
     numbers = dense_number(seasons.select("entity").distinct(), "entity")
-    return (
-        nested.join(numbers, "entity")
-        .join(members.select("entity", "grp", "region"), "entity", "left")
-        .select(
-            F.col("entity").alias("player_id"),
-            F.col("grp").alias("college"),
-            F.col("region").alias("state"),
-            "number",
-            "part",
-            "seasons",
-        )
+    people = numbers.join(members.select("entity", "grp", "region"), "entity", "left")
+    # One join with the documents: Spark can split the parts of a large player there.
+    return nested.join(people, "entity").select(
+        F.col("entity").alias("player_id"),
+        F.col("grp").alias("college"),
+        F.col("region").alias("state"),
+        "number",
+        "part",
+        "seasons",
     )

@@ -207,8 +207,8 @@ def page_field_extract(spark, sf_dir):
     return pages.field_values(rows, "html", _FIELDS, key="page_id")
 
 
-_ROW = r'(<ul>(?:<li><a href="/[^"]*">[^<]*</a></li>)+</ul>)'
-_CELL = r"<li>.*?</li>"
+_ROW = r"(?s)(<ul>.*?</ul>)"
+_CELL = r"(?s)<li>.*?</li>"
 
 
 @R.query(
