@@ -41,8 +41,12 @@ def rank_groups(
 
 
 def rank_groups_of(scores: DataFrame, members: DataFrame) -> DataFrame:
-    """Like ``rank_groups``, from a stored table ``entity, score`` of raw scores."""
-    return rescale(group_sum_count(with_group(scores, members), "grp", "score"), "score")
+    """Like ``rank_groups``, from a stored table ``entity, score`` of raw scores.
+
+    The sums are written once: the extrema and the rescaling both read them.
+    """
+    grouped = group_sum_count(with_group(scores, members), "grp", "score")
+    return rescale(written(grouped, "group-scores"), "score")
 
 
 def rank_entities_all(

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from debutrank.functions.cells import MISSING_CELL, MISSING_GROUP
+from debutrank.functions.cells import MISSING_CELL, MISSING_GROUP, text_or
 
 KEY = "<key>"
 _TAG = r"<[^<>]*>"
@@ -36,14 +36,11 @@ def list_entries(
     lists = df.select(
         *kept, *[matches(F.col(html), p).alias(f"_{name}") for name, p in patterns.items()]
     )
-    rows = lists.select("*", F.posexplode(f"_{lead}").alias(position, "_lead"))
-    entry = {
-        name: F.coalesce(
-            F.nullif(F.get(F.col(f"_{name}"), F.col(position)), F.lit("")), F.lit(missing)
-        ).alias(name)
-        for name in patterns
-    }
-    return rows.select(*kept, position, *entry.values())
+    zipped = F.slice(F.arrays_zip(*[f"_{name}" for name in patterns]), 1, F.size(f"_{lead}"))
+    rows = lists.select(*kept, F.posexplode(zipped).alias(position, "_entry"))
+    return rows.select(
+        *kept, position, *[text_or(f"_entry._{name}", missing).alias(name) for name in patterns]
+    )
 
 
 def second_else_first(html: Column, pattern: str | Column) -> Column:

@@ -48,20 +48,23 @@ def documents(spark, sf_dir):
 
 
 def _flat(rows):
-    """Per document and period: number of games, quantity of all games, one statistic."""
-    seasons_of = docs.explode_seasons(rows, ["player_id", "college", "state", "number", "part"])
+    """Per customer and period: number of games, quantity of all games, one statistic.
+
+    Sums over the parts of a customer's document; most have one.
+    """
+    keys = [*_KEYS, "period"]
     quantity = F.aggregate(
         F.map_values("games"), F.lit(0.0), lambda acc, g: acc + g["l_quantity"]
     )
-    return seasons_of.select(
-        "player_id",
-        "college",
-        "state",
-        "number",
-        "period",
-        F.size("games").alias("games"),
-        quantity.alias("quantity"),
-        snap("all.points").alias("points"),
+    return (
+        docs.explode_seasons(rows, _KEYS)
+        .groupBy(*keys)
+        .agg(
+            F.sum(F.size("games")).cast("int").alias("games"),
+            F.sum(quantity).alias("quantity"),
+            F.max("all.points").alias("points"),
+        )
+        .withColumn("points", snap("points"))
     )
 
 
