@@ -50,7 +50,9 @@ def profile(
     )
 
 
-def profile_long(wide: DataFrame, period: str = "period", stats: Sequence[str] = STATS) -> DataFrame:
+def profile_long(
+    wide: DataFrame, period: str = "period", stats: Sequence[str] = STATS
+) -> DataFrame:
     """One row per period and statistic, the measures as columns."""
     entries = F.array(
         *[

@@ -88,7 +88,9 @@ def score_columns(categories: Sequence[Category | str]) -> list[str]:
     return [f"{category(c).short}_score" for c in categories]
 
 
-def long_scores(wide: DataFrame, keys: Sequence[str], categories: Sequence[Category | str]) -> DataFrame:
+def long_scores(
+    wide: DataFrame, keys: Sequence[str], categories: Sequence[Category | str]
+) -> DataFrame:
     """One row per key and category: ``category`` (short name) and ``score``."""
     entries = F.array(
         *[

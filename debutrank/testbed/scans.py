@@ -174,17 +174,8 @@ _FIELDS = {
 
 
 def _second_else_first_sql(name, pattern):
-    if pages.KEY in pattern:
-        before, after = pattern.split(pages.KEY)
-        pattern_sql = f"'{before}' || page_id || '{after}'"
-        return (
-            f"coalesce(regexp_extract_all(html, {pattern_sql}, 1)[2], "
-            f"regexp_extract_all(html, {pattern_sql}, 1)[1]) AS {name}"
-        )
-    return (
-        f"coalesce(regexp_extract_all(html, '{pattern}', 1)[2], "
-        f"regexp_extract_all(html, '{pattern}', 1)[1]) AS {name}"
-    )
+    found = f"regexp_extract_all(html, '{pattern}', 1)"
+    return f"coalesce({found}[2], {found}[1]) AS {name}"
 
 
 # The engine that checks the statements wants constant patterns: the keyed cell is
