@@ -13,7 +13,6 @@ import re
 import time
 
 from debutrank.operators.joins import replicate
-from debutrank.operators.profile import profile
 from debutrank.plans.rankings import rank_groups
 from debutrank.session import local_session, written
 from debutrank.testbed import seasons as testbed
@@ -53,7 +52,7 @@ def run_replicated(spark, sf_dir: str, action: str) -> float:
     started = time.perf_counter()
     rows = written(replicate(testbed.seasons(spark, sf_dir), COPIES, "entity"), "replicated")
     people = replicate(testbed.members(spark, sf_dir), COPIES, "entity")
-    ranked = rank_groups(rows, written(profile(rows), "profile"), people, action)
+    ranked = rank_groups(rows, written(testbed.stored_profile(rows), "profile"), people, action)
     ranked.write.format("noop").mode("overwrite").save()
     return time.perf_counter() - started
 

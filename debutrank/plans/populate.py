@@ -13,7 +13,7 @@ from debutrank.operators.dedupe import dedupe_first, dedupe_last
 from debutrank.operators.documents import game_means, nest
 from debutrank.operators.joins import limit_entities, look_up
 from debutrank.operators.numbering import dense_number
-from debutrank.operators.profile import profile
+from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import FILE_STATS, GAME_FIELDS, GAME_FILE, GAME_MEANS, STATS
 from debutrank.session import written
 from debutrank.sources.tsv import (
@@ -82,7 +82,7 @@ def populate(
     seasons = written(season_table(games, stats), "seasons")
     return Tables(
         seasons=seasons,
-        profile=written(profile(seasons), "profile"),
+        profile=written(profile(seasons, stats_per_pass=STORED_STATS_PER_PASS), "profile"),
         members=members_table(players),
     )
 

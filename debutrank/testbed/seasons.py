@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from debutrank.operators.profile import profile
+from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import STATS
 from debutrank.session import written
 
@@ -160,7 +160,11 @@ def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def season_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile of the seasons, written once per session."""
-    return _once(spark, sf_dir, "profile", lambda: profile(seasons(spark, sf_dir)))
+    return _once(spark, sf_dir, "profile", lambda: stored_profile(seasons(spark, sf_dir)))
+
+
+def stored_profile(seasons: DataFrame) -> DataFrame:
+    return profile(seasons, stats_per_pass=STORED_STATS_PER_PASS)
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,14 @@ def test_profile(seasons, expected):
             assert got == pytest.approx(list(prof[row.period][s]))
 
 
+def test_profile_in_passes(spark, seasons):
+    rows = seasons.unionByName(spark.sql("SELECT 'f' entity, CAST(NULL AS INT) period, 1D x, 2D y"))
+    whole = profile.profile(rows, stats=STATS)
+    split = profile.profile(rows, stats=STATS, stats_per_pass=1)
+    assert split.columns == whole.columns
+    assert sorted(split.collect(), key=repr) == sorted(whole.collect(), key=repr)
+
+
 def test_profile_of_one_row_has_no_variance(seasons):
     row = profile.profile(seasons.filter("entity = 'e' AND period = 9"), stats=STATS).first()
     assert row.x_variance == 0.0 and row.x_mean == 99.0
