@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,6 +121,22 @@ def duals(cells: DataFrame, goal: DataFrame, cap: int = CAP, steps: int = STEPS)
     return state
 
 
+def _diffuse(cells: pd.DataFrame) -> pd.DataFrame:
+    """Extra copies per cell of one source: what rounding leaves over goes on to shorter documents."""
+    cells = cells.sort_values(["size", "part"], ascending=[False, True], kind="stable")
+    extra, owed = [], 0.0
+    for size, n, rest in zip(cells["size"].tolist(), cells["n"].tolist(), cells["rest"].tolist()):
+        owed += size * n * rest
+        most = n if rest else 0  # a rate at the cap stays there
+        copies = min(max(round(owed / size), 0), most) if size else 0
+        owed -= copies * size
+        extra.append(copies)
+    return pd.DataFrame(
+        {"_s": cells["source"], "_z": cells["size"], "_p": cells["part"], "rate": cells["rate"],
+         "whole": cells["whole"], "extra": extra}
+    )
+
+
 def take(
     sizes: DataFrame,
     key: str,
@@ -130,10 +147,10 @@ def take(
     """Add ``source_size``, ``target``, ``rate`` and ``copies`` to rows with ``source`` and ``size``.
 
     Rates are rounded into copies per cell, a cell being the documents of one source and one size
-    (they have one rate). The extra copies of a cell are the difference of rounded running sums
-    over the source's cells in order of size, so the words taken differ from the target by no more
-    than the source's longest document; inside the cell they go to the rows first in the order of
-    a hash of ``key``. A cell of more than ``CELL_ROWS`` rows (a hot group of copies) is split by that
+    (they have one rate). From the longest documents to the shortest, what rounding a cell leaves
+    over is carried to the next one, so the words taken differ from the target by about the
+    size of a short document; inside the cell extra copies go to the rows first in the order of a
+    hash of ``key``. A cell of more than ``CELL_ROWS`` rows (a hot group of copies) is split by that
     hash into parts that are treated alike, so no task gets more.
 
     A null ``source`` is a source of its own. A null ``size`` counts as 0; empty documents have
@@ -161,14 +178,8 @@ def take(
     cells = cells.withColumn("x", F.col("size") / F.greatest(F.col("mean"), F.lit(1e-9)))
     cells = cells.withColumn("rate", F.when(F.col("full"), F.lit(float(cap))).otherwise(_tilted(cap)))
     cells = cells.withColumn("whole", F.floor("rate")).withColumn("rest", F.col("rate") - F.col("whole"))
-    running = Window.partitionBy("source").orderBy("size", "part").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum(F.col("n") * F.col("rest")).over(running)
-    cells = cells.withColumn("upto", upto)
-    extra = F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("n") * F.col("rest") + 0.5)
-    cells = cells.select(
-        F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("part").alias("_p"),
-        "rate", "whole", F.least(extra, F.col("n")).alias("extra"),
-    )
+    cells = cells.select("source", "size", "part", "n", "rate", "whole", "rest")
+    cells = cells.groupBy("source").applyInPandas(_diffuse, "_s string, _z long, _p int, rate double, whole long, extra long")
     cells = written(cells, "rates")
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("part") == F.col("_p"))
     rows = hashed.join(cells, same)
