@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.llm import mixing, quality, sharding
+from debutrank.llm import decontam, mixing, quality, sharding
 from debutrank.testbed.registry import Registry
 
 R = Registry()
@@ -40,3 +40,40 @@ def op3(spark, sf_dir):
 @R.query("op7_compression_bands")
 def op7(spark, sf_dir):
     return quality.rate(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+_FOLD = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPLIT = rf"list_filter(regexp_split_to_array(coalesce({_FOLD}, ''), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
+OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_SPLIT} AS words FROM documents),
+it AS (SELECT item_id, {_SPLIT} AS words FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(words), {decontam.WINDOW}) AS k,
+         list_slice(words, i + 1, i + least(len(words), {decontam.WINDOW})) AS w
+  FROM (SELECT item_id, words, unnest(range(0, greatest(len(words) - {decontam.WINDOW}, 0) + 1)) AS i
+        FROM it WHERE len(words) > 0)),
+ks AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT rid, i, k, list_slice(words, i + 1, i + k) AS w
+       FROM (SELECT rid, words, k, unnest(range(0, len(words) - k + 1)) AS i FROM d, ks)),
+hit AS (SELECT rid, i, dw.k, item_id FROM dw JOIN win ON dw.k = win.k AND dw.w = win.w),
+cover AS (SELECT rid, count(DISTINCT p) AS n_hit
+          FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM hit) GROUP BY rid),
+names AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY rid)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cover USING (rid) LEFT JOIN names USING (rid)
+"""
+
+
+@R.query("op10_prefix_decontamination", OP10_SQL)
+def op10(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    found = decontam.contamination(documents(spark, sf_dir), benchmark)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
