@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.llm import decontam, mixing, quality, sharding
+from debutrank.llm import decontam, mixing, near_dup, quality, sharding
 from debutrank.testbed.registry import Registry
 
 R = Registry()
@@ -77,3 +77,9 @@ def op10(spark, sf_dir):
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@R.query("op5_tensored_minhash")
+def op5(spark, sf_dir):
+    found = near_dup.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
