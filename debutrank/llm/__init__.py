@@ -4,6 +4,6 @@ import sys
 
 from pyspark import cloudpickle
 
-# The functions of this package travel to the executors by value, so that the workers
-# need not have the package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+# Functions travel to the executors by value, so that the workers need not have the package
+# on their path. The helpers that they name are in the package above.
+cloudpickle.register_pickle_by_value(sys.modules["debutrank"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.llm import decontam, mixing, near_dup, quality, sharding
+from debutrank.llm import decontam, mixing, near_dup, quality, sharding, substring
 from debutrank.testbed.registry import Registry
 
 R = Registry()
@@ -83,3 +83,9 @@ def op10(spark, sf_dir):
 def op5(spark, sf_dir):
     found = near_dup.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+@R.query("op4_suffix_automata")
+def op4(spark, sf_dir):
+    cut = substring.remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
