@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.llm import decontam, mixing, near_dup, quality, sharding, substring
+from debutrank.llm import decontam, mixing, near_dup, quality, sharding, substring, suffix_array
 from debutrank.testbed.registry import Registry
 
 R = Registry()
@@ -89,3 +89,9 @@ def op5(spark, sf_dir):
 def op4(spark, sf_dir):
     cut = substring.remove_repeats(documents(spark, sf_dir))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@R.query("op9_difference_cover")
+def op9(spark, sf_dir):
+    cut = suffix_array.remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
