@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.llm import decontam, mixing, near_dup, quality, sharding, substring, suffix_array
+from debutrank.llm import decontam, lm_bloom, mixing, near_dup, quality, sharding, substring, suffix_array
 from debutrank.testbed.registry import Registry
 
 R = Registry()
@@ -95,3 +95,11 @@ def op4(spark, sf_dir):
 def op9(spark, sf_dir):
     cut = suffix_array.remove_repeats(documents(spark, sf_dir))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@R.query("op1_log_frequency_bloom")
+def op1(spark, sf_dir):
+    scored = lm_bloom.score(documents(spark, sf_dir))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
