@@ -23,6 +23,7 @@ SHINGLE = 5
 PERCENT = 75  # shared of all shingles of a pair, at least
 GROUPS = 10  # in each of the two collections
 DEPTH = 2  # minhashes in a group
+PROPOSALS = 3  # that are confirmed for a node before the exact filter
 
 _SALTS = K.mix(np.arange(1, 2 * GROUPS * DEPTH + 1, dtype=K.U64) * K.U64(0x9E3779B97F4A7C15))
 _FACTORS = K.mix(_SALTS) | K.U64(1)
@@ -141,19 +142,75 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
+def _exploded(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(shingle, node, component, size) of the distinct shingles of some nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.pieces(batch):
+                own = sets(part.column("text"))
+                size = np.array([len(u) for u in own], np.int64)
+                columns = [np.concatenate(own).view(np.int64)] if own else [np.zeros(0, np.int64)]
+                columns += [np.repeat(part.column(c).to_numpy(), size) for c in ("node", "component")]
+                arrays = [pa.array(c) for c in (*columns, np.repeat(size, size))]
+                yield pa.RecordBatch.from_arrays(arrays, ["shingle", "node", "component", "size"])
+
+    rows = nodes.join(texts, "node").select("node", "component", "text")
+    return rows.mapInArrow(run, "shingle long, node long, component long, size long")
+
+
+def _unsettled(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes of the tables that hold several components; and of these the nodes that are not in the
+    largest component of such a table. Every pair to be looked at has one of the latter."""
+    counted = member.groupBy("table", "component").agg(F.count("*").alias("n"))
+    largest = counted.groupBy("table").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("components")
+    )
+    largest = largest.filter("components > 1").select("table", F.col("top.component").alias("largest"))
+    rows = member.join(largest, "table")
+    inside = rows.select("node", "component").distinct()
+    return inside, rows.filter("component <> largest").select("node").distinct()
+
+
+def _by_prefix(inside: DataFrame, outer: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes in different components, one of them in ``outer``, that may be linked.
+
+    A partner of a set has at least ``PERCENT`` of its shingles, so it has one of any (100 - ``PERCENT``) % and
+    one more of them. The rarest are taken: most sets that are linked with nothing here have so many
+    shingles of their own that no candidate is left. This finds every link, whatever the tables say.
+    """
+    rows = written(_exploded(inside, texts), "shingles")
+    own = rows.join(outer, "node", "left_semi")
+    count = rows.join(own.select("shingle").distinct(), "shingle", "left_semi")
+    count = count.groupBy("shingle").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
+    least = F.ceil(F.col("size") * PERCENT / 100)
+    prefix = own.join(count, "shingle").withColumn("rank", rank)
+    prefix = prefix.filter((F.col("rank") <= F.col("size") - least + 1) & (F.col("n") > 1))
+    prefix = prefix.select("shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("sa"))
+    other = rows.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("sb"))
+    near = (100 * F.least("sa", "sb") >= PERCENT * F.greatest("sa", "sb")) & (F.col("ca") != F.col("cb"))
+    pairs = prefix.join(other, "shingle").filter(near)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _links(nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """Components (node, component) over all links between different sets.
 
     1. Every node of a table is proposed to the table's smallest node, not to all the others.
-    2. Of these pairs the one that shares most tables is confirmed for each node, then those
-       whose ends are still apart.
-    3. Tables that still hold several components give all pairs between those, so that no
+    2. For each node the proposal that shares most tables is confirmed, then the next ``PROPOSALS`` - 1 where
+       the ends are still apart.
+    3. Where tables still hold several components, an exact prefix filter finds what is left, so no
        link is lost. Pairs inside a component need no test.
     """
     smallest = F.min("node").over(Window.partitionBy("table"))
     stars = _keys(nodes).withColumn("a", smallest).filter("a <> node")
-    stars = written(stars.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n")), "stars")
-    ends = written(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "proposed")
+    stars = stars.groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("n"))
+    # a node is in GROUPS ** 2 tables, so it has no more proposals than that
+    ranked = F.sort_array(F.collect_list(F.struct("n", "a")), asc=False)
+    stars = written(stars.groupBy("b").agg(F.slice(ranked, 1, PROPOSALS).alias("best")), "stars")
+    pairs = stars.select("b", F.posexplode("best").alias("place", "p")).select("place", F.col("p.a").alias("a"), "b")
+    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "proposed")
 
     chosen = nodes.join(ends, "node", "left_semi").select(
         "node", F.col("min_key").alias("_key"), F.col("min_hash").alias("_hash")
@@ -164,27 +221,17 @@ def _links(nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("text_hash") == F.col("_hash"))
     texts = written(rows.join(chosen, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    best = stars.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    links = written(_confirmed(best, texts), "links")
+    links = written(_confirmed(pairs.filter("place = 0"), texts), "links")
     label = components(links)
-    rest = _apart(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), label)
-    more = written(_confirmed(rest, texts), "links")
+    more = written(_confirmed(_apart(pairs.filter("place > 0").select("a", "b"), label), texts), "links")
     if not more.isEmpty():
         links = links.union(more)
         label = components(links)
 
     member = _keys(nodes.join(ends, "node", "left_semi")).join(label, "node", "left")
     member = written(member.select("table", "node", F.coalesce("component", "node").alias("component")), "members")
-    split = member.groupBy("table").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    member = member.join(split.filter("low <> high").select("table"), "table", "left_semi")
-    one = member.select("table", F.col("node").alias("a"), F.col("component").alias("ca"))
-    other = member.select("table", F.col("node").alias("b"), F.col("component").alias("cb"))
-    cross = one.join(other, "table").filter("ca < cb").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    )
-    tested = stars.select("a", "b")
-    cross = written(cross.distinct().join(tested, ["a", "b"], "left_anti"), "cross")
-    last = written(_confirmed(cross, texts), "links")
+    inside, outer = (written(x, "unsettled") for x in _unsettled(member))
+    last = written(_confirmed(_by_prefix(inside, outer, texts), texts), "links")
     return label if last.isEmpty() else components(links.union(last))
 
 

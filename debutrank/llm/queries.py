@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.llm import decontam, line_chunks, lm_bloom, mixing, near_dup, quality, sharding, substring, suffix_array
+from debutrank.llm import decontam, line_chunks, lm_bloom, mixing, near_dup, pii, quality, sharding, substring, suffix_array
 from debutrank.testbed.registry import Registry
 
 R = Registry()
@@ -109,3 +109,11 @@ def op1(spark, sf_dir):
 def op8(spark, sf_dir):
     cut = line_chunks.remove_chunks(documents(spark, sf_dir))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SECRET = "a fixed secret, so that reruns agree"
+
+
+@R.query("op6_surrogates")
+def op6(spark, sf_dir):
+    return pii.surrogate(documents(spark, sf_dir).select("doc_id", "text"), SECRET)
