@@ -189,3 +189,25 @@ def take(
     goal = goal.select(F.col("source").alias("_source"), "source_size", "target")
     rows = rows.join(goal, F.col("source").eqNullSafe(F.col("_source")))
     return rows.select(*[f"`{c}`" for c in sizes.columns], "source_size", "target", "rate", "copies")
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **terms) -> DataFrame:
+    """The rows of ``docs`` in the mix: each as often as it is taken, with all its columns.
+
+    Repeated rows (same key, source and text) all get the copies of the one that is taken most often.
+    """
+    narrow = docs.select(
+        F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").cast("string").alias("source"),
+        F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"),
+    )
+    copies = take(word_counts(narrow), "key", **terms).filter("copies > 0")
+    copies = copies.groupBy(
+        F.col("key").alias("_mix_key"), F.col("source").alias("_mix_source"), F.col("text_hash").alias("_mix_hash")
+    ).agg(F.max("copies").alias("_mix_copies"))
+    same = (
+        docs[key].eqNullSafe(F.col("_mix_key"))
+        & docs[source].cast("string").eqNullSafe(F.col("_mix_source"))
+        & (F.xxhash64(docs[text]) == F.col("_mix_hash"))
+    )
+    taken = docs.join(copies, same)
+    return taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_copies"))).select(*[docs[c] for c in docs.columns])

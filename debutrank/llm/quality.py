@@ -162,3 +162,14 @@ def rate(docs: DataFrame, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, *arrays], schema.names)
 
     return docs.mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows that ``rate`` keeps, with the columns of ``docs`` as they were."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.pieces(batch, text):
+                yield part.filter(pa.array(judge(part.column(text))["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)
