@@ -121,20 +121,26 @@ def duals(cells: DataFrame, goal: DataFrame, cap: int = CAP, steps: int = STEPS)
     return state
 
 
-def _diffuse(cells: pd.DataFrame) -> pd.DataFrame:
-    """Extra copies per cell of one source: what rounding leaves over goes on to shorter documents."""
-    cells = cells.sort_values(["size", "part"], ascending=[False, True], kind="stable")
-    extra, owed = [], 0.0
-    for size, n, rest in zip(cells["size"].tolist(), cells["n"].tolist(), cells["rest"].tolist()):
-        owed += size * n * rest
-        most = n if rest else 0  # a rate at the cap stays there
-        copies = min(max(round(owed / size), 0), most) if size else 0
-        owed -= copies * size
-        extra.append(copies)
-    return pd.DataFrame(
-        {"_s": cells["source"], "_z": cells["size"], "_p": cells["part"], "rate": cells["rate"],
-         "whole": cells["whole"], "extra": extra}
-    )
+def _diffuse(cap: int):
+    """Copies per cell of one source: what rounding leaves over goes on to shorter documents.
+
+    A document of a cell is taken ``whole`` times, the first ``extra`` ones once more.
+    """
+
+    def run(cells: pd.DataFrame) -> pd.DataFrame:
+        cells = cells.sort_values(["size", "part"], ascending=[False, True], kind="stable")
+        copies, owed = [], 0.0
+        for size, n, rate in zip(cells["size"].tolist(), cells["n"].tolist(), cells["rate"].tolist()):
+            owed += size * n * rate
+            copies.append(min(max(round(owed / size), 0), cap * n) if size else round(n * rate))
+            owed -= copies[-1] * size
+        whole, extra = divmod(pd.Series(copies, cells.index, "int64"), cells["n"])
+        return pd.DataFrame(
+            {"_s": cells["source"], "_z": cells["size"], "_p": cells["part"], "rate": cells["rate"],
+             "whole": whole, "extra": extra}
+        )
+
+    return run
 
 
 def take(
@@ -177,9 +183,10 @@ def take(
     cells = cells.join(dual, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     cells = cells.withColumn("x", F.col("size") / F.greatest(F.col("mean"), F.lit(1e-9)))
     cells = cells.withColumn("rate", F.when(F.col("full"), F.lit(float(cap))).otherwise(_tilted(cap)))
-    cells = cells.withColumn("whole", F.floor("rate")).withColumn("rest", F.col("rate") - F.col("whole"))
-    cells = cells.select("source", "size", "part", "n", "rate", "whole", "rest")
-    cells = cells.groupBy("source").applyInPandas(_diffuse, "_s string, _z long, _p int, rate double, whole long, extra long")
+    cells = cells.select("source", "size", "part", "n", "rate")
+    cells = cells.groupBy("source").applyInPandas(
+        _diffuse(cap), "_s string, _z long, _p int, rate double, whole long, extra long"
+    )
     cells = written(cells, "rates")
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("part") == F.col("_p"))
     rows = hashed.join(cells, same)

@@ -1,0 +1,143 @@
+"""The digest columns of the operators, by brute force over a list of (key, text)."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import math
+import re
+import string
+import zlib
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+LAST = 1 << 63  # a null key is later than all others
+
+
+def order(key):
+    return LAST if key is None else key
+
+
+def sha(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def base_scores(docs):
+    tokens = [[*WORD.findall((t or "").translate(LOW)), None] for _, t in docs]
+    held = [zlib.crc32(b"" if k is None else str(k).encode()) % 10 == 0 for k, _ in docs]
+    count = collections.Counter(x for t, h in zip(tokens, held) if not h for x in t)
+    n, v = sum(count.values()), len(count)
+    return [
+        (k, h, len(t), sum(count[x] > 0 for x in t), n,
+         sum(math.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in t))
+        for (k, _), t, h in zip(docs, tokens, held)
+    ]
+
+
+def word_windows(docs, width=13):
+    words = [WORD.findall(t or "") for _, t in docs]
+    first = {}
+    for (k, _), w in zip(docs, words):
+        for i in range(len(w) - width + 1):
+            g = tuple(w[i : i + width])
+            first[g] = min(first.get(g, LAST), order(k))
+    out = []
+    for (k, _), w in zip(docs, words):
+        gone = [False] * len(w)
+        for i in range(len(w) - width + 1):
+            if first[tuple(w[i : i + width])] < order(k):
+                gone[i : i + width] = [True] * width
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        out.append((k, len(w), sum(gone), sha(kept.encode())))
+    return out
+
+
+def byte_windows(docs, width=100):
+    """Equal (key, text) rows are one document; other ties are not settled here."""
+    data = {(order(k), t or ""): (t or "").encode() for k, t in docs}
+    first = {}
+    for (k, t), b in sorted(data.items()):
+        for i in range(len(b) - width + 1):
+            first.setdefault(b[i : i + width], (k, t, i))
+    out = []
+    for k, t in docs:
+        b = data[order(k), t or ""]
+        gone = bytearray(len(b))
+        for i in range(len(b) - width + 1):
+            if first[b[i : i + width]] != (order(k), t or "", i):
+                gone[i : i + width] = b"\1" * width
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
+        out.append((k, len(b), sum(gone), runs, sha(bytes(x for x, g in zip(b, gone) if not g))))
+    return out
+
+
+def shingles(text, width=5):
+    w = WORD.findall((text or "").translate(LOW))
+    if len(w) < width:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)}
+
+
+def groups(docs):
+    sets = [shingles(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= 75 * len(a | sets[j]):
+                parent[root(i)] = root(j)
+    low = {}
+    for i, (k, _) in enumerate(docs):
+        if k is not None:
+            low[root(i)] = min(low.get(root(i), LAST), k)
+    return [
+        (k, len(s), (low.get(root(i)) if s else k), (low.get(root(i)) if s else k) in (None, k))
+        for i, ((k, _), s) in enumerate(zip(docs, sets))
+    ]
+
+
+def counts(text):
+    words = WORD.findall(text or "")
+    grams = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    many = collections.Counter(grams)
+    repeat = {j for i, g in enumerate(grams) if many[g] > 1 for j in range(i, i + 8)}
+    seen, again = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            again += line in seen
+            seen.add(line)
+    failed = len(words) < 20 or 100 * len(repeat) > 30 * len(words)
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(repeat), failed
+    )
+
+
+def bench_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOW))
+
+
+def hits(docs, items, width=10):
+    windows = collections.defaultdict(set)
+    for item, text in items:
+        w = bench_words(text)
+        for i in range(max(len(w) - width, 0) + 1):
+            if w:
+                windows[tuple(w[i : i + width])].add(item)
+    out = []
+    for k, text in docs:
+        w = bench_words(text)
+        hit, found = set(), set()
+        for n in {len(g) for g in windows}:
+            for i in range(len(w) - n + 1):
+                if owners := windows.get(tuple(w[i : i + n])):
+                    hit |= set(range(i, i + n))
+                    found |= owners
+        names = sorted(str(x) for x in found if x is not None)
+        out.append((k, len(w), len(hit), len(names), names))
+    return out
