@@ -11,7 +11,7 @@ a piece and the tokens as places in that list. All later passes read the pieces.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -83,16 +83,20 @@ def build_segment(hashes: np.ndarray, counts: np.ndarray, most_bytes: int) -> by
     return size.to_bytes(8, "little") + np.packbits(flags, bitorder="little").tobytes()
 
 
-def joined_segments(segments: list[tuple[int, bytes]], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bits and byte offset of every bucket's segment, and the segments one after the other."""
+def joined_segments(segments: Iterable[tuple[int, bytes]], buckets: int, total: int) -> tuple[np.ndarray, ...]:
+    """Bits and byte offset of every bucket's segment, and the ``total`` bytes of all one after the other.
+
+    Segments are taken one at a time, so the whole is in memory once.
+    """
     size, offset = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-    parts, at = [np.zeros(0, np.uint8)], 0
-    for bucket, data in segments:
-        size[bucket] = int.from_bytes(data[:8], "little")
+    data, at = np.zeros(total, np.uint8), 0
+    for bucket, segment in segments:
+        size[bucket] = int.from_bytes(segment[:8], "little")
         offset[bucket] = at
-        parts.append(np.frombuffer(data, np.uint8, offset=8))
-        at += len(parts[-1])
-    return size, offset, np.concatenate(parts)
+        part = np.frombuffer(segment, np.uint8, offset=8)
+        data[at : at + len(part)] = part
+        at += len(part)
+    return size, offset, data
 
 
 class LogFilter:
@@ -323,7 +327,7 @@ class Model:
 def _left_out(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            sums = Model(*model.value).left_out(Piece(row))
+            sums = Model(*model.value, np.zeros(BINS)).left_out(Piece(row))
             bins, weights = (a.reshape(-1) for a in np.indices(sums.shape))
             columns = [pa.array(bins), pa.array(weights), pa.array(sums.reshape(-1))]
             yield pa.RecordBatch.from_arrays(columns, ["bin", "weight", "value"])
@@ -331,12 +335,12 @@ def _left_out(model):
     return run
 
 
-def _scores(model, tokens: int, types: int):
+def _scores(model, weights: np.ndarray, tokens: int, types: int):
     names = ["key", "text_hash", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            piece, m = Piece(row), Model(*model.value)
+            piece, m = Piece(row), Model(*model.value, weights)
             replies = sorted(row["replies"], key=lambda r: r["bucket"])
             exact = np.frombuffer(b"".join(r["data"] for r in replies), np.int64)
             exact = np.append(exact, m.docs)
@@ -393,33 +397,36 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", filter_bytes
     schema = "piece long, bucket long, data binary, n long, tokens long"
     counted = dealt.groupBy("bucket").applyInPandas(_count_words(max(1, filter_bytes[0] // buckets)), schema)
     counted = written(counted, "word_counts")
-    own = counted.filter("piece = -1").select("bucket", "data", "n", "tokens").collect()  # at most filter_bytes
-    tokens = sum(r["tokens"] for r in own) + trained
-    types = sum(r["n"] for r in own) + (trained > 0)
+    own = counted.filter("piece = -1")
+    tokens, types = own.select(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tokens, types = tokens + trained, types + (trained > 0)
 
     dealt = pieces.select(*NAMES).mapInArrow(_pair_rows(buckets), DEALT)
     pairs = dealt.groupBy("bucket").applyInPandas(
         _count_pairs(max(1, filter_bytes[1] // buckets)), "bucket long, data binary"
     )
-    pairs = [(r["bucket"], bytes(r["data"])) for r in pairs.collect()]  # at most filter_bytes
-    words = joined_segments([(r["bucket"], bytes(r["data"])) for r in own], buckets)
-    parts = words, joined_segments(pairs, buckets), trained, tokens + ADDED * (types + 1)
-    del own, pairs
+    parts = _gathered(own, buckets), _gathered(written(pairs, "pair_counts"), buckets), trained, tokens + ADDED * (types + 1)
+    shared = spark.sparkContext.broadcast(parts)
+    del parts
     weights = np.zeros(BINS)
-    first = spark.sparkContext.broadcast((*parts, weights))
-    tried = pieces.select(*NAMES).mapInArrow(_left_out(first), "bin long, weight long, value double")
+    tried = pieces.select(*NAMES).mapInArrow(_left_out(shared), "bin long, weight long, value double")
     for r in _best(tried):
         weights[r["bin"]] = WEIGHTS[r["weight"]]
-    first.unpersist()
-    shared = spark.sparkContext.broadcast((*parts, weights))
 
     replies = counted.filter("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("bucket", "data")).alias("replies"))
     joined = pieces.join(replies, "piece", "left").withColumn("replies", F.coalesce("replies", F.array()))
     schema = "key long, text_hash long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = joined.mapInArrow(_scores(shared, tokens, types), schema)
+    out = joined.mapInArrow(_scores(shared, weights, tokens, types), schema)
     return out.withColumnRenamed("key", key).withColumn("train_tokens", F.lit(tokens).cast("long"))
 
 
+def _gathered(segments: DataFrame, buckets: int) -> tuple[np.ndarray, ...]:
+    """A filter on the driver, of the bounded size given to its segments."""
+    total = segments.select(F.sum(F.octet_length("data") - 8)).first()[0] or 0
+    rows = ((r["bucket"], r["data"]) for r in segments.select("bucket", "data").toLocalIterator())
+    return joined_segments(rows, buckets, total)
+
+
 def _best(tried: DataFrame) -> list:
     """The weight with the highest sum for every bin; bins and weights are few."""
     sums = tried.groupBy("bin", "weight").agg(F.sum("value").alias("value"))
