@@ -254,6 +254,8 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
     volume = contested.agg(F.sum(size)).first()[0] or 0
     shards = max(1, -(-volume // SHARD_TOKENS[what.unit]))
     hot = contested.groupBy("anchor").count().filter(F.col("count") > HOT_PIECES).select("anchor", F.lit(True).alias("hot"))
+    # written, so that its true size lets Spark broadcast it, or else split a skewed join with it
+    hot = written(hot, "hot")
     wanted = contested.join(hot, "anchor", "left").groupBy("key", F.shiftright("place", 41).alias("text_hash"))
     wanted = wanted.agg(F.collect_list(F.struct("place", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
     texts = rows.join(wanted, ["key", "text_hash"]).dropDuplicates(["key", "text_hash"])
