@@ -5,7 +5,7 @@ into a Bloom filter q times, once with each level up to its own; its count is re
 level 1, 2, .. until a probe fails. The filters are broadcast, and the interpolated probabilities
 come from the probes alone. (The exact word counts of the base score are looked up by a shuffle.)
 
-The corpus is split into words once, in pieces of about two million tokens: the distinct words of
+The corpus is split into words once, in pieces of about 600,000 tokens: the distinct words of
 a piece and the tokens as places in that list. All later passes read the pieces.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from debutrank.llm import kernels as K
 from debutrank.session import written
 
-PIECE_TOKENS = 2_000_000
+PIECE_TOKENS = 600_000
 BUCKET_BYTES = 16 << 20  # of text for each bucket of the counts
 BITS = 10  # for each entry of a filter
 PROBES = 7
