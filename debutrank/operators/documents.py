@@ -8,20 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from debutrank.functions.periods import season_label, season_start
-from debutrank.session import written
-
-GAMES_PER_DOCUMENT = 10_000
-SALTS = 256
+from debutrank.operators.profile import DIGITS
 
 
 def game_means(
     games: DataFrame, keys: Sequence[str], game_key: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """Per key: sum of each value over all game rows, over the number of distinct games."""
+    """Per key: sum of each value over all game rows, over the number of distinct games.
+
+    Rounded like the means of the profile that they are compared with, so that the order
+    of the additions does not decide a comparison.
+    """
     distinct = F.count_distinct(*game_key)
     return games.groupBy(*keys).agg(
         *[
-            (F.sum(F.coalesce(F.col(v), F.lit(0.0))) / distinct).alias(v)
+            F.round(F.sum(F.coalesce(F.col(v), F.lit(0.0))) / distinct, DIGITS).alias(v)
             for v in values
         ]
     )
@@ -35,19 +36,19 @@ def nest(
     game: str,
     game_fields: Sequence[str],
     stats: Sequence[str],
-    games_per_document: int = GAMES_PER_DOCUMENT,
+    parts: int = 1,
 ) -> DataFrame:
-    """Documents ``(entity, part, seasons)`` from games with unique keys and season rows.
+    """Documents ``(entity, seasons)`` from games with unique keys and season rows.
 
-    ``seasons`` maps a period to ``{games: {game: fields}, all: stats}``. An entity with
-    at most ``games_per_document`` games has one document (part 0). One with more games
-    is split by a hash of the game key, so that no document or task has to hold all of
-    them; every game is in exactly one part and every period's statistics are in part 0.
-    The games are written once, since they are counted before they are nested.
+    ``seasons`` maps a period to ``{games: {game: fields}, all: stats}``. The layout is the same for
+    every entity and chosen by the caller: with ``parts`` above 1, for tables in which one
+    entity has more games than a task can hold, an entity has up to that many documents
+    ``(entity, part, seasons)``: a game is in the part that the hash of its key gives, and all
+    statistics are in part 0, which every entity with statistics has.
     """
-    parts = _with_part(written(games, "games"), entity, [period, game], games_per_document)
-    game_rows = parts.select(
-        entity, "part", period, F.struct(F.col(game), F.struct(*game_fields)).alias("_game")
+    part = F.pmod(F.xxhash64(period, game), F.lit(parts)).cast("int")
+    game_rows = games.select(
+        entity, part.alias("part"), period, F.struct(F.col(game), F.struct(*game_fields)).alias("_game")
     )
     stat_rows = season_stats.select(
         entity, F.lit(0).alias("part"), period, F.struct(*stats).alias("all")
@@ -63,26 +64,10 @@ def nest(
         )
     )
     season = F.struct(F.col(period), F.struct("games", "all"))
-    return seasons.groupBy(entity, "part").agg(
+    nested = seasons.groupBy(entity, "part").agg(
         F.map_from_entries(F.collect_list(season)).alias("seasons")
     )
-
-
-def _with_part(
-    games: DataFrame, entity: str, game_key: Sequence[str], games_per_document: int
-) -> DataFrame:
-    """Number of the document each game goes to.
-
-    Only entities that need several documents are joined, once per salt, so that the
-    games of such an entity are spread over many tasks.
-    """
-    parts = F.ceil(F.count("*") / F.lit(games_per_document))
-    large = games.groupBy(entity).agg(parts.alias("_parts")).filter("_parts > 1")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = games.withColumn("_salt", F.pmod(F.hash(*game_key), F.lit(SALTS)))
-    joined = salted.join(large.withColumn("_salt", salts), [entity, "_salt"], "left")
-    part = F.pmod(F.xxhash64(*game_key), F.coalesce("_parts", F.lit(1))).cast("int")
-    return joined.withColumn("part", part).drop("_salt", "_parts")
+    return nested if parts > 1 else nested.drop("part")
 
 
 def explode_seasons(documents: DataFrame, keys: Sequence[str], period: str = "period") -> DataFrame:

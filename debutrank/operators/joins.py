@@ -15,9 +15,6 @@ from debutrank.functions.cells import MISSING_GROUP, MISSING_REGION
 from debutrank.operators.dedupe import dedupe_first, dedupe_last
 from debutrank.operators.numbering import dense_number
 
-# Rows of a key list that may be sorted by a top-n and broadcast.
-SHORT_LIST = 100_000
-
 
 def look_up(
     rows: DataFrame,
@@ -42,12 +39,18 @@ def with_region(
     rows: DataFrame, groups: DataFrame, group: str = "college", region: str = "state"
 ) -> DataFrame:
     """Region of each row's group: missing groups and unknown regions get their labels."""
-    named = rows.withColumn(group, F.coalesce(F.col(group), F.lit(MISSING_GROUP)))
-    found = named.join(groups.select(group, region), group, "left")
-    label = F.when(F.col(group) == MISSING_GROUP, F.lit(MISSING_GROUP)).otherwise(
+    # Rows without a group keep their NULL in the join, where NULL keys need no partner; a
+    # table row for the label itself would only give what they get anyway.
+    absent = F.col(group).isNull() | (F.col(group) == MISSING_GROUP)
+    keyed = rows.withColumn("_group", F.when(~absent, F.col(group)))
+    found = keyed.join(groups.select(F.col(group).alias("_group"), region), "_group", "left")
+    label = F.when(absent, F.lit(MISSING_GROUP)).otherwise(
         F.coalesce(F.col(region), F.lit(MISSING_REGION))
     )
-    return found.withColumn(region, label)
+    named = found.withColumn(region, label)
+    return named.withColumn(group, F.coalesce(F.col(group), F.lit(MISSING_GROUP))).select(
+        group, *[c for c in rows.columns if c != group], region
+    )
 
 
 def insert_if_absent(
@@ -86,17 +89,13 @@ def upsert(
 def limit_entities(rows: DataFrame, entity: str, limit: int = -1) -> DataFrame:
     """Rows of the first ``limit`` entities in key order; -1 keeps all.
 
-    A short list of entities is sorted by a top-n and broadcast, its size being given by
-    the limit. A long one is numbered in partitions and joined as Spark sees fit.
+    The entities are numbered in partitions and joined as Spark sees fit.
     """
     if limit < 0:
         return rows
     entities = rows.select(entity).distinct()
-    if limit <= SHORT_LIST:
-        chosen = F.broadcast(entities.orderBy(entity).limit(limit))
-    else:
-        chosen = dense_number(entities, entity, "_number").filter(F.col("_number") < limit)
-        chosen = chosen.select(entity)
+    chosen = dense_number(entities, entity, "_number").filter(F.col("_number") < limit)
+    chosen = chosen.select(entity)
     return rows.join(chosen, entity, "left_semi")
 
 

@@ -12,6 +12,9 @@ from debutrank.functions.scores import bonus_sum, minmax, thresholds_hold, weigh
 from debutrank.operators.runs import LONGEST_RUN, first_run
 
 
+PROFILE_ROWS = 10_000  # of a profile that is broadcast: its rows are periods
+
+
 def needed_measures(categories: Sequence[Category], scaled: bool = False) -> list[str]:
     """Columns of the profile that the categories compare or scale with."""
     means = {f"{s}_mean" for c in categories for s in c.compared_stats}
@@ -29,14 +32,18 @@ def annual_marks(
 ) -> DataFrame:
     """Per entity and period: ``<short>_passed`` and ``<short>_points`` of each category.
 
-    A period that misses a threshold has no points. The profile has one row per period
-    and carries no broadcast hint: Spark broadcasts it when its size allows.
+    A period that misses a threshold has no points. A missing statistic counts as 0, as it
+    does in the profile. The profile has one row per period and only the measures that are
+    needed; it is broadcast if it has at most ``PROFILE_ROWS`` of them, which is looked up first,
+    because the period is a key with few values. Else Spark chooses the join.
     """
     stats = sorted({s for c in categories for s in c.stats})
     measures = needed_measures(categories, scaled)
-    rows = seasons.select(entity, period, *stats)
+    rows = seasons.select(entity, period, *[F.coalesce(F.col(s), F.lit(0.0)).alias(s) for s in stats])
     if measures:
-        rows = rows.join(profile.select(period, *measures), period)
+        needed = profile.select(period, *measures)
+        few = profile.select(period).limit(PROFILE_ROWS + 1).count() <= PROFILE_ROWS
+        rows = rows.join(F.broadcast(needed) if few else needed, period)
 
     def mean(stat):
         return F.col(f"{stat}_mean")
@@ -75,7 +82,7 @@ def score_entities(
     marks = annual_marks(seasons, profile, chosen, entity, period, scaled)
     sums = [
         (
-            F.sum(f"{c.short}_points")
+            F.coalesce(F.sum(f"{c.short}_points"), F.lit(0.0))
             * F.lit(100.0)
             / F.greatest(F.sum(f"{c.short}_passed"), F.lit(1))
         ).alias(f"{c.short}_score")

@@ -9,7 +9,7 @@ from debutrank.functions.periods import season_label
 from debutrank.operators.joins import with_region
 from debutrank.operators.runs import season_range
 from debutrank.schemas import FILE_STATS, GAME_FILE
-from debutrank.sources.pages import game_rows, listing_players, season_cells
+from debutrank.sources.pages import game_rows, listing_players, season_cells, season_rows
 
 _GAME_CELLS = tuple(c for c in GAME_FILE.values() if c not in ("player_id", "season"))
 
@@ -36,10 +36,11 @@ def season_stats(
         F.col("last").cast("int").alias("last"),
     )
     seasons = season_range(years, "debut", "last", "season_end", first)
-    pages = player_pages.select("player_id", "html")
-    cells = season_cells(
-        seasons.select("player_id", "season_end").join(pages, "player_id"), "html", "season_end"
+    rows = season_rows(player_pages.select("player_id", "html"), "html", "season_end")
+    with_page = seasons.select("player_id", "season_end").join(
+        player_pages.select("player_id").distinct(), "player_id", "left_semi"
     )
+    cells = season_cells(with_page.join(rows, ["player_id", "season_end"], "left"), "rows")
     label = season_label(F.col("season_end") - 1)
     return cells.select("player_id", label.alias("season"), *FILE_STATS)
 

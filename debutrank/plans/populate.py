@@ -7,15 +7,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.functions.cells import default_missing, lenient_double
+from debutrank.functions.cells import (
+    MISSING_GROUP,
+    MISSING_REGION,
+    default_missing,
+    lenient_double,
+)
 from debutrank.functions.periods import season_start
 from debutrank.operators.dedupe import dedupe_first, dedupe_last
-from debutrank.operators.documents import game_means, nest
+from debutrank.operators.documents import compact, game_means, nest
 from debutrank.operators.joins import limit_entities, look_up
 from debutrank.operators.numbering import dense_number
 from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import FILE_STATS, GAME_FIELDS, GAME_FILE, GAME_MEANS, STATS
 from debutrank.session import written
+from debutrank.sources.store import read_documents, write_documents, write_profile
 from debutrank.sources.tsv import (
     FILE_ORDER,
     read_games,
@@ -27,11 +33,17 @@ from debutrank.sources.tsv import (
 
 @dataclass(frozen=True)
 class Tables:
-    """``seasons``: entity, period, 26 statistics. ``members``: entity, name, grp, region."""
+    """``seasons``: entity, period, 26 statistics. ``members``: entity, name, grp, region.
+
+    ``documents``: the nested documents, if they were asked for. ``rejected``: game rows whose
+    season cannot be read, which are in none of the other tables.
+    """
 
     seasons: DataFrame
     profile: DataFrame
     members: DataFrame
+    documents: DataFrame | None = None
+    rejected: DataFrame | None = None
 
 
 def clean_games(games: DataFrame) -> DataFrame:
@@ -73,22 +85,36 @@ def populate(
     season_stats_path: str,
     games_path: str,
     limit: int = -1,
+    store: str | None = None,
 ) -> Tables:
-    """Read the files, build the tables once and write them to the shared folder."""
-    games = clean_games(read_games(spark, games_path))
+    """Read the files, build the tables once and write them to the shared folder.
+
+    With ``store``, a folder that is still empty, the documents are built as well, and they, their compacted
+    form and the profile by period are written there.
+    """
+    games = with_file_order(read_games(spark, games_path))
+    readable = season_start(F.col("season")).isNotNull()
+    rejected = written(games.filter(~readable), "rejected")
+    games = clean_games(games.filter(readable))
     stats = with_file_order(read_season_stats(spark, season_stats_path))
     players = with_file_order(read_players(spark, players_path))
     games = limit_entities(games, "player_id", limit)
     seasons = written(season_table(games, stats), "seasons")
-    return Tables(
-        seasons=seasons,
-        profile=written(profile(seasons, stats_per_pass=STORED_STATS_PER_PASS), "profile"),
-        members=members_table(players),
-    )
+    measures = written(profile(seasons, stats_per_pass=STORED_STATS_PER_PASS), "profile")
+    members = members_table(players)
+    nested = None
+    if store:
+        nested = documents(games, seasons, members)
+        write_documents(nested, f"{store}/documents")
+        nested = read_documents(spark, f"{store}/documents", nested.schema)
+        compacted = compact(nested, ["player_id", "college", "state"], STATS)
+        compacted.write.parquet(f"{store}/compacted")
+        write_profile(measures, f"{store}/profile")
+    return Tables(seasons, measures, members, nested, rejected)
 
 
 def documents(games: DataFrame, seasons: DataFrame, members: DataFrame) -> DataFrame:
-    """One document per player: id, college, state, number, part and the season map.
+    """One document per player: id, college, state, number and the season map.
 
     ``games`` comes with the file order: the last row of a repeated game wins.
     """
@@ -100,14 +126,26 @@ def documents(games: DataFrame, seasons: DataFrame, members: DataFrame) -> DataF
         *GAME_FIELDS,
     )
     nested = nest(rows, seasons, "entity", "period", "season_game", GAME_FIELDS, STATS)
-    numbers = dense_number(seasons.select("entity").distinct(), "entity")
+    return numbered_documents(nested, members)
+
+
+def numbered_documents(nested: DataFrame, members: DataFrame) -> DataFrame:
+    """Documents with a dense number, and college and state or the labels for missing ones.
+
+    A player without a row in ``members`` keeps the document. The documents are written first:
+    they are read for the numbers and for the join.
+    """
+    nested = written(nested, "nested")
+    numbers = dense_number(nested.select("entity").distinct(), "entity")
     people = numbers.join(members.select("entity", "grp", "region"), "entity", "left")
-    # One join with the documents: Spark can split the parts of a large player there.
+    group = F.coalesce("grp", F.lit(MISSING_GROUP))
+    region = F.when(F.col("grp").isNull(), MISSING_GROUP).otherwise(
+        F.coalesce("region", F.lit(MISSING_REGION))
+    )
     return nested.join(people, "entity").select(
         F.col("entity").alias("player_id"),
-        F.col("grp").alias("college"),
-        F.col("region").alias("state"),
+        group.alias("college"),
+        region.alias("state"),
         "number",
-        "part",
-        "seasons",
+        *[c for c in nested.columns if c != "entity"],
     )

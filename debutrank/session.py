@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+_folders: dict[str, str] = {}  # by application, as handed in by the caller
 
 
 def local_session(cpus: int | str = 8, app: str = "debutrank", memory: str = "8g") -> SparkSession:
@@ -25,23 +24,41 @@ def local_session(cpus: int | str = 8, app: str = "debutrank", memory: str = "8g
     )
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+def use_folder(spark: SparkSession, path: str) -> None:
+    """Name the work folder of a session that was started without ``spark.checkpoint.dir``.
+
+    On a cluster it has to be one that the driver and all executors share.
+    """
+    _folders[spark.sparkContext.applicationId] = path.rstrip("/")
+
+
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder of ``spark.checkpoint.dir``, else the one handed in, else none."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="debutrank-")
-    return _local_dirs[app]
+    return named.rstrip("/") if named else _folders.get(spark.sparkContext.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    folder = named_folder(spark)
+    if not folder:
+        raise RuntimeError(f"set {CHECKPOINT_DIR}, or call use_folder, with a folder that all executors share")
+    return folder
+
+
+def session_dir(spark: SparkSession) -> str:
+    """Where this session writes, below the shared folder."""
+    return f"{shared_dir(spark)}/debutrank/{spark.sparkContext.applicationId}"
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/debutrank/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Drop all that this session has written; frames that still read it fail from then on."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
 from debutrank.operators.numbering import dense_number
 
@@ -16,9 +15,35 @@ PREFIXES = tuple(string.ascii_lowercase)
 OTHER_PREFIX = "other"
 
 
-def read_range(df: DataFrame, number: str, low: int, high: int) -> DataFrame:
-    """Rows with ``low <= number < high``; the predicate is pushed to the scan."""
-    return df.filter((F.col(number) >= low) & (F.col(number) < high))
+def read_range(
+    df: DataFrame, number: str, low: int | None = None, high: int | None = None
+) -> DataFrame:
+    """Rows with ``low <= number < high``, without a bound that is None; pushed to the scan.
+
+    With neither bound these are all rows that have a number.
+    """
+    value = F.col(number)
+    if low is None and high is None:
+        return df.filter(value.isNotNull())
+    if low is not None:
+        df = df.filter(value >= low)
+    return df if high is None else df.filter(value < high)
+
+
+def range_batches(df: DataFrame, number: str, batches: int) -> list[DataFrame]:
+    """The whole table in that many reads of equal ranges, and one of the rows without a number.
+
+    The ranges divide what lies between the smallest and the largest number (statistics of
+    the file, for a Parquet table); the first and the last are open, so that rows added
+    later are not lost. The rows without a number come last.
+    """
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    low, high = (0, 0) if low is None else (low, high)
+    width = -(-(high - low + 1) // batches)
+    inner = [low + i * width for i in range(1, batches)]
+    bounds = [None, *inner, None]
+    reads = [read_range(df, number, a, b) for a, b in zip(bounds, bounds[1:])]
+    return [*reads, df.filter(F.col(number).isNull())]
 
 
 def with_range_batch(df: DataFrame, number: str, size: int, name: str = "batch") -> DataFrame:
@@ -38,14 +63,13 @@ def with_prefix(df: DataFrame, key: str, name: str = "prefix") -> DataFrame:
     )
 
 
-def by_prefix(df: DataFrame, key: str, spread: int = 16, name: str = "prefix") -> DataFrame:
-    """Bring rows of one prefix together, in ``spread`` pieces.
+def by_prefix(df: DataFrame, key: str, name: str = "prefix") -> DataFrame:
+    """Label each row, and deal the rows out by prefix and key.
 
-    The pieces are chosen by the whole row, so that a hot letter or key is split.
+    Their number of pieces is left to Spark; a letter with many keys has many of them. An
+    aggregation by prefix needs no dealing out: use ``with_prefix``.
     """
-    columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    piece = F.pmod(F.xxhash64(*columns), F.lit(spread))
-    return with_prefix(df, key, name).repartition(F.col(name), piece)
+    return with_prefix(df, key, name).repartition(F.col(name), F.col(key))
 
 
 def with_fixed_batch(

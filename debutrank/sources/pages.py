@@ -50,8 +50,9 @@ def second_else_first(html: Column, pattern: str | Column) -> Column:
 
 
 def keyed_pattern(template: str, key: Column) -> Column:
-    """The template with ``<key>`` replaced by the key of the row."""
-    return F.replace(F.lit(template), F.lit(KEY), key.cast("string"))
+    """The template with ``<key>`` replaced by the key of the row, which stands for itself."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(key.cast("string"), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    return F.replace(F.lit(template), F.lit(KEY), quoted)
 
 
 def field_values(
@@ -150,7 +151,7 @@ SEASON_CELL = {
     "personal_fouls": "pf_per_g",
     "points": "pts_per_g",
 }
-SEASON_ROW = r'(?s)<tr[^<>]*id="per_game\.<key>"[^<>]*>(.*?)</tr>'
+SEASON_ROW = r'(?s)<tr[^<>]*id="per_game\.([^"]*)"[^<>]*>(.*?)</tr>'
 GAME_ROW = r'(?s)<tr[^<>]*id="[^"]*pgl_basic[^"]*"[^<>]*>(.*?)</tr>'
 GAME_CELL = r"(?s)<t[dh][^<>]*>.*?</t[dh]>"
 
@@ -160,21 +161,35 @@ def listing_players(df: DataFrame, html: str = "html") -> DataFrame:
     return list_entries(df, html, LISTING, lead="name")
 
 
-def season_cells(df: DataFrame, html: str = "html", season: str = "season_end") -> DataFrame:
+def season_rows(df: DataFrame, html: str = "html", season: str = "season_end") -> DataFrame:
+    """All season rows of player pages: the other columns, ``season`` and ``rows`` (their markup).
+
+    A page is searched once, and its text is not copied: only the rows found leave it. Rows
+    of the same season are joined to one text.
+    """
+    kept = [c for c in df.columns if c != html]
+    found = F.arrays_zip(
+        matches(F.col(html), SEASON_ROW, 1).alias("id"), matches(F.col(html), SEASON_ROW, 2).alias("row")
+    )
+    seasons = F.array_distinct(F.transform("_found", lambda x: x["id"]))
+    rows = df.withColumn("_found", found).select(*kept, "_found", F.explode(seasons).alias("_id"))
+    of_season = F.filter("_found", lambda x: x["id"] == F.col("_id"))
+    text = F.array_join(F.transform(of_season, lambda x: x["row"]), "")
+    return rows.select(*kept, F.col("_id").try_cast("int").alias(season), text.alias("rows"))
+
+
+def season_cells(df: DataFrame, rows: str = "rows") -> DataFrame:
     """The 24 statistics of one season of a player page, as text; NULL where absent."""
-    rows = F.array_join(matches(F.col(html), keyed_pattern(SEASON_ROW, F.col(season))), "")
 
     def cell(tag: str) -> Column:
-        found = matches(F.col("_rows"), rf'(?s)<td[^<>]*data-stat="{tag}"[^<>]*>.*?</td>', 0)
+        found = matches(F.col(rows), rf'(?s)<td[^<>]*data-stat="{tag}"[^<>]*>.*?</td>', 0)
         first, second = F.get(found, F.lit(0)), F.get(found, F.lit(1))
         strong = F.regexp_extract(first, r"<strong>([^<]*)", 1)
         own = F.regexp_extract(F.coalesce(second, first), _LEADING_TEXT, 1)
         return F.nullif(F.when(first.contains("<strong>"), strong).otherwise(own), F.lit(""))
 
-    kept = [c for c in df.columns if c != html]
-    return df.withColumn("_rows", rows).select(
-        *kept, *[cell(tag).alias(stat) for stat, tag in SEASON_CELL.items()]
-    )
+    kept = [c for c in df.columns if c != rows]
+    return df.select(*kept, *[cell(tag).alias(stat) for stat, tag in SEASON_CELL.items()])
 
 
 def game_rows(df: DataFrame, html: str = "html", width: int = 29) -> DataFrame:

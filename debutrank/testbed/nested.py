@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from debutrank.operators import documents as docs
 from debutrank.operators.dedupe import dedupe_last
-from debutrank.operators.numbering import dense_number
 from debutrank.operators.runs import run_of_map
+from debutrank.plans.populate import numbered_documents
 from debutrank.schemas import STATS
 from debutrank.session import shared_path
+from debutrank.sources import store
 from debutrank.testbed.registry import Registry, snap, snap_sql
 from debutrank.testbed.relations import _LINE_KEY, _LINE_ORDER, _deduped_sql
 from debutrank.testbed.seasons import MEMBERS_CTE, SEASON_CTE, _once, members, seasons, table
@@ -32,15 +33,7 @@ def build_documents(spark, sf_dir):
     nested = docs.nest(
         games, seasons(spark, sf_dir), "entity", "period", "game", _FIELDS, STATS
     )
-    people = dense_number(members(spark, sf_dir), "entity")
-    return nested.join(people, "entity").select(
-        F.col("entity").alias("player_id"),
-        F.col("grp").alias("college"),
-        F.col("region").alias("state"),
-        "number",
-        "part",
-        "seasons",
-    )
+    return numbered_documents(nested, members(spark, sf_dir))
 
 
 def documents(spark, sf_dir):
@@ -48,34 +41,37 @@ def documents(spark, sf_dir):
 
 
 def _flat(rows):
-    """Per customer and period: number of games, quantity of all games, one statistic.
-
-    Sums over the parts of a customer's document; most have one.
-    """
-    keys = [*_KEYS, "period"]
-    quantity = F.aggregate(
-        F.map_values("games"), F.lit(0.0), lambda acc, g: acc + g["l_quantity"]
-    )
-    return (
-        docs.explode_seasons(rows, _KEYS)
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.size("games")).cast("int").alias("games"),
-            F.sum(quantity).alias("quantity"),
-            F.max("all.points").alias("points"),
-        )
-        .withColumn("points", snap("points"))
+    """Per customer and period: number of games, sums of all their fields, all statistics."""
+    values = F.map_values("games")
+
+    def total(field):
+        exact = F.transform(values, lambda g: g[field].cast("decimal(18,4)"))
+        sums = F.aggregate(exact, F.lit(0).cast("decimal(28,4)"), lambda a, x: (a + x).cast("decimal(28,4)"))
+        return sums.cast("double").alias(field)
+
+    return docs.explode_seasons(rows, _KEYS).select(
+        *_KEYS,
+        "period",
+        F.size("games").alias("games"),
+        *[total(f) for f in _FIELDS],
+        *[snap(f"all.{s}").alias(s) for s in STATS],
     )
 
 
 _PEOPLE = (
     MEMBERS_CTE
     + """,
-people AS (SELECT *, row_number() OVER (ORDER BY entity) - 1 AS number FROM members)"""
+people AS (SELECT e.entity, coalesce(grp, 'null') AS grp,
+    CASE WHEN grp IS NULL THEN 'null' ELSE coalesce(region, 'no state') END AS region,
+    row_number() OVER (ORDER BY e.entity) - 1 AS number
+  FROM (SELECT DISTINCT o_custkey AS entity FROM orders JOIN lineitem ON l_orderkey = o_orderkey) e
+  LEFT JOIN members USING (entity))"""
+)
+_SUMS = ", ".join(
+    f"CAST(sum(CAST({f} AS DECIMAL(18,4))) AS DOUBLE) AS {f}" for f in _FIELDS
 )
 _GAMES = f""",
-games AS (SELECT o_custkey AS entity, year(o_orderdate) AS period, count(*) AS games,
-    sum(l_quantity) AS quantity
+games AS (SELECT o_custkey AS entity, year(o_orderdate) AS period, count(*) AS games, {_SUMS}
   FROM ({_deduped_sql("DESC")}) JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
 _FLAT_SQL = (
     "WITH"
@@ -84,8 +80,8 @@ _FLAT_SQL = (
     + _PEOPLE
     + _GAMES
     + f""" SELECT entity AS player_id, grp AS college, region AS state, number,
-  CAST(period AS INTEGER) AS period, CAST(games.games AS INTEGER) AS games, games.quantity,
-  {snap_sql("points")} AS points
+  CAST(period AS INTEGER) AS period, CAST(games.games AS INTEGER) AS games,
+  {", ".join(f"games.{f}" for f in _FIELDS)}, {", ".join(f"{snap_sql(s)} AS {s}" for s in STATS)}
 FROM games JOIN seasons USING (entity, period) JOIN people USING (entity)"""
 )
 
@@ -102,10 +98,10 @@ def scan_documents(spark, sf_dir):
 
 @R.query("sink_documents", _FLAT_SQL)
 def sink_documents(spark, sf_dir):
-    rows = docs.with_labels(documents(spark, sf_dir))
+    rows = documents(spark, sf_dir)
     path = shared_path(spark, "documents-json")
-    rows.write.mode("overwrite").json(path)
-    return _flat(docs.with_years(spark.read.schema(rows.schema).json(path)))
+    store.write_documents(rows, path)
+    return _flat(store.read_documents(spark, path, rows.schema))
 
 
 @R.query(
@@ -132,7 +128,7 @@ def explode_seasons(spark, sf_dir):
 GROUP BY entity, grp, region""",
 )
 def scan_project(spark, sf_dir):
-    rows = documents(spark, sf_dir).filter("part = 0")
+    rows = documents(spark, sf_dir)
     kept = rows.select("player_id", "college", "state", "seasons")
     return kept.withColumn("seasons", F.size("seasons"))
 
@@ -140,11 +136,10 @@ def scan_project(spark, sf_dir):
 @R.query(
     "scan_exclude",
     "WITH" + _PEOPLE + " SELECT entity AS player_id, grp AS college, region AS state, number "
-    "FROM people WHERE entity IN (SELECT o_custkey FROM orders JOIN lineitem "
-    "ON l_orderkey = o_orderkey)",
+    "FROM people",
 )
 def scan_exclude(spark, sf_dir):
-    return documents(spark, sf_dir).filter("part = 0").drop("seasons", "part")
+    return documents(spark, sf_dir).drop("seasons")
 
 
 @R.query(
@@ -158,7 +153,7 @@ LEFT JOIN seasons p98 ON p98.entity = c.entity AND p98.period = 1998
 LEFT JOIN seasons p99 ON p99.entity = c.entity AND p99.period = 1999""",
 )
 def nested_get(spark, sf_dir):
-    rows = documents(spark, sf_dir).filter("part = 0")
+    rows = documents(spark, sf_dir)
     return rows.select(
         "player_id",
         snap(docs.season_stat(F.lit(1998), "points")).alias("points_1998"),
@@ -179,7 +174,7 @@ def nested_get(spark, sf_dir):
     "stat, value FROM flat",
 )
 def compact_documents(spark, sf_dir):
-    rows = documents(spark, sf_dir).filter("part = 0")
+    rows = documents(spark, sf_dir)
     compacted = docs.compact(rows, ["player_id", "college", "state"], STATS)
     keys = ["player_id", "college", "state"]
     by_season = compacted.select(*keys, F.explode("seasons").alias("s"))
@@ -198,7 +193,7 @@ SELECT entity AS player_id, CAST(debut AS INTEGER) AS debut, CAST(count(*) AS IN
 FROM ordered WHERE rn <= 4 AND period - debut = rn - 1 GROUP BY 1, 2""",
 )
 def debut_season_nested(spark, sf_dir):
-    rows = documents(spark, sf_dir).filter("part = 0")
+    rows = documents(spark, sf_dir)
     return rows.select(
         "player_id",
         F.array_min(F.map_keys("seasons")).alias("debut"),

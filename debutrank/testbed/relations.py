@@ -181,7 +181,8 @@ def dedupe_first(spark, sf_dir):
 
 @R.query(
     "dense_number",
-    "SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 "
+    "SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey "
+    "NULLS FIRST, o_orderkey NULLS FIRST) - 1 "
     "AS number FROM orders",
 )
 def dense_number(spark, sf_dir):
@@ -229,7 +230,7 @@ def season_game_means(spark, sf_dir):
 @R.query(
     "sum_and_last",
     "SELECT c_mktsegment AS name, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS score, "
-    "max_by(c_nationkey, c_custkey) AS alumni FROM customer GROUP BY 1",
+    "arg_max_null(c_nationkey, c_custkey) AS alumni FROM customer GROUP BY 1",
 )
 def sum_and_last(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select(
@@ -301,9 +302,9 @@ def replicate(spark, sf_dir):
 
 @R.query(
     "group_sum_count",
-    f"""WITH {MEMBERS_CTE} SELECT grp,
+    f"""WITH {MEMBERS_CTE} SELECT coalesce(grp, 'null') AS grp,
   CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS score, count(*) AS members
-FROM members JOIN customer ON entity = c_custkey GROUP BY grp""",
+FROM members JOIN customer ON entity = c_custkey GROUP BY 1""",
 )
 def group_sum_count(spark, sf_dir):
     balances = table(spark, sf_dir, "customer").select(

@@ -14,8 +14,9 @@ from debutrank.operators.joins import (
 )
 from debutrank.operators.profile import profile_long
 from debutrank.operators.ranking import group_sum_count, with_group
+from debutrank.schemas import STATS
 from debutrank.session import shared_path
-from debutrank.sources import batches, pages
+from debutrank.sources import batches, pages, store
 from debutrank.sources.tsv import read_scores, read_tsv, tab_lines, write_tsv
 from debutrank.testbed.registry import Registry, snap, snap_sql
 from debutrank.testbed.seasons import (
@@ -91,7 +92,7 @@ def scan_range_batches(spark, sf_dir):
     "count(DISTINCT p_name) AS names FROM part GROUP BY 1",
 )
 def scan_prefix_partitions(spark, sf_dir):
-    rows = batches.by_prefix(table(spark, sf_dir, "part"), "p_name")
+    rows = batches.with_prefix(table(spark, sf_dir, "part").select("p_name"), "p_name")
     return rows.groupBy("prefix").agg(
         F.count("*").alias("parts"), F.count_distinct("p_name").alias("names")
     )
@@ -116,18 +117,17 @@ def scan_fixed_batches(spark, sf_dir):
 
 @R.query(
     "union_batches",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(batch AS INTEGER) AS batch FROM "
-    "(SELECT *, CASE WHEN o_orderkey < 5000 THEN 0 WHEN o_orderkey < 10000 THEN 1 ELSE 2 END "
-    "AS batch FROM orders)",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CASE WHEN o_orderkey IS NULL THEN 3 ELSE "
+    "(o_orderkey - low) // width END AS INTEGER) AS batch FROM orders, (SELECT low, "
+    "CAST(ceil((high - low + 1) / 3) AS BIGINT) AS width "
+    "FROM (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders))",
 )
 def union_batches(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    bounds = [0, 5000, 10000, 2**62]
-    reads = [
-        batches.read_range(orders, "o_orderkey", low, high).withColumn("batch", F.lit(i))
-        for i, (low, high) in enumerate(zip(bounds, bounds[1:]))
-    ]
-    return batches.union_batches(reads)
+    reads = batches.range_batches(orders, "o_orderkey", 3)
+    return batches.union_batches(
+        [rows.withColumn("batch", F.lit(i)) for i, rows in enumerate(reads)]
+    )
 
 
 @R.query(
@@ -246,15 +246,19 @@ def pages_not_processed(spark, sf_dir):
     "WITH"
     + SEASON_CTE
     + ","
-    + profile_cte([f"points_{op}" for op in ("mean", "variance", "max", "min")])
-    + f""" SELECT CAST(period AS INTEGER) AS period, 'points' AS stat,
- {snap_sql("points_mean")} AS mean, {snap_sql("points_variance", "1e2")} AS variance,
- {snap_sql("points_max")} AS max, {snap_sql("points_min")} AS min FROM profile""",
+    + profile_cte([f"{s}_{op}" for s in STATS for op in ("mean", "variance", "max", "min")])
+    + " "
+    + " UNION ALL ".join(
+        f"""SELECT CAST(period AS INTEGER) AS period, '{s}' AS stat,
+ {snap_sql(f"{s}_mean")} AS mean, {snap_sql(f"{s}_variance", "1e2")} AS variance,
+ {snap_sql(f"{s}_max")} AS max, {snap_sql(f"{s}_min")} AS min FROM profile"""
+        for s in STATS
+    ),
 )
 def sink_profile(spark, sf_dir):
     path = shared_path(spark, "profile")
-    profile_long(season_profile(spark, sf_dir)).write.partitionBy("period").parquet(path)
-    rows = spark.read.parquet(path).filter("stat = 'points'")
+    store.write_profile(season_profile(spark, sf_dir), path)
+    rows = profile_long(store.read_profile(spark, path))
     return rows.select(
         "period",
         "stat",
@@ -286,7 +290,13 @@ FROM base LEFT JOIN updates USING (name)""",
 )
 def merge_upsert(spark, sf_dir):
     existing, new, updates = _upsert_inputs(spark, sf_dir)
-    return upsert(existing, new, updates, "name", "score", ["c_custkey"], ["s_suppkey"])
+    path = shared_path(spark, "regions")
+    store.write_table(existing, path)
+    merged = upsert(
+        store.read_table(spark, path), new, updates, "name", "score", ["c_custkey"], ["s_suppkey"]
+    )
+    store.write_table(merged, path)
+    return store.read_table(spark, path)
 
 
 def _upsert_inputs(spark, sf_dir):
@@ -344,9 +354,9 @@ def update_present(spark, sf_dir):
     "flatten_tsv",
     "WITH"
     + MEMBERS_CTE
-    + """ SELECT grp || chr(9) || CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR)
+    + """ SELECT coalesce(grp, 'null') || chr(9) || CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR)
  || chr(9) || CAST(count(*) AS VARCHAR) AS line
-FROM members JOIN customer ON entity = c_custkey GROUP BY grp""",
+FROM members JOIN customer ON entity = c_custkey GROUP BY coalesce(grp, 'null')""",
 )
 def flatten_tsv(spark, sf_dir):
     balances = table(spark, sf_dir, "customer").select(

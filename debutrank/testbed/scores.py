@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from debutrank.categories import CATEGORIES, category
+from debutrank.functions.cells import MISSING_GROUP, MISSING_REGION
 from debutrank.functions.scores import (
     COMPARISONS,
     bonus_term,
@@ -21,7 +22,9 @@ from debutrank.operators.scoring import (
     score_entities,
 )
 from debutrank.plans import presentation, rankings
+from debutrank.plans.populate import Tables
 from debutrank.schemas import STATS
+from debutrank.session import shared_path, written
 from debutrank.testbed.registry import Registry, number, snap, snap_sql
 from debutrank.testbed.score_sql import (
     condition,
@@ -281,6 +284,45 @@ def player_score_scaled(spark, sf_dir):
     return ranked.withColumn("score", snap("score"))
 
 
+@R.query(
+    "group_score_scaled_att",
+    _group_ctes([_ATT], scaled=True)
+    + f" SELECT grp, {snap_sql('(' + rescaled('att_score', 'grouped') + ')', '1e3')} AS score, "
+    "members FROM grouped",
+)
+def group_score_scaled(spark, sf_dir):
+    tables = _tables(spark, sf_dir)
+    ranked = rankings.run(tables, "attackers", groups=True, scaled=True)
+    return ranked.withColumn("score", snap("score", 1e3))
+
+
+def _tables(spark, sf_dir):
+    return Tables(seasons(spark, sf_dir), season_profile(spark, sf_dir), members(spark, sf_dir))
+
+
+# Every third season lacks what the attackers and defenders are weighted and tested by.
+_GAPS = sorted(set(_ATT.stats) | set(_DEF.stats))
+
+
+@R.query(
+    "player_score_missing",
+    score_ctes([_ATT, _DEF]).replace(
+        "marks AS (",
+        "gaps AS (SELECT * REPLACE ("
+        + ", ".join(f"CASE WHEN entity % 3 = 0 THEN 0e0 ELSE {s} END AS {s}" for s in _GAPS)
+        + ") FROM seasons),\nmarks AS (",
+    ).replace("FROM seasons JOIN profile", "FROM gaps JOIN profile")
+    + f" SELECT entity, {snap_sql('att_score')} AS att_score, {snap_sql('def_score')} AS def_score "
+    "FROM scores",
+)
+def player_score_missing(spark, sf_dir):
+    """A missing statistic is scored as 0 (the profile is that of the whole table)."""
+    rows = seasons(spark, sf_dir)
+    gaps = rows.withColumns({s: F.when(F.col("entity") % 3 != 0, F.col(s)) for s in _GAPS})
+    scores = score_entities(gaps, season_profile(spark, sf_dir), [_ATT, _DEF])
+    return scores.select("entity", snap("att_score").alias("att_score"), snap("def_score").alias("def_score"))
+
+
 def _raw_scores(spark, sf_dir, categories=CATEGORIES):
     return score_entities(seasons(spark, sf_dir), season_profile(spark, sf_dir), categories)
 
@@ -386,6 +428,35 @@ def _ranked_groups(spark, sf_dir):
     )
 
 
+_SCALED_ENTITIES = score_ctes(CATEGORIES, True) + _ranked_cte("scores", "ranked", "entity")
+
+
+@R.query("all_categories_scaled", _SCALED_ENTITIES + " " + _long_sql("ranked", "entity", "1e4"))
+def all_categories_scaled(spark, sf_dir):
+    rows = rankings.run(_tables(spark, sf_dir), "all", scaled=True)
+    return rows.withColumn("score", snap("score"))
+
+
+@R.query(
+    "score_files_roundtrip",
+    _group_ctes(CATEGORIES)
+    + ",\nnamed AS (SELECT * FROM grouped WHERE grp <> 'null')"
+    + _ranked_cte("named", "ranked_groups", "grp", ", members")
+    + " "
+    + " UNION ALL ".join(
+        f"SELECT grp AS name, '{s}' AS category, {snap_sql(f'{s}_score', '1e3')} AS score, "
+        "members FROM ranked_groups"
+        for s in SHORTS
+    ),
+)
+def score_files_roundtrip(spark, sf_dir):
+    """Group rankings without the group ``null``, as score files and read back."""
+    folder = shared_path(spark, "score-files")
+    paths = rankings.write_score_files(_tables(spark, sf_dir), folder, groups=True, without_missing=True)
+    rows = rankings.read_score_files(spark, paths, groups=True)
+    return rows.withColumn("score", snap("score", 1e3))
+
+
 @R.query("all_categories_players", _ENTITIES + " " + _long_sql("ranked", "entity", "1e4"))
 def all_categories_players(spark, sf_dir):
     rows = long_scores(_ranked(spark, sf_dir), ["entity"], CATEGORIES)
@@ -411,9 +482,7 @@ def merge_categories(spark, sf_dir):
     base = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("entity"), F.col("c_name").alias("name")
     )
-    merged = rollup.merge_categories(
-        base, long_scores(_ranked(spark, sf_dir), ["entity"], CATEGORIES), "entity", SHORTS
-    )
+    merged = base.join(_ranked(spark, sf_dir), "entity", "left")
     return merged.select("entity", "name", *[snap(c).alias(c) for c in COLUMNS])
 
 
@@ -513,9 +582,9 @@ def top10_players(spark, sf_dir):
     names = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("entity"), F.col("c_name").alias("name")
     )
-    # Ten rows: the names stay where they are and are not shuffled.
-    named = names.join(F.broadcast(best), "entity").select("entity", "name", "score")
-    return ranking.top_k(named, 10, "score", ["entity"])
+    # Ten rows: the names stay where they are, those of the ten are found without a shuffle.
+    found = names.join(F.broadcast(best.select("entity")), "entity", "left_semi")
+    return best.join(found, "entity", "left").select("entity", "name", "score")
 
 
 @R.query(
@@ -549,24 +618,42 @@ def topk_per_category(spark, sf_dir):
     _ROLLED
     + _ranked_cte("scores", "ranked", "entity")
     + _presented_cte("rolled", "states", "region")
-    + f""" SELECT places.region, {snap_sql("states.score", "1e3")} AS region_score, places.grp,
-  {snap_sql("totals.score", "1e3")} AS grp_score, members.entity, members.name,
+    + f""" SELECT coalesce(places.region, CASE WHEN members.grp IS NULL THEN 'null' ELSE 'no state' END)
+    AS region, {snap_sql("states.score", "1e3")} AS region_score, coalesce(members.grp, 'null') AS grp,
+  {snap_sql("totals.score", "1e3")} AS grp_score, seasons.entity, members.name,
   {snap_sql("ranked.att_score")} AS entity_score, CAST(seasons.period AS INTEGER) AS period,
   {snap_sql("seasons.points")} AS points
-FROM seasons JOIN ranked USING (entity) JOIN members USING (entity)
-JOIN totals ON totals.grp = members.grp JOIN places ON places.grp = totals.grp
-JOIN states ON states.region = places.region""",
+FROM seasons JOIN ranked USING (entity) LEFT JOIN members USING (entity)
+LEFT JOIN totals ON totals.grp = coalesce(members.grp, 'null')
+LEFT JOIN places ON places.grp = members.grp
+LEFT JOIN states ON states.region = places.region""",
 )
 def drilldown(spark, sf_dir):
-    regions, groups = _regions_and_groups(spark, sf_dir)
-    states = presentation.region_totals(regions, groups, "region", COLUMNS)
+    """Every ranked entity and season; what has no group or region has the labels for that."""
+    people = members(spark, sf_dir)
+    raw = written(_raw_scores(spark, sf_dir), "scores")
+    ranked_groups = rankings.rank_groups_of(raw, people, COLUMNS)
+    totals = written(presentation.group_totals(ranked_groups, COLUMNS), "group-totals")
+    places = nations(spark, sf_dir).select(
+        F.col("n_name").alias("grp"), F.col("r_name").alias("region")
+    )
+    regions = table(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
+    states = presentation.region_totals(regions, totals.join(places, "grp"), "region", COLUMNS)
+    groups = (
+        totals.select("grp", F.col("score").alias("grp_score"))
+        .join(places, "grp", "left")
+        .join(states.select("region", F.col("score").alias("region_score")), "region", "left")
+    )
+    ranked = ranking.with_group(
+        ranking.rescale(raw, COLUMNS).select("entity", "att_score"), people.select("entity", "grp")
+    )
     return (
         seasons(spark, sf_dir)
         .select("entity", "period", "points")
-        .join(_ranked(spark, sf_dir).select("entity", "att_score"), "entity")
-        .join(members(spark, sf_dir).select("entity", "name", "grp"), "entity")
-        .join(groups.select("grp", "region", F.col("score").alias("grp_score")), "grp")
-        .join(states.select("region", F.col("score").alias("region_score")), "region")
+        .join(ranked, "entity")
+        .join(people.select("entity", "name"), "entity", "left")
+        .join(groups, "grp", "left")
+        .withColumn("region", F.coalesce("region", F.when(F.col("grp") == MISSING_GROUP, MISSING_GROUP).otherwise(MISSING_REGION)))
         .select(
             "region",
             snap("region_score", 1e3).alias("region_score"),

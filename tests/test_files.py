@@ -10,8 +10,10 @@ from debutrank.categories import CATEGORIES
 from debutrank.operators.documents import compact, season_rows, season_stat
 from debutrank.plans import extract, populate, presentation, rankings
 from debutrank.schemas import GAME_FILE, PLAYER_FILE, SEASON_FILE, STATS
+from debutrank import session
 from debutrank.operators.scoring import score_columns
 from debutrank.sources import pages, tsv
+from debutrank.sources.store import read_profile, read_table, write_table
 from tests import brute
 
 
@@ -109,6 +111,62 @@ def test_region_totals(spark, tables):
     assert got["empty"].score == 0.0
 
 
+def test_unreadable_season_is_rejected(spark, files, tmp_path):
+    lines = open(files["games"]).read().rstrip("\n").split("\n")
+    cells = lines[1].split("\t")
+    at = list(GAME_FILE.values()).index("season")
+    cells[at] = "last winter"
+    bad = tmp_path / "games.csv"
+    bad.write_text("\n".join([*lines, "\t".join(cells)]) + "\n")
+    store = str(tmp_path / "store")
+    got = populate.populate(spark, files["players"], files["stats"], str(bad), store=store)
+    assert [r.season for r in got.rejected.collect()] == ["last winter"]
+    assert {(r.entity, r.period) for r in got.seasons.collect()} == set(files["expected"])
+    seasons = season_rows(got.documents, ["player_id"])
+    assert {(r.player_id, r.period) for r in seasons.collect()} == set(files["expected"])
+    stored = read_profile(spark, f"{store}/profile")
+    assert sorted(stored.select(*got.profile.columns).collect()) == sorted(got.profile.collect())
+    assert spark.read.parquet(f"{store}/compacted").count() == got.documents.count()
+
+
+def test_table_is_replaced_by_what_was_made_from_it(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for i in range(4):
+        rows = spark.range(1) if i == 0 else read_table(spark, path).union(spark.range(i, i + 1))
+        write_table(rows, path)
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [0, 1, 2, 3]
+    assert len(list((tmp_path / "table").iterdir())) == 2
+
+
+def test_score_files(spark, tables, tmp_path):
+    paths = rankings.write_score_files(tables, str(tmp_path), groups=True, without_missing=True)
+    got = rankings.read_score_files(spark, paths, groups=True).collect()
+    every = rankings.run(tables, "all", groups=True, without_missing=True).collect()
+    assert {(r.name, r.category): (r.score, r.members) for r in got} == {
+        (r.grp, r.category): (r.score, r.members) for r in every if r.score is not None
+    }
+    assert all(r.grp != "null" for r in every)
+    assert any(r.grp == "null" for r in rankings.run(tables, "all", groups=True).collect())
+
+
+def test_release_drops_what_was_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "named_folder", lambda _: str(tmp_path / "work"))
+    assert session.written(spark.range(3), "x").count() == 3
+    assert list((tmp_path / "work" / "debutrank").iterdir())
+    session.release(spark)
+    assert not list((tmp_path / "work" / "debutrank").iterdir())
+
+
+def test_folder_of_the_setting_comes_first(spark, monkeypatch):
+    monkeypatch.setattr(session, "CHECKPOINT_DIR", "spark.sql.warehouse.dir")  # one that is set
+    assert session.shared_dir(spark) == spark.conf.get("spark.sql.warehouse.dir")
+    monkeypatch.setattr(session, "CHECKPOINT_DIR", "spark.no.such.setting")
+    assert session.shared_dir(spark) == session._folders[spark.sparkContext.applicationId]
+    monkeypatch.setattr(session, "_folders", {})
+    with pytest.raises(RuntimeError, match="spark.no.such.setting"):
+        session.written(spark.range(3), "x")
+
+
 def test_run(tables):
     players = rankings.run(tables, "all")
     assert players.columns == ["entity", "category", "score"]
@@ -247,9 +305,26 @@ def test_season_page(spark):
         return f'<tr id="per_game.{year}" class="x"><td data-stat="g">{g}</td><td data-stat="pts_per_g">{pts}</td></tr>'
 
     page = row(2000, 70, "<strong>21.5</strong>") + row(2001, 60, 11) + row(2001, 20, "9.5")
-    df = html(spark, page).withColumn("season_end", F.explode(F.lit([2000, 2001, 2002])))
-    got = {r.season_end: (r.games_played, r.points, r.assists) for r in pages.season_cells(df).collect()}
-    assert got == {2000: ("70", "21.5", None), 2001: ("20", "9.5", None), 2002: (None, None, None)}
+    rows = pages.season_rows(html(spark, page))
+    assert rows.columns == ["id", "season_end", "rows"]  # without the text of the page
+    got = {r.season_end: (r.games_played, r.points, r.assists) for r in pages.season_cells(rows).collect()}
+    assert got == {2000: ("70", "21.5", None), 2001: ("20", "9.5", None)}
+
+
+def test_seasons_without_a_row(spark):
+    players = spark.createDataFrame([("p", "2000", "2002"), ("q", "2000", "2001")], "player_id string, debut string, last string")
+    page = '<tr id="per_game.2001"><td data-stat="g">7</td></tr>'
+    player_pages = spark.createDataFrame([("p", page)], "player_id string, html string")
+    got = {(r.player_id, r.season): r.games_played for r in extract.season_stats(players, player_pages).collect()}
+    assert got == {("p", "1999-2000"): None, ("p", "2000-2001"): "7", ("p", "2001-2002"): None}
+
+
+def test_key_with_regex_signs(spark):
+    df = spark.createDataFrame(
+        [("a(", "a(=1"), ("a.b", "axb=2 a.b=3"), (r"x\Ey", r"x\Ey=4")], "k string, html string"
+    )
+    got = pages.field_values(df, "html", {"v": "<key>=(.)"}, key="k").collect()
+    assert [r.v for r in got] == ["1", "3", "4"]
 
 
 def test_game_rows(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from debutrank.categories import CATEGORIES
-from debutrank.operators import dedupe, documents, ranking, runs
+from debutrank.operators import dedupe, documents, ranking, runs, scoring
 from debutrank.operators.scoring import score_entities
 from debutrank.session import written
 from debutrank.testbed import seasons as testbed
@@ -48,15 +48,18 @@ def test_only_needed_statistics_are_read(spark, tables):
     }
 
 
-def test_large_profile_is_not_broadcast(spark, tables):
+def test_profile_is_broadcast_by_its_rows(spark, tables, monkeypatch):
     name = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(name)
     spark.conf.set(name, "-1")
     try:
-        plan = plan_of(score_entities(*tables, ["att"]))
+        few = plan_of(score_entities(*tables, ["att"]))
+        monkeypatch.setattr(scoring, "PROFILE_ROWS", 0)
+        many = plan_of(score_entities(*tables, ["att"]))
     finally:
         spark.conf.set(name, before)
-    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert "SortMergeJoin" not in few and "Broadcast" in few
+    assert "Broadcast" not in many and "SortMergeJoin" in many
 
 
 def test_rescaling_reuses_the_scores(spark, tables):
@@ -86,12 +89,11 @@ def test_a_hot_entity_is_spread_over_documents(spark):
         "id",
     )
     stats = games.groupBy("e", "p").agg(F.count("*").alias("n"))
-    docs = written(documents.nest(games, stats, "e", "p", "g", ["id"], ["n"], 500), "hot")
+    docs = written(documents.nest(games, stats, "e", "p", "g", ["id"], ["n"], 14), "hot")
     sizes = docs.filter("e = 0").select(F.size(F.col("seasons")[1]["games"]).alias("n"))
     assert sizes.count() == 14
     assert sizes.agg(F.sum("n")).first()[0] == 6667
     assert sizes.agg(F.max("n")).first()[0] < 700
-    assert docs.filter("e > 0").agg(F.max("part")).first()[0] == 0
 
 
 def test_a_hot_order_is_split(spark, tmp_path, sf_dir):

