@@ -30,17 +30,12 @@ def _exact(column: str, kind: str) -> Column:
     return F.col(column).cast(kind)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their customer and year.
+def _exact_lines(lines: DataFrame) -> DataFrame:
+    """Lines with decimals: sums over them are exact and do not depend on the order of the rows.
 
-    Sums are taken over decimals, so they are exact and do not depend on the order of
-    the rows. The small ones are narrow enough for sums that fit a long.
+    The small ones are narrow enough for sums that fit a long.
     """
-    orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("entity"),
-        F.year("o_orderdate").alias("period"),
+    return lines.select(
         "l_orderkey",
         "l_linenumber",
         "l_suppkey",
@@ -50,26 +45,34 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _exact("l_discount", "decimal(8,4)").alias("discount"),
         _exact("l_tax", "decimal(8,4)").alias("tax"),
         _exact("l_extendedprice", "decimal(18,4)").alias("price"),
-        _exact("o_totalprice", "decimal(18,4)").alias("order_price"),
     )
 
 
-def _total(value: str, condition: str = "true") -> str:
-    picked = value if condition == "true" else f"CASE WHEN {condition} THEN {value} END"
-    return f"coalesce(cast(sum({picked}) as double), 0D)"
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their customer and year."""
+    orders = table(spark, sf_dir, "orders")
+    lines = _exact_lines(table(spark, sf_dir, "lineitem"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("entity"),
+        F.year("o_orderdate").alias("period"),
+        *lines.columns,
+        _exact("o_totalprice", "decimal(18,4)").alias("order_price"),
+    )
 
 
-_SUMS = {
-    "q": _total("quantity"),
-    "q_f": _total("quantity", "l_linestatus = 'F'"),
-    "q_n": _total("quantity", "l_returnflag = 'N'"),
-    "q_nf": _total("quantity", "l_returnflag = 'N' AND l_linestatus = 'F'"),
-    "q_o": _total("quantity", "l_returnflag <> 'N'"),
-    "q_of": _total("quantity", "l_returnflag <> 'N' AND l_linestatus = 'F'"),
-    "d": _total("discount"),
-    "t": _total("tax"),
-    "p": _total("price"),
-    "pm": _total("price - cast(0.25 as decimal(3,2)) * order_price"),
+# Sums over the lines of an order, then over the orders of a season.
+_DECIMALS = {
+    "q": "quantity",
+    "q_f": "CASE WHEN l_linestatus = 'F' THEN quantity END",
+    "q_n": "CASE WHEN l_returnflag = 'N' THEN quantity END",
+    "q_nf": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN quantity END",
+    "q_o": "CASE WHEN l_returnflag <> 'N' THEN quantity END",
+    "q_of": "CASE WHEN l_returnflag <> 'N' AND l_linestatus = 'F' THEN quantity END",
+    "d": "discount",
+    "t": "tax",
+    "p": "price",
+}
+_COUNTS = {
     "c": "count(*)",
     "r_o": "count_if(l_returnflag = 'R' AND l_linestatus <> 'F')",
     "r_f": "count_if(l_returnflag = 'R' AND l_linestatus = 'F')",
@@ -118,26 +121,39 @@ def _ratio(numerator: str, denominator: str, scale: str) -> str:
 def build_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """26 statistics per customer and year.
 
-    Sums, distinct orders and lines, and distinct suppliers are three aggregations that
-    meet on (entity, period): one aggregation with several distinct counts would send
-    every row once per count. Distinct lines are counted per order before the join.
+    The lines are summed per order before they meet the orders, so the wide columns are joined
+    once per order, and an order of very many lines is summed on the map side. Distinct suppliers
+    take a second, two-column read of the lines: one aggregation with both kinds of distinct
+    counts would send every row once per count.
     """
     keys = ["entity", "period"]
-    lines = order_lines(spark, sf_dir)
-    sums = lines.groupBy(*keys).agg(*[F.expr(f"{e} AS {n}") for n, e in _SUMS.items()])
-    lines_of_order = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.count_distinct("l_linenumber").alias("nl"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").alias("entity"),
+        F.year("o_orderdate").alias("period"),
+        _exact("o_totalprice", "decimal(18,4)").alias("order_price"),
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    same = F.col("l_orderkey") == F.col("o_orderkey")
+    per_order = _exact_lines(lines).groupBy("l_orderkey").agg(
+        *[F.expr(f"sum({e}) AS {n}") for n, e in _DECIMALS.items()],
+        *[F.expr(f"{e} AS {n}") for n, e in _COUNTS.items()],
+        F.count_distinct("l_linenumber").alias("nl"),
+    )
+    price_gap = "p - cast(0.25 as decimal(3,2)) * order_price * c"
+    totals = {n: n for n in _DECIMALS} | {"pm": price_gap}
+    sums = per_order.join(orders, same).groupBy(*keys).agg(
+        *[F.expr(f"coalesce(cast(sum({e}) as double), 0D) AS {n}") for n, e in totals.items()],
+        *[F.sum(n).alias(n) for n in [*_COUNTS, "nl"]],
+        F.count("*").alias("n"),
     )
-    games = (
-        table(spark, sf_dir, "orders")
-        .join(lines_of_order, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy(F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("period"))
-        .agg(F.count("*").alias("n"), F.sum("nl").alias("nl"))
+    suppliers = (
+        lines.select("l_orderkey", "l_suppkey")
+        .join(orders.drop("order_price"), same)
+        .groupBy(*keys)
+        .agg(F.count_distinct("l_suppkey").alias("suppliers"))
     )
-    suppliers = lines.groupBy(*keys).agg(F.count_distinct("l_suppkey").alias("suppliers"))
-    parts = sums.join(games, keys).join(suppliers, keys)
+    parts = sums.join(suppliers, keys)
     return parts.selectExpr(*keys, *[f"round({_ratio(*_STATS[s])}, 9) AS {s}" for s in STATS])
 
 

@@ -128,3 +128,17 @@ def test_a_hot_order_is_split(spark, tmp_path, sf_dir):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_season_table_reads_the_lines_twice(spark, sf_dir):
+    """Once with all columns and once with two; no join of lines carries the wide ones."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = plan_of(testbed.build_seasons(spark, sf_dir))
+    finally:
+        spark.conf.set(name, before)
+    scans = [x for x in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) if "l_orderkey" in x]
+    assert sorted(len(x.split(",")) for x in scans) == [2, 8]
+    assert plan.count("SortMergeJoin") == 3
