@@ -175,22 +175,32 @@ def _unsettled(member: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _by_prefix(inside: DataFrame, outer: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes in different components, one of them in ``outer``, that may be linked.
 
-    A partner of a set has at least ``PERCENT`` of its shingles, so it has one of any (100 - ``PERCENT``) % and
-    one more of them. The rarest are taken: most sets that are linked with nothing here have so many
-    shingles of their own that no candidate is left. This finds every link, whatever the tables say.
+    All sets are ordered alike, rare shingles first. Partners share ``PERCENT`` of either set, so they
+    share a shingle in both prefixes, the first (100 - ``PERCENT``) % and one more. At the first shared
+    shingle, what follows it in both sets has to be long enough for the shared part of a link; this
+    is asked of every shared shingle, as a linked pair passes at its first one. Sets that share
+    common passages and little else have shingles of their own in front and give no pair. No
+    link is lost, whatever the tables say.
     """
     rows = written(_exploded(inside, texts), "shingles")
-    own = rows.join(outer, "node", "left_semi")
-    count = rows.join(own.select("shingle").distinct(), "shingle", "left_semi")
-    count = count.groupBy("shingle").agg(F.count("*").alias("n"))
+    count = written(rows.groupBy("shingle").agg(F.count("*").alias("n")), "rarity")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     least = F.ceil(F.col("size") * PERCENT / 100)
-    prefix = own.join(count, "shingle").withColumn("rank", rank)
+    prefix = rows.join(count, "shingle").withColumn("rank", rank)
     prefix = prefix.filter((F.col("rank") <= F.col("size") - least + 1) & (F.col("n") > 1))
-    prefix = prefix.select("shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("sa"))
-    other = rows.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("sb"))
-    near = (100 * F.least("sa", "sb") >= PERCENT * F.greatest("sa", "sb")) & (F.col("ca") != F.col("cb"))
-    pairs = prefix.join(other, "shingle").filter(near)
+    prefix = written(prefix.select("shingle", "node", "component", "size", "rank"), "prefixes")
+    one = prefix.join(outer, "node", "left_semi").select(
+        "shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("sa"),
+        F.col("rank").alias("ra"),
+    )
+    other = prefix.select(
+        "shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("sb"),
+        F.col("rank").alias("rb"),
+    )
+    most = 1 + F.least(F.col("sa") - F.col("ra"), F.col("sb") - F.col("rb"))
+    near = (F.col("ca") != F.col("cb")) & ((100 + PERCENT) * most >= PERCENT * (F.col("sa") + F.col("sb")))
+    same = (F.col("one.shingle") == F.col("other.shingle")) & near
+    pairs = one.alias("one").join(other.alias("other"), same)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
