@@ -27,7 +27,7 @@ from debutrank.session import written
 PIECE_TOKENS = 600_000
 BUCKET_BYTES = 16 << 20  # of text for each bucket of the counts
 BITS = 10  # for each entry of a filter
-PROBES = 7
+WORDS = 4  # of 64 bits in a block; an entry sets two bits in each
 FILTER_BYTES = (32 << 20, 128 << 20)  # most that the filter of words, and that of pairs, may take
 STEP = 1.1  # between quantised counts; the small ones are exact
 ADDED = 0.1
@@ -52,13 +52,21 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> K.U64(32)) * K.U64(buckets) >> K.U64(32)).astype(np.int64)
 
 
-def _bits(hashes: np.ndarray, level: int | np.ndarray, size: int | np.ndarray) -> Iterator[np.ndarray]:
-    """The places of an entry among ``size`` bits, one array for each probe."""
+def _places(hashes: np.ndarray, level: int | np.ndarray, size: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The block of an entry among ``size`` bits, and a hash of whose bits its places in it are made.
+
+    All probes of an entry fall in one block of ``WORDS`` 64-bit words, two in each word, so that
+    they cost one access to memory that is not at hand.
+    """
     mixed = K.mix(hashes + np.asarray(level, np.int64).astype(K.U64) * K.U64(0x9E3779B97F4A7C15))
-    low, high = mixed & K.U64(0xFFFFFFFF), (mixed >> K.U64(32)) | K.U64(1)
-    size = np.asarray(size).astype(K.U64)
-    for i in range(PROBES):
-        yield ((low + K.U64(i) * high) & K.U64(0xFFFFFFFF)) * size >> K.U64(32)
+    blocks = np.asarray(size).astype(K.U64) // K.U64(64 * WORDS)
+    block = (mixed >> K.U64(32)) * blocks >> K.U64(32)
+    return block.astype(np.int64), mixed * K.U64(0xD6E8FEB86659FD93)
+
+
+def _two(bits: np.ndarray, word: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places in one word of a block."""
+    return (bits >> K.U64(12 * word + 16)) & K.U64(63), (bits >> K.U64(12 * word + 22)) & K.U64(63)
 
 
 def build_segment(hashes: np.ndarray, counts: np.ndarray, most_bytes: int) -> bytes:
@@ -74,12 +82,15 @@ def build_segment(hashes: np.ndarray, counts: np.ndarray, most_bytes: int) -> by
     least = int(fits[0]) if len(fits) else len(above)
     kept = level >= max(least, 1)
     hashes, level = hashes[kept], level[kept]
-    size = max(64, int(level.sum()) * BITS)
+    block = 64 * WORDS
+    size = max(1, -(-int(level.sum()) * BITS // block)) * block
     flags = np.zeros(size, np.uint8)
     repeated = np.repeat(hashes, level)
     each = np.arange(len(repeated)) - np.repeat(np.cumsum(level) - level, level) + 1
-    for at in _bits(repeated, each, size):
-        flags[at.astype(np.int64)] = 1
+    at, bits = _places(repeated, each, size)
+    for word in range(WORDS):
+        for place in _two(bits, word):
+            flags[at * block + 64 * word + place.astype(np.int64)] = 1
     return size.to_bytes(8, "little") + np.packbits(flags, bitorder="little").tobytes()
 
 
@@ -103,7 +114,7 @@ class LogFilter:
     """All segments of a filter."""
 
     def __init__(self, size: np.ndarray, offset: np.ndarray, data: np.ndarray):
-        self.size, self.offset, self.data = size, offset, data
+        self.size, self.offset, self.words = size, offset // 8, data.view(K.U64)
         self.buckets = len(size)
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
@@ -113,11 +124,14 @@ class LogFilter:
         level = np.zeros(len(hashes), np.int64)
         left = np.flatnonzero(size > 0)
         for q in range(1, len(LEVELS) + 1):
-            found = np.ones(len(left), bool)
-            for at in _bits(hashes[left], q, size[left]):
-                at = at.astype(np.int64)
-                found &= ((self.data[offset[left] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-            left = left[found]
+            at, bits = _places(hashes[left], q, size[left])
+            at = offset[left] + at * WORDS
+            for word in range(WORDS):
+                one, two = _two(bits, word)
+                mask = (K.U64(1) << one) | (K.U64(1) << two)
+                found = (self.words[at + word] & mask) == mask
+                if not found.all():
+                    left, at, bits = left[found], at[found], bits[found]
             if not len(left):
                 break
             level[left] = q
@@ -194,13 +208,14 @@ class Piece:
     def codes(self) -> np.ndarray:
         return np.append(self.words, END)
 
-    def pairs(self, history: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs as hashes, and the place of each token's pair among them."""
+    def pairs(self, history: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct pairs as hashes, the place of each token's pair among them, and their two words."""
         n = len(self.words) + 1
         distinct, places = np.unique(history * n + token, return_inverse=True)
         codes = self.codes()
-        hashes = K.mix(codes[distinct // n] * K.U64(0xA24BAED4963EE407) + codes[distinct % n])
-        return hashes, places
+        first, second = np.divmod(distinct, n)
+        hashes = K.mix(codes[first] * K.U64(0xA24BAED4963EE407) + codes[second])
+        return hashes, places, first, second
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -243,7 +258,7 @@ def _pair_rows(buckets: int):
             piece = Piece(row)
             history, token, doc = piece.sequence()
             trained = piece.trained()[doc]
-            hashes, places = piece.pairs(history[trained], token[trained])
+            hashes, places, _, _ = piece.pairs(history[trained], token[trained])
             counts = np.bincount(places, minlength=len(hashes))
             order = np.argsort(hashes)
             yield _dealt(row["piece"], hashes[order], counts[order], buckets)
@@ -267,8 +282,9 @@ def _count_words(most: int):
         seen = total > 0
         lengths = (rows["hashes"].str.len() // 8).to_numpy()
         ends = np.cumsum(lengths)
-        replies = [total[places[e - n : e]].tobytes() for n, e in zip(lengths, ends)]
-        out = pd.DataFrame({"piece": rows["piece"], "bucket": rows["bucket"], "data": replies, "n": 0, "tokens": 0})
+        narrow = total.astype(np.uint32) if total.max(initial=0) < 1 << 32 else total
+        replies = [narrow[places[e - n : e]].tobytes() for n, e in zip(lengths, ends)]
+        out = pd.DataFrame({"piece": rows["piece"], "bucket": rows["bucket"], "data": replies, "n": lengths, "tokens": 0})
         segment = build_segment(distinct[seen], total[seen], most)
         own = {"piece": -1, "bucket": rows["bucket"].iloc[0], "data": segment, "n": seen.sum(), "tokens": total.sum()}
         return pd.concat([out, pd.DataFrame([own])], ignore_index=True)
@@ -295,33 +311,35 @@ class Model:
         self.weights = weights
 
     def counts(self, piece: Piece, history: np.ndarray, token: np.ndarray):
-        """Quantised counts of histories, tokens and pairs; a pair has at most those of its words."""
+        """Quantised counts of the histories, tokens and wholes of all distinct pairs, and the place
+        of each token's pair among them. A pair has at most the counts of its words."""
         word = np.append(self.words.counts(piece.words), self.docs)
-        hashes, places = piece.pairs(history, token)
-        of_history, of_token = word[history], word[token]
-        pair = np.minimum(self.pairs.counts(hashes)[places], np.minimum(of_history, of_token))
-        return of_history, of_token, pair
+        hashes, places, first, second = piece.pairs(history, token)
+        of_history, of_token = word[first], word[second]
+        pair = np.minimum(self.pairs.counts(hashes), np.minimum(of_history, of_token))
+        return of_history, of_token, pair, places
 
     @staticmethod
     def bins(of_history: np.ndarray) -> np.ndarray:
         return np.minimum(np.log2(np.maximum(of_history, 1)).astype(np.int64), BINS - 1)
 
     def log_probability(self, piece: Piece, history: np.ndarray, token: np.ndarray) -> np.ndarray:
-        of_history, of_token, pair = self.counts(piece, history, token)
+        of_history, of_token, pair, places = self.counts(piece, history, token)
         weight = np.where(of_history > 0, self.weights[self.bins(of_history)], 0.0)
         low = (of_token + ADDED) / self.space
-        return np.log10(weight * pair / np.maximum(of_history, 1) + (1 - weight) * low)
+        return np.log10(weight * pair / np.maximum(of_history, 1) + (1 - weight) * low)[places]
 
     def left_out(self, piece: Piece) -> np.ndarray:
         """Per bin and weight: log probability of the training tokens, each without itself."""
         history, token, doc = piece.sequence()
         trained = piece.trained()[doc]
-        history, token = history[trained], token[trained]
-        of_history, of_token, pair = self.counts(piece, history, token)
+        of_history, of_token, pair, places = self.counts(piece, history[trained], token[trained])
+        times = np.bincount(places, minlength=len(pair))
         low = (np.maximum(of_token - 1, 0) + ADDED) / self.space
         high = np.maximum(pair - 1, 0) / np.maximum(of_history - 1, 1)
         bins = self.bins(of_history)
-        return np.stack([np.bincount(bins, np.log10(w * high + (1 - w) * low), BINS) for w in WEIGHTS], axis=1)
+        sums = [np.bincount(bins, times * np.log(w * high + (1 - w) * low), BINS) for w in WEIGHTS]
+        return np.stack(sums, axis=1)
 
 
 def _left_out(model):
@@ -342,8 +360,8 @@ def _scores(model, weights: np.ndarray, tokens: int, types: int):
         for row in _rows(batches):
             piece, m = Piece(row), Model(*model.value, weights)
             replies = sorted(row["replies"], key=lambda r: r["bucket"])
-            exact = np.frombuffer(b"".join(r["data"] for r in replies), np.int64)
-            exact = np.append(exact, m.docs)
+            exact = [np.frombuffer(r["data"], np.uint32 if len(r["data"]) == 4 * r["n"] else np.int64) for r in replies]
+            exact = np.concatenate([*exact, [m.docs]]).astype(np.int64)
             history, token, doc = piece.sequence()
             n = len(piece.counts)
             count = exact[token]
@@ -413,7 +431,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", filter_bytes
     for r in _best(tried):
         weights[r["bin"]] = WEIGHTS[r["weight"]]
 
-    replies = counted.filter("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("bucket", "data")).alias("replies"))
+    replies = counted.filter("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("bucket", "n", "data")).alias("replies"))
     joined = pieces.join(replies, "piece", "left").withColumn("replies", F.coalesce("replies", F.array()))
     schema = "key long, text_hash long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     out = joined.mapInArrow(_scores(shared, weights, tokens, types), schema)
