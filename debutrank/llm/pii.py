@@ -50,6 +50,8 @@ PATTERNS = {
     "secret": _FREE + r"(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|[0-9a-f]{32,128}|[0-9A-F]{32,128})" + _END,
     "name": _FREE + rf"(?:(?:{_names}) {_SURNAME}|(?:{'|'.join(TITLES)})\.? {_SURNAME})" + _END,
 }
+SAME_RANGE = 6
+NOT_REAL = 12
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _HINT = "[0-9@]|" + _FREE + f"(?:{_names}|{'|'.join(TITLES)})" + _END  # what every entity has
 
@@ -131,9 +133,9 @@ def _surrogates(atoms: DataFrame, secret: str) -> DataFrame:
         string(pmod(int(right(drawn, 1)) - ({_luhn('drawn')}) + ({_luhn('atom')}), 10)))"""
     octet = f"transform(split(atom, '[.]'), (o, i) -> string(1 + {_draw(254)}))"
     private = r"^(?:10|127|192[.]168|172[.](?:1[6-9]|2[0-9]|3[01]))[.]"
-    inner = f"""concat(regexp_extract(atom, {_sql(private)}, 0), array_join(slice({octet},
+    inner = f"""IF(attempt > {SAME_RANGE}, array_join({octet}, '.'), concat(regexp_extract(atom, {_sql(private)}, 0), array_join(slice({octet},
         1 + size(split(regexp_extract(atom, {_sql(private)}, 0), '[.]')) - 1,
-        5 - size(split(regexp_extract(atom, {_sql(private)}, 0), '[.]'))), '.'))"""
+        5 - size(split(regexp_extract(atom, {_sql(private)}, 0), '[.]'))), '.')))"""
     # the part after the last point of a domain stays, as does the country of an IBAN
     end = "length(substring_index(atom, '.', -1))"
     cases = [
@@ -177,7 +179,9 @@ def assign(atoms: DataFrame, secret: str) -> DataFrame:
 
     ``atoms`` (kind, atom) are distinct. In every step the atoms whose surrogate is taken by another (the
     smallest keeps it) or is real are drawn again, until none is left. Given names are shifted
-    within their list, so they are one to one from the start and may be real.
+    within their list, so they are one to one from the start and may be real. So that it ends where a
+    format has hardly more values than the corpus, addresses leave a private range after ``SAME_RANGE``
+    attempts, other short formats get longer, and after ``NOT_REAL`` attempts a real value will do.
     """
     shift = F.pmod(F.xxhash64(F.sha2(F.lit(secret), 256)), F.lit(1_000_000)).cast("int")
     state = atoms.withColumn("attempt", F.lit(0)).withColumn("shift", shift)
@@ -186,7 +190,8 @@ def assign(atoms: DataFrame, secret: str) -> DataFrame:
         drawn = written(_surrogates(state, secret), "surrogates")
         same = Window.partitionBy("kind", "surrogate").orderBy("atom")
         judged = drawn.join(real, ["kind", "surrogate"], "left").withColumn("turn", F.row_number().over(same))
-        again = (F.col("kind") != "given") & ((F.col("turn") > 1) | F.col("real").isNotNull())
+        real_too = F.col("real").isNotNull() & (F.col("attempt") < NOT_REAL)
+        again = (F.col("kind") != "given") & ((F.col("turn") > 1) | real_too)
         judged = written(judged.withColumn("again", again).select(*drawn.columns, "again"), "judged")
         if judged.filter("again").isEmpty():
             return judged.select("kind", "atom", "surrogate")

@@ -351,10 +351,13 @@ def test_surrogates(spark, docs):
 def test_surrogates_are_one_to_one(spark):
     atoms = [("local", c) for c in "abcdefghijklmnopqrstuvwxyz"] + [("ssn", f"{i:09d}") for i in range(300)]
     atoms += [("given", n) for n in pii.GIVEN["latin", "f"]]
+    atoms += [("ip", f"192.168.{i // 254 + 1}.{i % 254 + 1}") for i in range(0, 64516, 2)]
     got = pii.assign(spark.createDataFrame(atoms, "kind string, atom string"), "s").collect()
     assert len({(r["kind"], r["surrogate"]) for r in got}) == len(atoms)
     real = set(atoms)
     assert not any((r["kind"], r["surrogate"]) in real for r in got if r["kind"] != "given")
+    ranges = [r["surrogate"].startswith("192.168.") for r in got if r["kind"] == "ip"]
+    assert 0.5 < sum(ranges) / len(ranges) <= 1
     assert all(r["atom"] != r["surrogate"] for r in got)
 
 
