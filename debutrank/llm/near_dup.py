@@ -23,7 +23,8 @@ SHINGLE = 5
 PERCENT = 75  # shared of all shingles of a pair, at least
 GROUPS = 10  # in each of the two collections
 DEPTH = 2  # minhashes in a group
-PROPOSALS = 3  # that are confirmed for a node before the exact filter
+FIRST_PART = 16  # of the partners in the exact filter's first round; the second one takes all
+PROPOSALS = 10  # that are confirmed for a node before the exact filter
 
 _SALTS = K.mix(np.arange(1, 2 * GROUPS * DEPTH + 1, dtype=K.U64) * K.U64(0x9E3779B97F4A7C15))
 _FACTORS = K.mix(_SALTS) | K.U64(1)
@@ -172,28 +173,35 @@ def _unsettled(member: DataFrame) -> tuple[DataFrame, DataFrame]:
     return inside, rows.filter("component <> largest").select("node").distinct()
 
 
-def _by_prefix(inside: DataFrame, outer: DataFrame, texts: DataFrame) -> DataFrame:
+def _prefixes(inside: DataFrame, texts: DataFrame) -> DataFrame:
+    """(shingle, node, size, rank): the prefix of every set, all sets being ordered alike, rare
+    shingles first. A shingle that no other set has is left out, as it meets nothing."""
+    rows = written(_exploded(inside, texts), "shingles")
+    count = written(rows.groupBy("shingle").agg(F.count("*").alias("n")), "rarity")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
+    least = F.ceil(F.col("size") * PERCENT / 100)
+    prefix = rows.join(count, "shingle").withColumn("rank", rank)
+    prefix = prefix.filter((F.col("rank") <= F.col("size") - least + 1) & (F.col("n") > 1))
+    return written(prefix.select("shingle", "node", "size", "rank"), "prefixes")
+
+
+def _by_prefix(prefix: DataFrame, outer: DataFrame, label: DataFrame, part: int) -> DataFrame:
     """Pairs (a, b) of nodes in different components, one of them in ``outer``, that may be linked.
 
-    All sets are ordered alike, rare shingles first. Partners share ``PERCENT`` of either set, so they
+    Of the possible partners only one in ``part`` is looked at. Partners share ``PERCENT`` of either set, so they
     share a shingle in both prefixes, the first (100 - ``PERCENT``) % and one more. At the first shared
     shingle, what follows it in both sets has to be long enough for the shared part of a link; this
     is asked of every shared shingle, as a linked pair passes at its first one. Sets that share
     common passages and little else have shingles of their own in front and give no pair. No
     link is lost, whatever the tables say.
     """
-    rows = written(_exploded(inside, texts), "shingles")
-    count = written(rows.groupBy("shingle").agg(F.count("*").alias("n")), "rarity")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
-    least = F.ceil(F.col("size") * PERCENT / 100)
-    prefix = rows.join(count, "shingle").withColumn("rank", rank)
-    prefix = prefix.filter((F.col("rank") <= F.col("size") - least + 1) & (F.col("n") > 1))
-    prefix = written(prefix.select("shingle", "node", "component", "size", "rank"), "prefixes")
+    named = prefix.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    prefix = written(named, "named_prefixes")
     one = prefix.join(outer, "node", "left_semi").select(
         "shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("sa"),
         F.col("rank").alias("ra"),
     )
-    other = prefix.select(
+    other = prefix.filter(F.pmod(F.xxhash64("node"), F.lit(part)) == 0).select(
         "shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("sb"),
         F.col("rank").alias("rb"),
     )
@@ -241,8 +249,14 @@ def _links(nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     member = _keys(nodes.join(ends, "node", "left_semi")).join(label, "node", "left")
     member = written(member.select("table", "node", F.coalesce("component", "node").alias("component")), "members")
     inside, outer = (written(x, "unsettled") for x in _unsettled(member))
-    last = written(_confirmed(_by_prefix(inside, outer, texts), texts), "links")
-    return label if last.isEmpty() else components(links.union(last))
+    prefix = _prefixes(inside, texts)
+    # a node that is linked with many finds one of them in a part, and is settled; then all are tried
+    for part in (FIRST_PART, 1):
+        found = written(_confirmed(_by_prefix(prefix, outer, label, part), texts), "links")
+        if not found.isEmpty():
+            links = links.union(found)
+            label = components(links)
+    return label
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
