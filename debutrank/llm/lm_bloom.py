@@ -25,7 +25,7 @@ from debutrank.llm import kernels as K
 from debutrank.session import written
 
 PIECE_TOKENS = 600_000
-BUCKET_BYTES = 16 << 20  # of text for each bucket of the counts
+BUCKET_BYTES = 8 << 20  # of text for each bucket of the counts
 BITS = 10  # for each entry of a filter
 WORDS = 4  # of 64 bits in a block; an entry sets two bits in each
 FILTER_BYTES = (32 << 20, 128 << 20)  # most that the filter of words, and that of pairs, may take
