@@ -72,10 +72,14 @@ def _cut_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = low - lines.first[text]
             raw = data.tobytes()
             content = [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
+            order = np.lexsort((at, text_hash, key))
+            k, h, x = key[order], text_hash[order], at[order]
+            once = np.ones(len(order), bool)  # repeated rows are one document
+            once[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1]) | (x[1:] != x[:-1])
+            order = order[once]
             # of equal chunks in this piece only the first is sent with its bytes
-            order = np.lexsort((at, text_hash, key)).tolist()
             seen: dict[int, list[bytes]] = {}
-            for i in order:
+            for i in order.tolist():
                 before = seen.setdefault(int(code[i]), [])
                 if content[i] in before:
                     content[i] = None
@@ -84,14 +88,17 @@ def _cut_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             settled = np.array([c is None for c in content], bool)
             spread = K.mix((key * 31 + at).view(K.U64)).view(np.int64)
             arrays = [np.where(settled, spread, code), key, text_hash, at, at + high - low]
-            yield pa.RecordBatch.from_arrays([*(pa.array(a) for a in arrays), pa.array(content, pa.binary())], _NAMES)
+            sent = pa.array([content[i] for i in order.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(pa.array(a[order]) for a in arrays), sent], _NAMES)
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Streams chunks sorted by (chunk, key, text_hash, low); keeps the contents of one hash."""
     chunk, before = None, []
+    last = None  # the last place: repeated rows are one document
     for batch in batches:
         codes = batch.column("chunk").to_pylist()
+        places = list(zip(codes, *(batch.column(n).to_pylist() for n in ("key", "text_hash", "low"))))
         contents = batch.column("content")
         gone = np.zeros(batch.num_rows, bool)
         for i, code in enumerate(codes):
@@ -99,6 +106,9 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if content is None:
                 gone[i] = True
                 continue
+            if places[i] == last:
+                continue
+            last = places[i]
             if code != chunk:
                 chunk, before = code, []
             if content in before:  # compares bytes

@@ -109,6 +109,15 @@ def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place >> 41, (place >> 9) & 0xFFFFFFFF, (place >> 1) & 0xFF
 
 
+def _same_as_last(*columns: np.ndarray, last: tuple | None = None) -> np.ndarray:
+    """Flags of the rows that equal the one before; ``last`` stands before the first."""
+    same = np.zeros(len(columns[0]), bool)
+    if len(same):
+        same[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in columns])
+        same[0] = last is not None and all(c[0] == v for c, v in zip(columns, last))
+    return same
+
+
 def _split_batches(what: Repeats) -> Callable:
     names = ["anchor", "piece", "key", "place"]
 
@@ -124,6 +133,8 @@ def _split_batches(what: Repeats) -> Callable:
                 place = _pack(text_hash, at, n, np.zeros(len(n), np.int64))
                 order = np.lexsort((place, key, piece, anchor))
                 a, p, k, x = anchor[order], piece[order], key[order], place[order]
+                once = ~_same_as_last(a, p, k, x)  # repeated rows are one document
+                a, p, k, x = a[once], p[once], k[once], x[once]
                 settled = np.zeros(len(a), bool)
                 if len(a):
                     settled[1:] = (a[1:] == a[:-1]) & (p[1:] == p[:-1])
@@ -144,6 +155,7 @@ def _resolve(what: Repeats) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor = piece = owner = None  # of the last row
+        row = None  # the last row
         contested = False  # whether the last anchor has had two pieces
         pending: list[np.ndarray] = []  # rows of its only piece so far
         for batch in batches:
@@ -152,7 +164,10 @@ def _resolve(what: Repeats) -> Callable:
             out = [np.stack([np.zeros(done.sum(), np.int64), k[done], x[done]])]
             live = ~done
             a, p, k, x = a[live], p[live], k[live], x[live]
+            once = ~_same_as_last(a, p, k, x, last=row)
+            a, p, k, x = a[once], p[once], k[once], x[once]
             if len(a):
+                row = a[-1], p[-1], k[-1], x[-1]
                 new_anchor = np.ones(len(a), bool)
                 new_anchor[1:] = a[1:] != a[:-1]
                 new_anchor[0] = anchor is None or a[0] != anchor

@@ -267,6 +267,23 @@ def test_line_chunks(spark, texts, docs):
     assert odd == [r for r in chunks_by_hand(texts) if r[0] != 20]
 
 
+@pytest.mark.parametrize("parts", [1, 4])  # the copies in one task, and in several
+def test_repeated_rows_are_one_document(spark, parts):
+    rng = np.random.default_rng(12)
+    words = [" ".join(f"w{x}" for x in rng.integers(0, 10_000, 60)) for _ in range(3)]
+    lines = ["\n".join(f"line {x}" for x in rng.integers(0, 10_000, 30)) for _ in range(3)]
+    rows = [(i, t) for i, t in enumerate([*words, *lines, words[0] + " and " + words[0]])] * 3
+    rows += [(50, words[1]), (50, words[1]), (51, lines[1]), (51, lines[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    cut = suffix_array.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert rows_of(cut, "*") == sorted(brute.byte_windows(rows), key=repr)
+    cut = substring.remove_repeats(df).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256))
+    assert rows_of(cut, "*") == sorted(brute.word_windows(rows), key=repr)
+    got = rows_of(line_chunks.remove_chunks(df), "doc_id", "n_lines", "n_removed", "kept")
+    assert got == chunks_by_hand(rows)
+    assert [r[2] for r in got if r[0] in (3, 5)] == [0] * 6 and all(r[2] for r in got if r[0] == 51)
+
+
 # --- op 5 ---------------------------------------------------------------------
 
 
