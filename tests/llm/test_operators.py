@@ -1,5 +1,6 @@
 """Every operator on a table of odd rows, and on an empty one, against brute force."""
 
+import base64
 import collections
 
 import brute
@@ -398,6 +399,33 @@ def test_bands():
     assert got["chunks_outside"][3] > 0
 
 
+def in_words(text, n=25):
+    return " ".join(text[i : i + n] for i in range(0, len(text), n))
+
+
+@pytest.mark.parametrize("size", [2100, 4200, 6000, 20_000, 40_000])
+def test_bands_reject_what_has_no_structure(size):
+    rng = np.random.default_rng(13)
+    raw = rng.bytes(size)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    noise = [
+        base64.b64encode(raw).decode()[:size], "".join(rng.choice(letters, size)), raw.decode("latin1")[: size // 2],
+        "".join(chr(c) for c in rng.integers(33, 127, size)), "".join(chr(c) for c in rng.integers(0x4E00, 0x9F00, size // 3)),
+    ]
+    clean = " ".join("".join(rng.choice(list("abcdeimnorst"), rng.integers(2, 8))) for _ in range(size // 5))[:size]
+    got = quality.judge(pa.array([clean, *(in_words(t) for t in noise)]))
+    assert (got["n_words"] >= quality.MIN_WORDS).all() and not got["base_failed"].any()
+    assert got["kept"].tolist() == [True] + [False] * len(noise)
+
+
+def test_tail_is_a_chunk():
+    rng = np.random.default_rng(14)
+    clean = " ".join("".join(rng.choice(list("abcdeimnorst"), rng.integers(2, 8))) for _ in range(900))
+    key = in_words(base64.b64encode(rng.bytes(3000)).decode())
+    got = quality.judge(pa.array([clean[:4096] + key[:3900], clean[:4096], clean[:4200]]))
+    assert got["kept"].tolist() == [False, True, True] and got["chunks_outside"].tolist() == [1, 0, 0]
+
+
 # --- op 10 --------------------------------------------------------------------
 
 ITEMS = "item_id long, text string, words string"
