@@ -2,8 +2,9 @@
 
 Counts of words and word pairs are quantised on a logarithmic scale. An n-gram of level q is put
 into a Bloom filter q times, once with each level up to its own; its count is read back by probing
-level 1, 2, .. until a probe fails. The filters are broadcast, and the interpolated probabilities
-come from the probes alone. (The exact word counts of the base score are looked up by a shuffle.)
+level 1, 2, .. until a probe fails. Every bucket of the hashes has a filter of its own, with all its
+n-grams. The distinct words and pairs of a piece go to their buckets and the levels come back, so no filter
+leaves its task; the interpolated probabilities come from the probes alone.
 
 The corpus is split into words once, in pieces of about 600,000 tokens: the distinct words of
 a piece and the tokens as places in that list. All later passes read the pieces.
@@ -28,7 +29,6 @@ PIECE_TOKENS = 600_000
 BUCKET_BYTES = 8 << 20  # of text for each bucket of the counts
 BITS = 10  # for each entry of a filter
 WORDS = 4  # of 64 bits in a block; an entry sets two bits in each
-FILTER_BYTES = (32 << 20, 128 << 20)  # most that the filter of words, and that of pairs, may take
 STEP = 1.1  # between quantised counts; the small ones are exact
 ADDED = 0.1
 WEIGHTS = tuple(i / 10 for i in range(10))  # of the pair estimate, tried on the training tokens
@@ -69,7 +69,7 @@ def _two(bits: np.ndarray, word: int) -> tuple[np.ndarray, np.ndarray]:
     return (bits >> K.U64(12 * word + 16)) & K.U64(63), (bits >> K.U64(12 * word + 22)) & K.U64(63)
 
 
-def build_segment(hashes: np.ndarray, counts: np.ndarray, most_bytes: int) -> bytes:
+def build_segment(hashes: np.ndarray, counts: np.ndarray, most_bytes: int = 1 << 60) -> bytes:
     """The bits of one bucket's n-grams (with a count from 1 on).
 
     ``BITS`` for each entry. If that is more than ``most_bytes``, the n-grams of the lowest counts
@@ -138,6 +138,14 @@ class LogFilter:
         return np.concatenate([[0], LEVELS])[level]
 
 
+def probed(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Levels of a bucket's distinct ``hashes``, read back from the filter of those with a count."""
+    seen = counts > 0
+    segment = build_segment(hashes[seen], counts[seen])
+    table = LogFilter(*joined_segments([(0, segment)], 1, len(segment) - 8))
+    return np.searchsorted(LEVELS, table.counts(hashes), "right").astype(np.uint16)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of texts to rows of about ``PIECE_TOKENS`` tokens."""
     packer = zstandard.ZstdCompressor(level=1)
@@ -257,9 +265,8 @@ def _pair_rows(buckets: int):
         for row in _rows(batches):
             piece = Piece(row)
             history, token, doc = piece.sequence()
-            trained = piece.trained()[doc]
-            hashes, places, _, _ = piece.pairs(history[trained], token[trained])
-            counts = np.bincount(places, minlength=len(hashes))
+            hashes, places, _, _ = piece.pairs(history, token)
+            counts = np.bincount(places[piece.trained()[doc]], minlength=len(hashes))
             order = np.argsort(hashes)
             yield _dealt(row["piece"], hashes[order], counts[order], buckets)
 
@@ -275,37 +282,38 @@ def _totals(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return distinct, places, np.bincount(places, counts, len(distinct)).astype(np.int64)
 
 
-def _count_words(most: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Per piece the total counts of its words; and, as piece -1, the bucket's filter."""
-        distinct, places, total = _totals(rows)
-        seen = total > 0
-        lengths = (rows["hashes"].str.len() // 8).to_numpy()
-        ends = np.cumsum(lengths)
-        narrow = total.astype(np.uint32) if total.max(initial=0) < 1 << 32 else total
-        replies = [narrow[places[e - n : e]].tobytes() for n, e in zip(lengths, ends)]
-        out = pd.DataFrame({"piece": rows["piece"], "bucket": rows["bucket"], "data": replies, "n": lengths, "tokens": 0})
-        segment = build_segment(distinct[seen], total[seen], most)
-        own = {"piece": -1, "bucket": rows["bucket"].iloc[0], "data": segment, "n": seen.sum(), "tokens": total.sum()}
-        return pd.concat([out, pd.DataFrame([own])], ignore_index=True)
+def _replies(values: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    return [values[e - n : e].tobytes() for n, e in zip(lengths, ends)]
 
-    return run
 
+def _count_words(rows: pd.DataFrame) -> pd.DataFrame:
+    """Per piece the total counts of its words and their levels; as piece -1, the bucket's sums."""
+    distinct, places, total = _totals(rows)
+    lengths = (rows["hashes"].str.len() // 8).to_numpy()
+    ends = np.cumsum(lengths)
+    narrow = total.astype(np.uint32) if total.max(initial=0) < 1 << 32 else total
+    out = pd.DataFrame(
+        {"piece": rows["piece"], "bucket": rows["bucket"], "data": _replies(narrow[places], ends, lengths),
+         "levels": _replies(probed(distinct, total)[places], ends, lengths), "n": lengths, "tokens": 0}
+    )
+    own = {"piece": -1, "bucket": rows["bucket"].iloc[0], "data": b"", "levels": b"", "n": (total > 0).sum(), "tokens": total.sum()}
+    return pd.concat([out, pd.DataFrame([own])], ignore_index=True)
 
-def _count_pairs(most: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        distinct, _, total = _totals(rows)
-        segment = build_segment(distinct, total, most)
-        return pd.DataFrame({"bucket": [rows["bucket"].iloc[0]], "data": [segment]})
 
-    return run
+def _count_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """Per piece the levels of its pairs."""
+    distinct, places, total = _totals(rows)
+    lengths = (rows["hashes"].str.len() // 8).to_numpy()
+    levels = _replies(probed(distinct, total)[places], np.cumsum(lengths), lengths)
+    return pd.DataFrame({"piece": rows["piece"], "bucket": rows["bucket"], "levels": levels})
 
 
 class Model:
-    """What is broadcast: both filters and a few numbers, as a tuple of arrays."""
+    """A piece's quantised counts, as the filters have replied, and a few numbers."""
 
-    def __init__(self, words: tuple, pairs: tuple, docs: int, space: float, weights: np.ndarray):
-        self.words, self.pairs = LogFilter(*words), LogFilter(*pairs)
+    def __init__(self, row: dict, docs: int, space: float, weights: np.ndarray):
+        counts = np.concatenate([[0], LEVELS])
+        self.word, self.pair = (counts[_of(row[name], "levels", np.uint16)] for name in ("replies", "pair_replies"))
         self.docs = docs  # trained on; the count of the end
         self.space = space
         self.weights = weights
@@ -313,11 +321,12 @@ class Model:
     def counts(self, piece: Piece, history: np.ndarray, token: np.ndarray):
         """Quantised counts of the histories, tokens and wholes of all distinct pairs, and the place
         of each token's pair among them. A pair has at most the counts of its words."""
-        word = np.append(self.words.counts(piece.words), self.docs)
+        word = np.append(self.word, self.docs)
         hashes, places, first, second = piece.pairs(history, token)
         of_history, of_token = word[first], word[second]
-        pair = np.minimum(self.pairs.counts(hashes), np.minimum(of_history, of_token))
-        return of_history, of_token, pair, places
+        pair = np.empty(len(hashes), np.int64)
+        pair[np.argsort(hashes)] = self.pair  # replies are in the order of the hashes
+        return of_history, of_token, np.minimum(pair, np.minimum(of_history, of_token)), places
 
     @staticmethod
     def bins(of_history: np.ndarray) -> np.ndarray:
@@ -332,9 +341,10 @@ class Model:
     def left_out(self, piece: Piece) -> np.ndarray:
         """Per bin and weight: log probability of the training tokens, each without itself."""
         history, token, doc = piece.sequence()
-        trained = piece.trained()[doc]
-        of_history, of_token, pair, places = self.counts(piece, history[trained], token[trained])
-        times = np.bincount(places, minlength=len(pair))
+        of_history, of_token, pair, places = self.counts(piece, history, token)
+        times = np.bincount(places[piece.trained()[doc]], minlength=len(pair))
+        trained = times > 0
+        of_history, of_token, pair, times = of_history[trained], of_token[trained], pair[trained], times[trained]
         low = (np.maximum(of_token - 1, 0) + ADDED) / self.space
         high = np.maximum(pair - 1, 0) / np.maximum(of_history - 1, 1)
         bins = self.bins(of_history)
@@ -342,10 +352,19 @@ class Model:
         return np.stack(sums, axis=1)
 
 
-def _left_out(model):
+def _of(replies: list[dict], name: str, kind: type | None = None) -> np.ndarray:
+    """One field of a piece's replies, of all buckets in order; without ``kind`` the exact counts."""
+    parts = [
+        np.frombuffer(r[name], kind or (np.uint32 if len(r[name]) == 4 * r["n"] else np.int64))
+        for r in sorted(replies, key=lambda r: r["bucket"])
+    ]
+    return np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64)
+
+
+def _left_out(docs: int, space: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            sums = Model(*model.value, np.zeros(BINS)).left_out(Piece(row))
+            sums = Model(row, docs, space, np.zeros(BINS)).left_out(Piece(row))
             bins, weights = (a.reshape(-1) for a in np.indices(sums.shape))
             columns = [pa.array(bins), pa.array(weights), pa.array(sums.reshape(-1))]
             yield pa.RecordBatch.from_arrays(columns, ["bin", "weight", "value"])
@@ -353,15 +372,13 @@ def _left_out(model):
     return run
 
 
-def _scores(model, weights: np.ndarray, tokens: int, types: int):
+def _scores(docs: int, space: float, weights: np.ndarray, tokens: int, types: int):
     names = ["key", "text_hash", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            piece, m = Piece(row), Model(*model.value, weights)
-            replies = sorted(row["replies"], key=lambda r: r["bucket"])
-            exact = [np.frombuffer(r["data"], np.uint32 if len(r["data"]) == 4 * r["n"] else np.int64) for r in replies]
-            exact = np.concatenate([*exact, [m.docs]]).astype(np.int64)
+            piece, m = Piece(row), Model(row, docs, space, weights)
+            exact = np.append(_of(row["replies"], "data"), m.docs)
             history, token, doc = piece.sequence()
             n = len(piece.counts)
             count = exact[token]
@@ -379,7 +396,7 @@ def _scores(model, weights: np.ndarray, tokens: int, types: int):
     return run
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", filter_bytes: tuple[int, int] = FILTER_BYTES) -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Train on the documents that are not held out and score all of them.
 
     Held out are those whose crc32(key as text) is 0 modulo 10 (a null key is an empty text, so held
@@ -390,9 +407,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", filter_bytes
     history's count and is the one of ``WEIGHTS`` that predicts the training tokens best when each
     is left out of its own counts. Null and empty texts consist of the end.
 
-    Counts cover all training documents. The filters are the only data that go to the driver and
-    to all workers; they take ``BITS`` bits for each entry up to ``filter_bytes``. Beyond that, n-grams of the
-    lowest counts are left out of the filters, never documents. An empty table gives no rows.
+    Counts cover all training documents, and all their n-grams are in the filters, ``BITS`` bits for each
+    entry. The filters grow with the corpus by the number of buckets; only sums and the weights go to
+    the driver and to all workers. An empty table gives no rows.
     Words and pairs are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
@@ -412,39 +429,32 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", filter_bytes
     pieces = written(rows.mapInArrow(_pieces, PIECE_SCHEMA), "pieces")
 
     dealt = pieces.select(*NAMES).mapInArrow(_word_rows(buckets), DEALT)
-    schema = "piece long, bucket long, data binary, n long, tokens long"
-    counted = dealt.groupBy("bucket").applyInPandas(_count_words(max(1, filter_bytes[0] // buckets)), schema)
-    counted = written(counted, "word_counts")
+    schema = "piece long, bucket long, data binary, levels binary, n long, tokens long"
+    counted = written(dealt.groupBy("bucket").applyInPandas(_count_words, schema), "word_counts")
     own = counted.filter("piece = -1")
     tokens, types = own.select(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     tokens, types = tokens + trained, types + (trained > 0)
 
     dealt = pieces.select(*NAMES).mapInArrow(_pair_rows(buckets), DEALT)
-    pairs = dealt.groupBy("bucket").applyInPandas(
-        _count_pairs(max(1, filter_bytes[1] // buckets)), "bucket long, data binary"
-    )
-    parts = _gathered(own, buckets), _gathered(written(pairs, "pair_counts"), buckets), trained, tokens + ADDED * (types + 1)
-    shared = spark.sparkContext.broadcast(parts)
-    del parts
+    pairs = dealt.groupBy("bucket").applyInPandas(_count_pairs, "piece long, bucket long, levels binary")
+    replies = counted.filter("piece >= 0").groupBy("piece")
+    replies = replies.agg(F.collect_list(F.struct("bucket", "n", "data", "levels")).alias("replies"))
+    pairs = pairs.groupBy("piece").agg(F.collect_list(F.struct("bucket", "levels")).alias("pair_replies"))
+    joined = pieces.join(replies, "piece", "left").join(pairs, "piece", "left")
+    replied = [F.coalesce(c, F.array()).alias(c) for c in ("replies", "pair_replies")]
+    joined = written(joined.select(*NAMES, *replied), "replies")
+
+    space = tokens + ADDED * (types + 1)
     weights = np.zeros(BINS)
-    tried = pieces.select(*NAMES).mapInArrow(_left_out(shared), "bin long, weight long, value double")
+    tried = joined.mapInArrow(_left_out(trained, space), "bin long, weight long, value double")
     for r in _best(tried):
         weights[r["bin"]] = WEIGHTS[r["weight"]]
 
-    replies = counted.filter("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("bucket", "n", "data")).alias("replies"))
-    joined = pieces.join(replies, "piece", "left").withColumn("replies", F.coalesce("replies", F.array()))
     schema = "key long, text_hash long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = joined.mapInArrow(_scores(shared, weights, tokens, types), schema)
+    out = joined.mapInArrow(_scores(trained, space, weights, tokens, types), schema)
     return out.withColumnRenamed("key", key).withColumn("train_tokens", F.lit(tokens).cast("long"))
 
 
-def _gathered(segments: DataFrame, buckets: int) -> tuple[np.ndarray, ...]:
-    """A filter on the driver, of the bounded size given to its segments."""
-    total = segments.select(F.sum(F.octet_length("data") - 8)).first()[0] or 0
-    rows = ((r["bucket"], r["data"]) for r in segments.select("bucket", "data").toLocalIterator())
-    return joined_segments(rows, buckets, total)
-
-
 def _best(tried: DataFrame) -> list:
     """The weight with the highest sum for every bin; bins and weights are few."""
     sums = tried.groupBy("bin", "weight").agg(F.sum("value").alias("value"))

@@ -65,6 +65,22 @@ def test_small_filter_drops_rare_ngrams():
     assert (read[900:] > 0).all() and (read[:900] > 0).mean() < 0.05
 
 
+def test_scores_read_all_counts_without_broadcast(spark, docs, monkeypatch):
+    """Filters of any size: nothing is gathered on the driver, and buckets change little but chance hits."""
+
+    def refuse(*_):
+        raise AssertionError("broadcast")
+
+    want = sorted(tuple(r) for r in lm_bloom.score(docs).select("n_tokens", "text_hash", "score").collect())
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", refuse)
+    monkeypatch.setattr(lm_bloom, "BUCKET_BYTES", 4096)
+    monkeypatch.setattr(lm_bloom, "PIECE_TOKENS", 500)
+    got = sorted(tuple(r) for r in lm_bloom.score(docs).select("n_tokens", "text_hash", "score").collect())
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=0.05)
+
+
 # --- op 2 ---------------------------------------------------------------------
 
 
