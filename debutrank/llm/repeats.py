@@ -29,7 +29,6 @@ from debutrank.llm import kernels as K
 from debutrank.session import written
 
 NO_KEY = (1 << 63) - 1  # stands for a null document key, which is later than all others
-HASH_BITS = 22
 HOT_PIECES = 4096  # different pieces of one anchor, beyond which it is dealt out again
 SHARD_TOKENS = {"words": 150_000, "bytes": 1_500_000}
 
@@ -98,15 +97,15 @@ def split(codes: np.ndarray, first: np.ndarray, length: int, gram: int):
     return text, begin, end - begin, hashes[anchor[low]], K.between(K.running(codes), begin, end)
 
 
-# A piece's place in one long: hash of its text, first token, number of tokens, settled or not.
+# A piece's place in its text in one long: first token, number of tokens, settled or not.
 
 
-def _pack(text_hash: np.ndarray, at: np.ndarray, n: np.ndarray, settled: np.ndarray) -> np.ndarray:
-    return (text_hash << 41) | (at << 9) | (n << 1) | settled
+def _pack(at: np.ndarray, n: np.ndarray, settled: np.ndarray) -> np.ndarray:
+    return (at << 9) | (n << 1) | settled
 
 
-def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return place >> 41, (place >> 9) & 0xFFFFFFFF, (place >> 1) & 0xFF
+def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return place >> 9, (place >> 1) & 0xFF
 
 
 def _same_as_last(*columns: np.ndarray, last: tuple | None = None) -> np.ndarray:
@@ -118,9 +117,28 @@ def _same_as_last(*columns: np.ndarray, last: tuple | None = None) -> np.ndarray
     return same
 
 
-def _split_batches(what: Repeats) -> Callable:
-    names = ["anchor", "piece", "key", "place"]
+PIECES = ["anchor", "piece", "key", "text_hash", "place"]
+
+
+def _sent(what: Repeats, *columns: np.ndarray) -> pa.RecordBatch:
+    """The rows of ``PIECES`` that are dealt out: repeated rows once, and settled what is covered by another here."""
+    anchor, piece, key, text_hash, place = columns
+    order = np.lexsort((place, text_hash, key, piece, anchor))
+    a, p, k, h, x = (c[order] for c in columns)
+    once = ~_same_as_last(a, p, k, h, x)  # repeated rows are one document
+    a, p, k, h, x = (c[once] for c in (a, p, k, h, x))
+    settled = np.zeros(len(a), bool)
+    if len(a):
+        settled[1:] = (a[1:] == a[:-1]) & (p[1:] == p[:-1])
+        owner = k[np.maximum.accumulate(np.where(settled, 0, np.arange(len(a))))]
+        if not what.within:
+            settled &= k > owner
+    # settled rows need no partner any more: they go anywhere
+    a = np.where(settled, K.mix((x + k + h).view(K.U64)).view(np.int64), a)
+    return pa.RecordBatch.from_arrays([pa.array(v) for v in (a, p, k, h, x | settled)], PIECES)
 
+
+def _split_batches(what: Repeats) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.pieces(batch):
@@ -128,30 +146,15 @@ def _split_batches(what: Repeats) -> Callable:
                 text, begin, n, anchor, piece = split(t.codes, t.first, what.length, what.gram)
                 key = part.column("key").to_numpy(zero_copy_only=False)[text]
                 text_hash = part.column("text_hash").to_numpy(zero_copy_only=False)[text]
-                at = begin - t.first[text]
-                anchor, piece = anchor.view(np.int64).copy(), piece.view(np.int64)
-                place = _pack(text_hash, at, n, np.zeros(len(n), np.int64))
-                order = np.lexsort((place, key, piece, anchor))
-                a, p, k, x = anchor[order], piece[order], key[order], place[order]
-                once = ~_same_as_last(a, p, k, x)  # repeated rows are one document
-                a, p, k, x = a[once], p[once], k[once], x[once]
-                settled = np.zeros(len(a), bool)
-                if len(a):
-                    settled[1:] = (a[1:] == a[:-1]) & (p[1:] == p[:-1])
-                    owner = k[np.maximum.accumulate(np.where(settled, 0, np.arange(len(a))))]
-                    if not what.within:
-                        settled &= k > owner
-                # settled rows need no partner any more: they go anywhere
-                a = np.where(settled, K.mix(x.view(K.U64) + k.view(K.U64)).view(np.int64), a)
-                x = x | settled
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a, p, k, x)], names)
+                place = _pack(begin - t.first[text], n, np.zeros(len(n), np.int64))
+                yield _sent(what, anchor.view(np.int64), piece.view(np.int64), key, text_hash, place)
 
     return run
 
 
 def _resolve(what: Repeats) -> Callable:
-    """Streams rows sorted by (anchor, piece, key, place); keeps one anchor's state between batches."""
-    names = ["anchor", "key", "place"]
+    """Streams rows sorted by ``PIECES``; keeps one anchor's state between batches."""
+    names = ["anchor", "key", "text_hash", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor = piece = owner = None  # of the last row
@@ -159,15 +162,15 @@ def _resolve(what: Repeats) -> Callable:
         contested = False  # whether the last anchor has had two pieces
         pending: list[np.ndarray] = []  # rows of its only piece so far
         for batch in batches:
-            a, p, k, x = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            a, p, k, h, x = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             done = (x & 1).astype(bool)
-            out = [np.stack([np.zeros(done.sum(), np.int64), k[done], x[done]])]
+            out = [np.stack([np.zeros(done.sum(), np.int64), k[done], h[done], x[done]])]
             live = ~done
-            a, p, k, x = a[live], p[live], k[live], x[live]
-            once = ~_same_as_last(a, p, k, x, last=row)
-            a, p, k, x = a[once], p[once], k[once], x[once]
+            a, p, k, h, x = a[live], p[live], k[live], h[live], x[live]
+            once = ~_same_as_last(a, p, k, h, x, last=row)
+            a, p, k, h, x = a[once], p[once], k[once], h[once], x[once]
             if len(a):
-                row = a[-1], p[-1], k[-1], x[-1]
+                row = a[-1], p[-1], k[-1], h[-1], x[-1]
                 new_anchor = np.ones(len(a), bool)
                 new_anchor[1:] = a[1:] != a[:-1]
                 new_anchor[0] = anchor is None or a[0] != anchor
@@ -177,7 +180,7 @@ def _resolve(what: Repeats) -> Callable:
                 at = np.maximum.accumulate(np.where(new_piece, np.arange(len(a)), -1))
                 owners = np.where(at < 0, owner if owner is not None else 0, k[np.maximum(at, 0)])
                 covered = ~new_piece if what.within else k > owners
-                out.append(np.stack([np.zeros(covered.sum(), np.int64), k[covered], x[covered] | 1]))
+                out.append(np.stack([np.zeros(covered.sum(), np.int64), k[covered], h[covered], x[covered] | 1]))
                 group = np.cumsum(new_anchor)  # 0: the anchor of the batch before
                 several = np.bincount(group, new_piece)
                 # group 0 has a piece already; the others begin with theirs
@@ -190,12 +193,12 @@ def _resolve(what: Repeats) -> Callable:
                 if group[-1] > 0:
                     pending = []
                 go = entry & several[group]
-                out.append(np.stack([a[go], k[go], x[go]]))
+                out.append(np.stack([a[go], k[go], h[go], x[go]]))
                 last = group == group[-1]
                 contested = bool(several[group[-1]])
                 if not contested:
                     keep = entry & last
-                    pending.append(np.stack([a[keep], k[keep], x[keep]]))
+                    pending.append(np.stack([a[keep], k[keep], h[keep], x[keep]]))
                 anchor, piece, owner = a[-1], p[-1], owners[-1]
             rows = np.concatenate(out, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in rows], names)
@@ -222,7 +225,7 @@ def _fetch(what: Repeats, shards: int) -> Callable:
                 place, anchor, hot = (
                     flat.field(i).to_numpy(zero_copy_only=False) for i in ("place", "anchor", "hot")
                 )
-                _, at, n = _unpack(place)
+                at, n = _unpack(place)
                 begin = at + t.first[text]
                 to = shard(anchor.copy())
                 if hot.any():
@@ -252,17 +255,17 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
 
     ``spans`` are (low, high) token ranges, in no order, which may overlap. ``compare`` gets the pieces of a
     shard (key, text_hash, at, n, content) and returns covered ranges (key, text_hash, low, high).
-    A text is known by its key and ``text_hash``, ``HASH_BITS`` bits of xxhash64; repeated rows
+    A text is known by its key and ``text_hash``, its xxhash64; repeated rows
     are one document. Null keys come last. Rows that have been range-compared stay whole: nothing is
     capped, and hot anchors and passages are split as described above.
     """
     if 2 * what.length - what.gram > 255:
         raise ValueError("a piece must fit in 255 tokens")
     rows = keyed(docs, key, text)
-    split_rows = rows.mapInArrow(_split_batches(what), "anchor long, piece long, key long, place long")
+    split_rows = rows.mapInArrow(_split_batches(what), "anchor long, piece long, key long, text_hash long, place long")
     # the order is on the shuffle's key first, so that one sort serves the stream
-    dealt = split_rows.repartition("anchor").sortWithinPartitions("anchor", "piece", "key", "place")
-    found = written(dealt.mapInArrow(_resolve(what), "anchor long, key long, place long"), "pieces")
+    dealt = split_rows.repartition("anchor").sortWithinPartitions(*PIECES)
+    found = written(dealt.mapInArrow(_resolve(what), "anchor long, key long, text_hash long, place long"), "pieces")
 
     contested = found.filter(F.col("place").bitwiseAND(1) == 0)
     size = F.shiftright("place", 1).bitwiseAND(0xFF)
@@ -271,16 +274,16 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
     hot = contested.groupBy("anchor").count().filter(F.col("count") > HOT_PIECES).select("anchor", F.lit(True).alias("hot"))
     # written, so that its true size lets Spark broadcast it, or else split a skewed join with it
     hot = written(hot, "hot")
-    wanted = contested.join(hot, "anchor", "left").groupBy("key", F.shiftright("place", 41).alias("text_hash"))
+    wanted = contested.join(hot, "anchor", "left").groupBy("key", "text_hash")
     wanted = wanted.agg(F.collect_list(F.struct("place", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
     texts = rows.join(wanted, ["key", "text_hash"]).dropDuplicates(["key", "text_hash"])
     schema = "shard long, key long, text_hash long, at long, n long, content binary"
     pieces = texts.select("key", "text_hash", "text", "wanted").mapInArrow(_fetch(what, shards), schema)
     spans = pieces.groupBy("shard").applyInPandas(compare, "key long, text_hash long, low long, high long")
 
-    at = F.shiftright("place", 9).bitwiseAND(0xFFFFFFFF)
+    at = F.shiftright("place", 9)
     whole = found.filter(F.col("place").bitwiseAND(1) == 1).select(
-        "key", F.shiftright("place", 41).alias("text_hash"), at.alias("low"), (at + size).alias("high")
+        "key", "text_hash", at.alias("low"), (at + size).alias("high")
     )
     spans = whole.union(spans).groupBy("key", "text_hash")
     return spans.agg(F.collect_list(F.struct("low", "high")).alias("spans"))
@@ -290,7 +293,7 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, text_hash, text) with the substitutes for nulls."""
     return docs.select(
         F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_KEY)).alias("key"),
-        F.xxhash64(F.col(f"`{text}`")).bitwiseAND((1 << HASH_BITS) - 1).alias("text_hash"),
+        F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
 

@@ -301,6 +301,21 @@ def test_repeated_rows_are_one_document(spark, parts):
     assert [r[2] for r in got if r[0] in (3, 5)] == [0] * 6 and all(r[2] for r in got if r[0] == 51)
 
 
+def test_texts_of_one_key_stay_apart(spark):
+    """Texts under one key, two and two alike in 22 bits of their hash; the first of each has occurred before."""
+    made = spark.range(20_000).selectExpr("array_join(transform(sequence(1, 20), j -> concat('t', id, 'x', j)), '\n') AS text")
+    made = made.selectExpr("text", "xxhash64(text) & 4194303 AS bits").groupBy("bits").agg(F.sort_array(F.collect_list("text")))
+    pairs = [r[1] for r in made.collect() if len(r[1]) == 2][:20]
+    assert len(pairs) == 20
+    rows = [(i, a) for i, (a, _) in enumerate(pairs)] + [(None, t) for p in pairs for t in p]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = substring.remove_repeats(df).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256))
+    assert rows_of(cut, "*") == sorted(brute.word_windows(rows), key=repr)
+    cut = suffix_array.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert rows_of(cut, "*") == sorted(brute.byte_windows(rows), key=repr)
+    assert rows_of(line_chunks.remove_chunks(df), "doc_id", "n_lines", "n_removed", "kept") == chunks_by_hand(rows)
+
+
 # --- op 5 ---------------------------------------------------------------------
 
 
