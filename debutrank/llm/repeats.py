@@ -12,6 +12,8 @@ elsewhere. Sending every window would cost several times the text. Instead:
 3. The contents of contested pieces are fetched and dealt out by anchor into shards of bounded size.
    The operators compare them there, each by its own method. An anchor with very many different
    pieces (a common phrase) is dealt out again by anchors of almost a window's length.
+4. Where even such an anchor has very many pieces (a shared phrase hardly shorter than a window), its windows
+   are dealt out one by one, by the hash of the whole window, and settled as equal pieces are in step 2.
 """
 
 from __future__ import annotations
@@ -206,14 +208,11 @@ def _resolve(what: Repeats) -> Callable:
     return run
 
 
-def _fetch(what: Repeats, shards: int) -> Callable:
-    """Contents of contested pieces; those of hot anchors in smaller pieces with longer anchors."""
-    names = ["shard", "key", "text_hash", "at", "n", "content"]
+def _fetch(what: Repeats) -> Callable:
+    """Contents of contested pieces; those of hot anchors in smaller pieces (``sub``) with longer anchors."""
+    names = ["anchor", "sub", "key", "text_hash", "at", "n", "content"]
     longer = max(what.gram, what.length - max(2, what.length // 12))
 
-    def shard(anchors: np.ndarray) -> np.ndarray:
-        return (K.mix(anchors.view(K.U64) + K.U64(5)) % K.U64(shards)).astype(np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.pieces(batch):
@@ -227,26 +226,49 @@ def _fetch(what: Repeats, shards: int) -> Callable:
                 )
                 at, n = _unpack(place)
                 begin = at + t.first[text]
-                to = shard(anchor.copy())
+                sub = np.zeros(len(anchor), bool)
                 if hot.any():
                     inner = np.concatenate([np.arange(b, b + m) for b, m in zip(begin[hot], n[hot])])
                     first = np.concatenate([[0], np.cumsum(n[hot])])
-                    which, sub, sub_n, sub_anchor, _ = split(t.codes[inner], first, what.length, longer)
+                    which, sub_at, sub_n, sub_anchor, _ = split(t.codes[inner], first, what.length, longer)
                     cold = ~hot
                     text = np.concatenate([text[cold], text[hot][which]])
-                    begin = np.concatenate([begin[cold], begin[hot][which] + sub - first[which]])
+                    begin = np.concatenate([begin[cold], begin[hot][which] + sub_at - first[which]])
                     n = np.concatenate([n[cold], sub_n])
-                    to = np.concatenate([to[cold], shard(sub_anchor.view(np.int64).copy())])
+                    anchor = np.concatenate([anchor[cold], sub_anchor.view(np.int64)])
+                    sub = np.arange(len(n)) >= cold.sum()
                 content = [t.content(b, m) for b, m in zip(begin.tolist(), n.tolist())]
                 key = part.column("key").to_numpy(zero_copy_only=False)[text]
                 text_hash = part.column("text_hash").to_numpy(zero_copy_only=False)[text]
-                columns = [to, key, text_hash, begin - t.first[text], n]
+                columns = [anchor, key, text_hash, begin - t.first[text], n]
                 arrays = [pa.array(np.asarray(c, np.int64)) for c in columns]
+                arrays.insert(1, pa.array(sub))
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(content, pa.binary())], names)
 
     return run
 
 
+def _windows(what: Repeats) -> Callable:
+    """All windows of pieces, as pieces of their own, by two hashes of the whole window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.pieces(batch, "content"):
+                t = tokens(part.column("content"), what.unit)
+                start = K.gram_starts(t.first, what.length)
+                piece = np.searchsorted(t.first, start, "right") - 1
+                one = K.grams(t.codes, what.length)[start]
+                two = K.grams(K.mix(t.codes + K.U64(0x9E3779B97F4A7C15)), what.length)[start]
+                key, text_hash, at = (
+                    part.column(c).to_numpy(zero_copy_only=False)[piece] for c in ("key", "text_hash", "at")
+                )
+                n = np.full(len(start), what.length, np.int64)
+                place = _pack(at + start - t.first[piece], n, np.zeros(len(n), np.int64))
+                yield _sent(what, one.view(np.int64), two.view(np.int64), key, text_hash, place)
+
+    return run
+
+
 Compare = Callable[[pd.DataFrame], pd.DataFrame]
 
 
@@ -262,10 +284,14 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
     if 2 * what.length - what.gram > 255:
         raise ValueError("a piece must fit in 255 tokens")
     rows = keyed(docs, key, text)
-    split_rows = rows.mapInArrow(_split_batches(what), "anchor long, piece long, key long, text_hash long, place long")
-    # the order is on the shuffle's key first, so that one sort serves the stream
-    dealt = split_rows.repartition("anchor").sortWithinPartitions(*PIECES)
-    found = written(dealt.mapInArrow(_resolve(what), "anchor long, key long, text_hash long, place long"), "pieces")
+    sent = "anchor long, piece long, key long, text_hash long, place long"
+
+    def resolved(pieces: DataFrame) -> DataFrame:
+        # the order is on the shuffle's key first, so that one sort serves the stream
+        dealt = pieces.repartition("anchor").sortWithinPartitions(*PIECES)
+        return dealt.mapInArrow(_resolve(what), "anchor long, key long, text_hash long, place long")
+
+    found = written(resolved(rows.mapInArrow(_split_batches(what), sent)), "pieces")
 
     contested = found.filter(F.col("place").bitwiseAND(1) == 0)
     size = F.shiftright("place", 1).bitwiseAND(0xFF)
@@ -277,14 +303,25 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
     wanted = contested.join(hot, "anchor", "left").groupBy("key", "text_hash")
     wanted = wanted.agg(F.collect_list(F.struct("place", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
     texts = rows.join(wanted, ["key", "text_hash"]).dropDuplicates(["key", "text_hash"])
-    schema = "shard long, key long, text_hash long, at long, n long, content binary"
-    pieces = texts.select("key", "text_hash", "text", "wanted").mapInArrow(_fetch(what, shards), schema)
+    schema = "anchor long, sub boolean, key long, text_hash long, at long, n long, content binary"
+    pieces = texts.select("key", "text_hash", "text", "wanted").mapInArrow(_fetch(what), schema)
+    settled = found.filter(F.col("place").bitwiseAND(1) == 1).select("key", "text_hash", "place")
+    if not hot.isEmpty():
+        pieces = written(pieces, "fetched")
+        still = pieces.filter("sub").groupBy("sub", "anchor").count().filter(F.col("count") > HOT_PIECES)
+        still = written(still.select("sub", "anchor", F.lit(True).alias("still")), "still_hot")
+        pieces = pieces.join(still, ["sub", "anchor"], "left")
+        windows = resolved(pieces.filter("still").select("key", "text_hash", "at", "content").mapInArrow(_windows(what), sent))
+        # a window that no equal one covers is not covered, whatever else has its first hash
+        windows = windows.filter(F.col("place").bitwiseAND(1) == 1).select("key", "text_hash", "place")
+        settled = settled.union(windows)
+        pieces = pieces.filter("still IS NULL")
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    pieces = pieces.select("shard", "key", "text_hash", "at", "n", "content")
     spans = pieces.groupBy("shard").applyInPandas(compare, "key long, text_hash long, low long, high long")
 
     at = F.shiftright("place", 9)
-    whole = found.filter(F.col("place").bitwiseAND(1) == 1).select(
-        "key", "text_hash", at.alias("low"), (at + size).alias("high")
-    )
+    whole = settled.select("key", "text_hash", at.alias("low"), (at + size).alias("high"))
     spans = whole.union(spans).groupBy("key", "text_hash")
     return spans.agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 

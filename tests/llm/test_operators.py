@@ -202,6 +202,36 @@ def test_hot_anchors_are_dealt_again(docs, texts, monkeypatch):
     assert byte_rows(cut) == byte_want(texts)
 
 
+def at_most(n, shard):
+    def compare(pieces):
+        assert len(pieces) <= n
+        return shard(pieces)
+
+    return compare
+
+
+def test_hot_phrases_are_dealt_by_window(spark, monkeypatch):
+    """A phrase hardly shorter than a window goes on differently in each document: no shard may hold them all."""
+    rng = np.random.default_rng(15)
+
+    def words(n):
+        return " ".join(f"{x:06d}" for x in rng.integers(0, 1_000_000, n))
+
+    phrase, tail = words(12), words(12)  # 83 bytes, and with some more 97
+    rows = [(i, f"{words(6)} {phrase} {words(6)}") for i in range(60)]
+    rows += [(i, f"{words(6)} {phrase} {tail} and so on {words(6)}") for i in range(60, 64)]
+    rows += [(i, f"{words(6)} {phrase} {tail[:13]} {words(6)}") for i in range(64, 120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(repeats, "HOT_PIECES", 20)
+    monkeypatch.setitem(repeats.SHARD_TOKENS, "words", 20)
+    monkeypatch.setitem(repeats.SHARD_TOKENS, "bytes", 100)
+    for module, want in ((substring, brute.word_windows(rows)), (suffix_array, brute.byte_windows(rows))):
+        monkeypatch.setattr(module, "_shard", at_most(50, module._shard))
+        cut = module.remove_repeats(df)
+        cut = cut.drop("text_hash").withColumn("kept", F.sha2(F.col("kept").cast("binary"), 256))
+        assert rows_of(cut, "*") == sorted(want, key=repr)
+
+
 def byte_rows(cut):
     """Without the two texts of one key, whose order is that of a hash."""
     return [r for r in rows_of(cut, "*") if r[0] not in (20, None)]
