@@ -3,7 +3,7 @@
 import base64
 import collections
 
-import brute
+import llm_brute as brute
 import numpy as np
 import pandas as pd
 import pyarrow as pa

@@ -3,7 +3,7 @@
 import collections
 import zlib
 
-import brute
+import llm_brute as brute
 import duckdb
 import numpy as np
 import pytest
@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from debutrank.llm import line_chunks, quality
 from debutrank.llm.queries import R
-from test_operators import chunks_by_hand, poured
+from test_llm_operators import chunks_by_hand, poured
 from tools.check import TABLES, compare
 
 
