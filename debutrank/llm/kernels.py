@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 PIECE_BYTES = 1 << 21  # text that one step works on; a longer document is a step of its own
 
@@ -47,7 +47,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return have[:n]
 
 
-def wider(schema: StructType, *fields: tuple[str, str]) -> StructType:
+def wider(schema: StructType, *fields: tuple[str, str | DataType]) -> StructType:
     """A copy of the schema with more fields; ``add`` alone would change that of the frame."""
     out = StructType(list(schema.fields))
     for name, kind in fields:

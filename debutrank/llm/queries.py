@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutrank.llm import decontam, line_chunks, lm_bloom, mixing, near_dup, pii, quality, sharding, substring, suffix_array
+from debutrank.llm import (
+    byte_bpe, decontam, line_chunks, lm_bloom, mixing, near_dup, periodic, pii, quality, sharding, substring, suffix_array,
+)
 from debutrank.testbed.registry import Registry
 
 R = Registry()
@@ -117,3 +120,41 @@ SECRET = "a fixed secret, so that reruns agree"
 @R.query("op6_surrogates")
 def op6(spark, sf_dir):
     return pii.surrogate(documents(spark, sf_dir).select("doc_id", "text"), SECRET)
+
+
+@R.query("op12_scanned_byte_bpe")
+def op12(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokens = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks)
+    back = byte_bpe.decode(tokens.drop("text"), ranks)
+    return back.select(
+        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the texts, chosen by the id, the words from one on repeat the first of them."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.select("doc_id", "text", hashed.alias("h"), F.floor(hashed / 10).alias("g"))
+    plain = docs.filter("h IS NULL OR h % 10 <> 0").select("doc_id", "text")
+    chosen = docs.filter("h % 10 = 0").withColumn("words", words).withColumn("n", F.size("words"))
+    chosen = chosen.withColumn("a", F.expr("int(coalesce(g % nullif(n, 0), 0))"))
+    chosen = chosen.withColumn("p", F.expr("int(1 + floor((n - a) / (3 + g % 8)))"))
+    repeated = F.expr(
+        "array_join(concat(slice(words, 1, a),"
+        " slice(flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)), ' ')"
+    )
+    return plain.unionByName(chosen.select("doc_id", repeated.alias("text")))
+
+
+@R.query("op13_dyadic_squares")
+def op13(spark, sf_dir):
+    found = periodic.periodic_runs(with_periods(documents(spark, sf_dir)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )

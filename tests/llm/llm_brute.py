@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import fractions
 import hashlib
 import math
 import re
@@ -141,3 +142,98 @@ def hits(docs, items, width=10):
         names = sorted(str(x) for x in found if x is not None)
         out.append((k, len(w), len(hit), len(names), names))
     return out
+
+
+def with_period(key, words):
+    """The words of op 13's texts: in a tenth of the documents they are made periodic from one word on."""
+    h = 1 if key is None else zlib.crc32(str(key).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def runs(words):
+    """(start, length, smallest period) of all runs, by trying every period."""
+    n, out = len(words), set()
+    for q in range(1, n // 4 + 1):
+        same = [words[i] == words[i + q] for i in range(n - q)]
+        i = 0
+        while i < n - q:
+            s = i
+            while i < n - q and same[i]:
+                i += 1
+            length = i - s + q
+            if i - s >= 3 * q and length >= 6:
+                part = words[s : s + length]
+                if not any(q % r == 0 and part[r:] == part[:-r] for r in range(1, q)):
+                    out.add((s, length, q))
+            i += 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periods(docs, plant=True):
+    out = []
+    for k, t in docs:
+        words = WORD.findall(t or "")
+        words = with_period(k, words) if plant else words
+        found = runs(words)
+        best = min(found, key=lambda r: (-fractions.Fraction(r[1], r[2]), r[0], r[2]), default=None)
+        gone = {i for s, n, q in found for i in range(s + q, s + n)}
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        first = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        out.append((k, len(found), *first, sha(lines.encode()), sha(kept.encode())))
+    return out
+
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def typo(key, run):
+    run = run.translate(LOW)
+    h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+    if h % 199:
+        return run
+    k = h % len(run)
+    return run[:k] + run[k + 1 :]
+
+
+def one_edit(a, b):
+    """Whether one inserted, deleted or replaced character makes a into b."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    i = 0
+    while i < len(a) and a[i] == b[i]:
+        i += 1
+    return a[i + (len(a) == len(b)) :] == b[i + 1 :]
+
+
+def variants(docs, least_length=6, least_count=5):
+    count = collections.Counter(typo(k, r) for k, t in docs for r in RUN.findall(t or ""))
+    count = {w: n for w, n in count.items() if len(w) >= least_length and n >= least_count}
+    holes = collections.defaultdict(list)  # words by what is left without one character
+    for w in count:
+        for v in {w} | {w[:i] + w[i + 1 :] for i in range(len(w))}:
+            holes[v].append(w)
+    near = collections.defaultdict(set)
+    for group in holes.values():
+        for a in group:
+            near[a].update(b for b in group if one_edit(a, b))
+    form = {}
+    for w, n in count.items():
+        best = min(near[w], key=lambda b: (-count[b], b), default=None)
+        if best is not None and count[best] >= 5 * n:
+            form[w] = best
+    out = []
+    for w, n in count.items():
+        root = w
+        while root in form:
+            root = form[root]
+        f = form.get(w)
+        out.append((w, f, root, n, len(near[w]), None if f is None else count[f]))
+    return out
