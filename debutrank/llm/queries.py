@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from debutrank.llm import (
     byte_bpe, decontam, line_chunks, lm_bloom, mixing, near_dup, periodic, pii, quality, sharding, substring, suffix_array,
+    variants,
 )
 from debutrank.testbed.registry import Registry
 
@@ -158,3 +159,17 @@ def op13(spark, sf_dir):
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+def typed(docs: DataFrame) -> DataFrame:
+    """(word): all runs of letters; one run of 199, chosen by the id and the run, lacks a code point. A null id is empty."""
+    runs = variants.runs(docs.select("doc_id", "text"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    runs = runs.select("run", F.crc32(F.concat_ws(":", key, "run").cast("binary")).alias("h"))
+    lost = F.expr("concat(substring(run, 1, int(h % length(run))), substring(run, int(h % length(run)) + 2))")
+    return runs.select(F.when(F.expr("h % 199 = 0"), lost).otherwise(F.col("run")).alias("word"))
+
+
+@R.query("op11_variable_grams")
+def op11(spark, sf_dir):
+    return variants.group(variants.counted(typed(documents(spark, sf_dir))))

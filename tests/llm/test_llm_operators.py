@@ -2,19 +2,24 @@
 
 import base64
 import collections
+import random
 
 import llm_brute as brute
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from debutrank.llm import (
-    components, decontam, kernels, line_chunks, lm_bloom, mixing, near_dup, pii, quality, repeats, sharding,
-    substring, suffix_array,
+    byte_bpe, components, decontam, kernels, line_chunks, lm_bloom, mixing, near_dup, periodic, pii, quality, repeats,
+    sharding, substring, suffix_array, variants,
 )
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 
 def rows_of(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
@@ -529,3 +534,186 @@ def test_empty(empty, operator):
 def test_empty_benchmark(docs, empty, texts):
     nothing = empty.select(F.col("doc_id").alias("item_id"), "text")
     assert decontam.decontaminate(docs, nothing).count() == len(texts)
+
+
+# --- op 11 --------------------------------------------------------------------
+
+
+def vocabulary(rng, letters, n, longest=9):
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(0, longest))) for _ in range(n)}
+    return {w: rng.randint(0, 4) ** 4 for w in words}
+
+
+@pytest.mark.parametrize("letters, size", [("ab", 3), ("ab", 50), ("aéz", 20), ("abcdefgh", 1000)])
+def test_variants_of_dense_words(spark, monkeypatch, letters, size):
+    """Every pair one edit apart is found, whatever the dictionary."""
+    monkeypatch.setattr(variants, "dictionary", lambda words, f=variants.dictionary: f(words, size))
+    count = vocabulary(random.Random(size), letters, 300)
+    got = variants.group(spark.createDataFrame(list(count.items()), "word string, n long"))
+    near = {w: [b for b in count if brute.one_edit(w, b)] for w in count}
+    rows = {r.word: r for r in got.collect()}
+    assert set(rows) == set(count)
+    for w, row in rows.items():
+        best = min(near[w], key=lambda b: (-count[b], b), default=None)
+        if best is not None and (count[best] < 5 * count[w] or count[best] <= count[w]):
+            best = None
+        assert (row.n, row.n_near, row.form) == (count[w], len(near[w]), best)
+        assert row.form_n == (None if best is None else count[best])
+        assert row.root == (w if best is None else rows[best].root)
+
+
+def test_dictionary_is_bounded(spark):
+    words = spark.createDataFrame([(w, 1) for w in vocabulary(random.Random(2), "abcdefgh", 500)], "word string, n int")
+    frequent = variants.dictionary(words, 40)
+    assert all(sum(len(g) == q for g in frequent) <= 40 for q in (2, 3, 4))
+    assert all(g[1:] in frequent and g[:-1] in frequent for g in frequent if len(g) > 2)
+
+
+def test_grams_that_an_edit_leaves_alone_stay():
+    rng = random.Random(4)
+    grams = variants.Grams({"ab", "aba", "ba", "bab", "abab", "baba", "\x01a"} | {"\x01\x01", "\x02\x02"})
+    for _ in range(300):
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 10)))
+        i = rng.randrange(len(word))
+        other = word[:i] + rng.choice(["", "a", "b", "c"]) + word[i + 1 :]
+        if other == word:
+            continue
+        edits, gaps = grams.keys(other)
+        assert set(grams.keys(word)[0]) & set(edits if len(other) == len(word) else gaps)
+
+
+def test_variants_odd_rows(spark, docs, texts):
+    runs = variants.runs(docs)
+    got = collections.Counter(r.run for r in runs.select("run").collect())
+    assert got == collections.Counter(r.translate(brute.LOW) for _, t in texts for r in brute.RUN.findall(t or ""))
+    odd = [("colour", 50), ("colour", 50), ("color", 3), ("colou", 3), (None, 9), ("", None), ("c", 2), ("colr", None)]
+    rows = {r.word: r for r in variants.group(spark.createDataFrame(odd, "word string, n long")).collect()}
+    assert set(rows) == {"colour", "color", "colou", "", "c", "colr"}
+    assert rows["colour"].n == 100 and rows["color"].form == "colour" and rows["colr"].root == "colour"
+    assert rows[""].form == "c" and rows[""].n == 0
+    assert variants.group(variants.counted(variants.runs(docs.limit(0), name="word"))).count() == 0
+
+
+# --- op 12 --------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokens = byte_bpe.read_ranks(RANKS)
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in tokens.items()}, special_tokens={}
+    )
+
+
+def encoder():
+    tokens = byte_bpe.read_ranks(RANKS)
+    return byte_bpe.Encoder(tokens, byte_bpe.joinable(tokens), byte_bpe.class_runs())
+
+
+def encoded(coder, texts):
+    data, offsets = kernels.joined(pa.array(texts, pa.large_string()))
+    ids, starts, first = coder.encode(data, offsets)
+    return [(ids[a:b].tolist(), starts[a:b].tolist()) for a, b in zip(first, first[1:])]
+
+
+def test_bpe_as_the_library(library):
+    rng = random.Random(1)
+    letters = "''''  \n\t 　 srtmdvleLX é1２٣!?.-字ß\U0001f600"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    texts += [None, "", "'", "'r", "'l", "'ll", "a'", "a 're", " 're", "\n're", "  ", "a  ", "a \n b", "\x1c\x1d \x1e"]
+    texts += ["ab" * 5000, "'" * 3000, "x" * 20_000, "".join(rng.choice("aeiou字") for _ in range(9000))]
+    texts += ["".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)]
+    for text, (ids, starts) in zip(texts, encoded(encoder(), texts)):
+        assert ids == library.encode_ordinary(text or ""), text
+        assert starts == [0, *np.cumsum([len(library.decode_single_token_bytes(i)) for i in ids[:-1]])][: len(ids)]
+
+
+def test_bpe_small_cache(library, texts, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_SLICES", 50)
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 5)
+    coder = encoder()
+    for _, text in texts:
+        assert encoded(coder, [text])[0][0] == library.encode_ordinary(text or "")
+
+
+def test_scan_is_a_left_fold():
+    machine = byte_bpe.automaton()
+    rng = np.random.default_rng(3)
+    for n in (1, 255, 256, 257, 70_000):
+        elements = machine.element[rng.integers(0, len(machine.element), n)]
+        state, want = 0, []
+        for e in elements:
+            state = machine.product[state, e]
+            want.append(state)
+        assert (byte_bpe.composed(elements, machine.product) == want).all()
+
+
+def test_bpe_rows(docs, texts, empty, library):
+    tokens = byte_bpe.encode(docs.withColumn("ids", F.lit("x")).withColumn("starts", F.lit(1)), RANKS).cache()
+    got = rows_of(tokens, "doc_id", "ids", "n_tokens")
+    want = [(k, library.encode_ordinary(t or "")) for k, t in texts]
+    assert got == sorted(((k, ids, len(ids)) for k, ids in want), key=repr)
+    back = byte_bpe.decode(tokens.withColumn("decoded", F.lit(0)), RANKS)
+    assert all(bytes(r.decoded) == (r.text or "").encode() for r in back.collect())
+    assert all(r.packed == np.array(r.ids, "<u4").tobytes() for r in tokens.collect())
+    plain = byte_bpe.decode(tokens, RANKS, starts=None)
+    assert all(bytes(r.decoded) == (r.text or "").encode() for r in plain.collect())
+    assert byte_bpe.decode(byte_bpe.encode(empty, RANKS), RANKS).count() == 0
+
+
+def test_decoding_by_starts(spark, library):
+    ids = library.encode_ordinary("Tokens in any order, é ü 字.")
+    width = [len(library.decode_single_token_bytes(i)) for i in ids]
+    starts = np.concatenate([[0], np.cumsum(width)[:-1]]).tolist()
+    schema = "ids array<int>, starts array<int>"
+    frame = spark.createDataFrame([(ids[::-1], starts[::-1]), (None, None), ([], [])], schema)
+    out = [bytes(r.decoded) for r in byte_bpe.decode(frame, RANKS).collect()]
+    assert out == ["Tokens in any order, é ü 字.".encode(), b"", b""]
+    for bad in [(ids, starts[:-1]), (ids, [s + 1 for s in starts]), ([1 << 20], [0]), ([-1], [0])]:
+        with pytest.raises(Exception, match="differ|gaps|rank file"):
+            byte_bpe.decode(spark.createDataFrame([bad], schema), RANKS).collect()
+
+
+# --- op 13 --------------------------------------------------------------------
+
+
+def test_runs_of_dense_texts():
+    rng = random.Random(5)
+    for _ in range(150):
+        texts = []
+        for _ in range(rng.randint(0, 30)):
+            letters = "abcdefgh"[: rng.randint(1, 4)]
+            words = []
+            for _ in range(rng.randint(0, 5)):
+                unit = [rng.choice(letters) for _ in range(rng.randint(1, 14))]
+                words += (unit * 8)[: rng.randint(0, len(unit) * 7)]
+                words += [rng.choice(letters) for _ in range(rng.randint(0, 4))]
+            texts.append(words)
+        found = periodic.detect(pa.array([" ".join(t) for t in texts], pa.string()))[-2].to_pylist()
+        assert [[tuple(r.values()) for r in f] for f in found] == [brute.runs(t) for t in texts]
+
+
+def test_long_runs():
+    rng = random.Random(6)
+    unit = [str(rng.randrange(10**6)) for _ in range(3000)]
+    texts = [["a"] * 50_000, ["x", *unit * 5, "y"], unit * 4, (unit * 4)[:-1], unit]
+    got = periodic.detect(pa.array([" ".join(t) for t in texts]))
+    assert [[tuple(r.values()) for r in f] for f in got[-2].to_pylist()] == [
+        [(0, 50_000, 1)], [(1, 15_000, 3000)], [(0, 12_000, 3000)], [], [],
+    ]
+    assert got[-1].to_pylist()[0] == "a"
+
+
+def test_run_columns(docs, texts, empty, spark):
+    extra = [(900 + i, t) for i, t in enumerate([" ".join("ab" * 9 + "c" * 8), "z z z z z z", "k l " * 5 + "m " * 6])]
+    schema = "doc_id long, text string"
+    more = spark.createDataFrame(extra, schema).withColumns({c: F.lit(1) for c in ("start", "length", "runs")})
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    columns = [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(lines.cast("binary"), 256), F.sha2(F.col("collapsed").cast("binary"), 256),
+    ]
+    for frame, rows in ((docs, texts), (more, extra)):
+        found = periodic.periodic_runs(frame)
+        assert rows_of(found, *columns) == sorted(brute.periods(rows, plant=False), key=repr)
+    assert periodic.periodic_runs(empty).count() == 0
