@@ -25,6 +25,7 @@ from debutrank.llm import kernels as K
 
 CACHE_SLICES = 1 << 18  # different slices that a task remembers, and the longest of them
 CACHE_BYTES = 64
+STEP = 1 << 19  # bytes that one step encodes, and tokens that four steps decode, unless one row has more
 BLOCK = 256  # code points that one lane of the scan composes
 
 # The classes that the splitting pattern tells apart, and its contractions.
@@ -388,7 +389,7 @@ def encode(docs: DataFrame, ranks: str, text: str = "text") -> DataFrame:
     A null or empty text has no tokens. Equal rows give equal results and all rows stay.
     Input columns with one of the names added are replaced. Slices without a limit on their length
     (a text that is one word) are merged in n log n steps. Memory is bounded by
-    ``kernels.PIECE_BYTES`` or the longest text.
+    ``STEP`` or the longest text.
     """
     added = {name for name, _ in ENCODED}
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c not in added])
@@ -400,7 +401,7 @@ def encode(docs: DataFrame, ranks: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*table.value, runs)
         for batch in batches:
-            for part in K.pieces(batch, text):
+            for part in K.pieces(batch, text, STEP):
                 data, offsets = K.joined(part.column(text))
                 ids, starts, first = encoder.encode(data, offsets)
                 packed = _slices(4 * first, ids.astype("<u4").view(np.uint8))
@@ -421,6 +422,18 @@ def decoded(ids: np.ndarray, places: np.ndarray, size: int, vocabulary: tuple[np
     return out
 
 
+def _parts(batch: pa.RecordBatch, ids: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``STEP // 4`` ids, one row at least."""
+    counts = pa.compute.fill_null(pa.compute.list_value_length(batch.column(ids)), 0)
+    ends = np.cumsum(counts.to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + STEP // 4, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def decode(tokens: DataFrame, ranks: str, ids: str = "ids", starts: str | None = "starts") -> DataFrame:
     """Add ``decoded``, the bytes that the ids stand for.
 
@@ -440,7 +453,7 @@ def decode(tokens: DataFrame, ranks: str, ids: str = "ids", starts: str | None =
             np.frombuffer(b"".join(entries), np.uint8),
             np.concatenate([[0], np.cumsum(lengths)]),
         )
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(_parts(b, ids) for b in batches):
             count = pa.compute.fill_null(pa.compute.list_value_length(batch.column(ids)), 0)
             first = np.concatenate([[0], np.cumsum(count.to_numpy(zero_copy_only=False).astype(np.int64))])
             numbers = batch.column(ids).flatten().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -127,10 +127,9 @@ def op6(spark, sf_dir):
 def op12(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     tokens = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks)
-    back = byte_bpe.decode(tokens.drop("text"), ranks)
-    return back.select(
-        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    tokens = tokens.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), "ids", "starts")
+    back = byte_bpe.decode(tokens, ranks)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def with_periods(docs: DataFrame) -> DataFrame:
