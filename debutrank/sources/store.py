@@ -1,13 +1,20 @@
-"""Stored tables: documents as JSON, the profile by period, and tables that are replaced as a whole."""
+"""Stored tables: documents as JSON, the profile, whole or kept up to date, and tables changed by key."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from debutrank.operators import profile_state
 from debutrank.operators.documents import with_labels, with_years
+from debutrank.operators.joins import upsert
+from debutrank.schemas import STATS
+from debutrank.session import written
+from debutrank.sources import keyed
+
+PROFILE_BUCKETS = 4  # a period is one row
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
@@ -30,36 +37,41 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _versions(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [str(s.getPath().getName()) for s in files.listStatus(folder)] if files.exists(folder) else []
-    done = [
-        name for name in found
-        if name.startswith("v") and files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS"))
-    ]
-    return files, sorted(done)
+def start_profile(batch: DataFrame, path: str, period: str = "period") -> None:
+    """Store the state of a first batch of season rows (see ``profile_state``)."""
+    keyed.create(batch, path, [period], PROFILE_BUCKETS)
 
 
-def write_table(rows: DataFrame, path: str) -> None:
-    """Replace a table, also by what was made from it: a new version is written beside the old one.
+def add_to_profile(batch: DataFrame, path: str, period: str = "period", stats: Sequence[str] = STATS) -> None:
+    """Merge the state of a further batch into the stored one.
 
-    Readers take the newest version that is complete; older ones are dropped afterwards, but
-    for the last, which running readers may still need.
+    The batch holds season rows that are in no batch before. Neither these nor untouched periods are read;
+    of two writers at once both are merged.
     """
-    spark = rows.sparkSession
-    _, done = _versions(spark, path)
-    number = int(done[-1][1:9]) + 1 if done else 0
-    rows.write.parquet(f"{path}/v{number:08}-{uuid.uuid4().hex}")
-    files, done = _versions(spark, path)
-    for name in done[:-2]:
-        files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version of a table."""
-    _, done = _versions(spark, path)
-    if not done:
-        raise FileNotFoundError(f"no complete version in {path}")
-    return spark.read.parquet(f"{path}/{done[-1]}")
+    batch = written(batch, "profile-batch")
+    keyed.change(
+        batch.sparkSession, path, batch.select(period), lambda kept: profile_state.merge(kept, batch, period, stats)
+    )
+
+
+def kept_profile(spark: SparkSession, path: str, period: str = "period", stats: Sequence[str] = STATS) -> DataFrame:
+    """The profile of all batches so far."""
+    return profile_state.profile_of(keyed.read(spark, path), period, stats)
+
+
+def save_upsert(
+    path: str,
+    new: DataFrame,
+    updates: DataFrame,
+    key: str,
+    column: str,
+    new_order: Sequence[str],
+    update_order: Sequence[str],
+) -> None:
+    """``joins.upsert`` into a table of ``keyed``, of which only the buckets of the given keys are read and written."""
+    touched = new.select(key).unionByName(updates.select(key))
+
+    def make(existing: DataFrame) -> DataFrame:
+        return upsert(existing, new, updates, key, column, new_order, update_order)
+
+    keyed.change(new.sparkSession, path, touched, make)

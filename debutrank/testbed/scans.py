@@ -10,13 +10,12 @@ from debutrank.operators.joins import (
     insert_if_absent,
     limit_entities,
     update_if_present,
-    upsert,
 )
 from debutrank.operators.profile import profile_long
 from debutrank.operators.ranking import group_sum_count, with_group
 from debutrank.schemas import STATS
 from debutrank.session import shared_path
-from debutrank.sources import batches, pages, store
+from debutrank.sources import batches, keyed, pages, store
 from debutrank.sources.tsv import read_scores, read_tsv, tab_lines, write_tsv
 from debutrank.testbed.registry import Registry, snap, snap_sql
 from debutrank.testbed.seasons import (
@@ -291,12 +290,9 @@ FROM base LEFT JOIN updates USING (name)""",
 def merge_upsert(spark, sf_dir):
     existing, new, updates = _upsert_inputs(spark, sf_dir)
     path = shared_path(spark, "regions")
-    store.write_table(existing, path)
-    merged = upsert(
-        store.read_table(spark, path), new, updates, "name", "score", ["c_custkey"], ["s_suppkey"]
-    )
-    store.write_table(merged, path)
-    return store.read_table(spark, path)
+    keyed.create(existing, path, ["name"], buckets=8)
+    store.save_upsert(path, new, updates, "name", "score", ["c_custkey"], ["s_suppkey"])
+    return keyed.read(spark, path)
 
 
 def _upsert_inputs(spark, sf_dir):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from debutrank.operators.bitmaps import Counted, distinct_counts, words
 from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import STATS
 from debutrank.session import written
@@ -30,6 +31,10 @@ def _exact(column: str, kind: str) -> Column:
     return F.col(column).cast(kind)
 
 
+def _steps(column: str) -> Column:
+    return F.rint(F.col(column) * 10_000).cast("long")
+
+
 def _exact_lines(lines: DataFrame) -> DataFrame:
     """Lines with decimals: sums over them are exact and do not depend on the order of the rows.
 
@@ -60,8 +65,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Sums over the lines of an order, then over the orders of a season.
-_DECIMALS = {
+# Sums over the lines of an order, then over the orders of a season, in steps of 1/10000: whole
+# numbers add up exactly, in any order, and in generated code.
+_STEPS = {
     "q": "quantity",
     "q_f": "CASE WHEN l_linestatus = 'F' THEN quantity END",
     "q_n": "CASE WHEN l_returnflag = 'N' THEN quantity END",
@@ -77,11 +83,16 @@ _COUNTS = {
     "r_o": "count_if(l_returnflag = 'R' AND l_linestatus <> 'F')",
     "r_f": "count_if(l_returnflag = 'R' AND l_linestatus = 'F')",
     "r": "count_if(l_returnflag = 'R')",
-    "big": "count_if(discount >= 0.08BD)",
+    "big": "count_if(discount >= 800)",
     "a_f": "count_if(l_returnflag = 'A' AND l_linestatus = 'F')",
     "a": "count_if(l_returnflag = 'A')",
 }
 
+# Numbers of lines up to 63 are the bits of a word of their order; those beyond, if any, are counted with the suppliers.
+_NEAR_LINES = "bit_or(CASE WHEN l_linenumber BETWEEN 0 AND 63 THEN shiftleft(1L, int(l_linenumber)) END)"
+_FAR_LINE = "CASE WHEN l_linenumber NOT BETWEEN 0 AND 63 THEN l_linenumber END AS far_line"
+_DISTINCT = {"far_lines": Counted("far_line", within="l_orderkey"), "suppliers": Counted("l_suppkey")}
+
 # Statistic -> (numerator, denominator, scale).
 _STATS = {
     "games_played": ("n", "1", "1D"),
@@ -102,7 +113,7 @@ _STATS = {
     "offensive_rebounds": ("100D * d", "n", "1D"),
     "defensive_rebounds": ("100D * t", "n", "1D"),
     "total_rebounds": ("100D * (d + t)", "n", "1D"),
-    "assists": ("suppliers", "n", "1D"),
+    "assists": ("coalesce(suppliers, 0)", "n", "1D"),
     "steals": ("r_o", "n", "1D"),
     "blocks": ("r_f", "n", "1D"),
     "turnovers": ("big", "n", "1D"),
@@ -122,38 +133,38 @@ def build_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """26 statistics per customer and year.
 
     The lines are summed per order before they meet the orders, so the wide columns are joined
-    once per order, and an order of very many lines is summed on the map side. Distinct suppliers
-    take a second, two-column read of the lines: one aggregation with both kinds of distinct
-    counts would send every row once per count.
+    once per order, and an order of very many lines is summed on the map side. Distinct lines and
+    suppliers come from a second read of three columns, as bitmaps: in one aggregation with the sums,
+    every line would be shuffled with all of their buffers.
     """
     keys = ["entity", "period"]
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.col("o_custkey").alias("entity"),
         F.year("o_orderdate").alias("period"),
-        _exact("o_totalprice", "decimal(18,4)").alias("order_price"),
+        _steps("o_totalprice").alias("order_price"),
     )
     lines = table(spark, sf_dir, "lineitem")
     same = F.col("l_orderkey") == F.col("o_orderkey")
-    per_order = _exact_lines(lines).groupBy("l_orderkey").agg(
-        *[F.expr(f"sum({e}) AS {n}") for n, e in _DECIMALS.items()],
+    stepped = lines.select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", _steps("l_quantity").alias("quantity"),
+        _steps("l_discount").alias("discount"), _steps("l_tax").alias("tax"), _steps("l_extendedprice").alias("price"),
+    )
+    per_order = stepped.groupBy("l_orderkey").agg(
+        *[F.expr(f"sum({e}) AS {n}") for n, e in _STEPS.items()],
         *[F.expr(f"{e} AS {n}") for n, e in _COUNTS.items()],
-        F.count_distinct("l_linenumber").alias("nl"),
+        F.expr(f"bit_count({_NEAR_LINES}) AS near_lines"),
     )
-    price_gap = "p - cast(0.25 as decimal(3,2)) * order_price * c"
-    totals = {n: n for n in _DECIMALS} | {"pm": price_gap}
     sums = per_order.join(orders, same).groupBy(*keys).agg(
-        *[F.expr(f"coalesce(cast(sum({e}) as double), 0D) AS {n}") for n, e in totals.items()],
-        *[F.sum(n).alias(n) for n in [*_COUNTS, "nl"]],
+        *[F.expr(f"coalesce(sum({n}), 0L) / 10000D AS {n}") for n in _STEPS],
+        F.expr("coalesce(sum(4L * p - order_price * c), 0L) / 40000D AS pm"),
+        *[F.sum(n).alias(n) for n in _COUNTS],
+        F.sum(F.coalesce("near_lines", F.lit(0))).alias("near_lines"),
         F.count("*").alias("n"),
     )
-    suppliers = (
-        lines.select("l_orderkey", "l_suppkey")
-        .join(orders.drop("order_price"), same)
-        .groupBy(*keys)
-        .agg(F.count_distinct("l_suppkey").alias("suppliers"))
-    )
-    parts = sums.join(suppliers, keys)
+    narrow = lines.selectExpr("l_orderkey", "l_suppkey", _FAR_LINE).join(orders.drop("order_price"), same)
+    numbers = distinct_counts(words(narrow, keys, _DISTINCT), keys, list(_DISTINCT))
+    parts = sums.join(numbers, keys, "left").withColumn("nl", F.expr("near_lines + coalesce(far_lines, 0)"))
     return parts.selectExpr(*keys, *[f"round({_ratio(*_STATS[s])}, 9) AS {s}" for s in STATS])
 
 

@@ -13,7 +13,7 @@ from debutrank.schemas import GAME_FILE, PLAYER_FILE, SEASON_FILE, STATS
 from debutrank import session
 from debutrank.operators.scoring import score_columns
 from debutrank.sources import pages, tsv
-from debutrank.sources.store import read_profile, read_table, write_table
+from debutrank.sources.store import read_profile
 from tests import brute
 
 
@@ -129,15 +129,6 @@ def test_unreadable_season_is_rejected(spark, files, tmp_path):
     assert spark.read.parquet(f"{store}/compacted").count() == got.documents.count()
 
 
-def test_table_is_replaced_by_what_was_made_from_it(spark, tmp_path):
-    path = str(tmp_path / "table")
-    for i in range(4):
-        rows = spark.range(1) if i == 0 else read_table(spark, path).union(spark.range(i, i + 1))
-        write_table(rows, path)
-    assert sorted(r.id for r in read_table(spark, path).collect()) == [0, 1, 2, 3]
-    assert len(list((tmp_path / "table").iterdir())) == 2
-
-
 def test_score_files(spark, tables, tmp_path):
     paths = rankings.write_score_files(tables, str(tmp_path), groups=True, without_missing=True)
     got = rankings.read_score_files(spark, paths, groups=True).collect()

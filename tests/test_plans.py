@@ -130,8 +130,14 @@ def test_a_hot_order_is_split(spark, tmp_path, sf_dir):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_season_table_reads_the_lines_twice(spark, sf_dir):
-    """Once with all columns and once with two; no join of lines carries the wide ones."""
+def exchange_keys(plan):
+    """Columns of every hash exchange."""
+    found = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    return [tuple(re.sub(r"#\d+L?", "", c).strip() for c in x.split(",")[:-1]) for x in found]
+
+
+def test_season_table_shuffles(spark, sf_dir):
+    """Wide sums go by order and by season only, and distinct numbers as narrow words."""
     name = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(name)
     spark.conf.set(name, "-1")
@@ -140,5 +146,11 @@ def test_season_table_reads_the_lines_twice(spark, sf_dir):
     finally:
         spark.conf.set(name, before)
     scans = [x for x in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) if "l_orderkey" in x]
-    assert sorted(len(x.split(",")) for x in scans) == [2, 8]
+    assert sorted(len(x.split(",")) for x in scans) == [3, 8]
     assert plan.count("SortMergeJoin") == 3
+    keys = exchange_keys(plan)
+    assert not {"l_linenumber", "l_suppkey", "far_line"} & {c for k in keys for c in k}
+    season, word = ("entity", "period"), ("entity", "period", "what", "owner", "block")
+    by_order = [k for k in keys if len(k) == 1]
+    assert sorted(k for k in keys if len(k) > 1) == sorted([season, season, word])
+    assert set(by_order) == {("l_orderkey",), ("o_orderkey",)}
