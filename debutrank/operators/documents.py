@@ -59,17 +59,70 @@ def nest(
         game_rows.unionByName(stat_rows, allowMissingColumns=True)
         .groupBy(entity, "part", period)
         .agg(
-            F.map_from_entries(F.collect_list("_game")).alias("games"),
+            F.map_from_entries(F.sort_array(F.collect_list("_game"))).alias("games"),
             F.any_value("all", ignoreNulls=True).alias("all"),
         )
     )
     season = F.struct(F.col(period), F.struct("games", "all"))
+    # Lists come in the order of the shuffle: sorted, two runs store equal documents.
     nested = seasons.groupBy(entity, "part").agg(
-        F.map_from_entries(F.collect_list(season)).alias("seasons")
+        F.map_from_entries(_by_field(F.collect_list(season), period)).alias("seasons")
     )
     return nested if parts > 1 else nested.drop("part")
 
 
+def _by_field(entries: Column, field: str) -> Column:
+    """Structs in the order of one of their fields; the others may be of any type."""
+
+    def compare(a: Column, b: Column) -> Column:
+        return F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0)
+
+    return F.array_sort(entries, compare)
+
+
+def as_entries(documents: DataFrame) -> DataFrame:
+    """The season map as sorted entries ``{period, games: [{game, fields..}], all}``.
+
+    A stored array of structs can be read by field, which a map cannot: a scan for one statistic
+    reads the columns of the periods and of that statistic.
+    """
+
+    def season(e: Column) -> Column:
+        games = F.transform(
+            F.map_entries(e["value"]["games"]), lambda g: F.struct(g["key"].alias("game"), g["value"].alias("fields"))
+        )
+        return F.struct(e["key"].alias("period"), F.sort_array(games).alias("games"), e["value"]["all"].alias("all"))
+
+    entries = F.transform(F.map_entries("seasons"), season)
+    return documents.withColumn("seasons", F.sort_array(entries))
+
+
+def as_maps(entries: DataFrame) -> DataFrame:
+    """The documents that ``as_entries`` has been given."""
+
+    def season(e: Column) -> Column:
+        games = F.transform(e["games"], lambda g: F.struct(g["game"], g["fields"]))
+        return F.struct(e["period"], F.struct(F.map_from_entries(games).alias("games"), e["all"].alias("all")))
+
+    return entries.withColumn("seasons", F.map_from_entries(F.transform("seasons", season)))
+
+
+def entry_stat(period: Column, stat: str) -> Column:
+    """Statistic of one period of stored entries; NULL where the period is missing."""
+    at = F.array_position(F.col("seasons.period"), period) - 1
+    return F.get(F.col(f"seasons.all.{stat}"), at.cast("int"))
+
+
+def entry_rows(
+    entries: DataFrame, keys: Sequence[str], stats: Sequence[str], period: str = "period"
+) -> DataFrame:
+    """Some statistics of every period, as flat columns; only these are read. A period without statistics has NULLs."""
+    columns = [F.col(f"seasons.all.{s}").alias(s) for s in stats]
+    zipped = F.arrays_zip(F.col("seasons.period").alias(period), *columns)
+    rows = entries.select(*keys, F.explode(zipped).alias("_s"))
+    return rows.select(*keys, f"_s.{period}", *[f"_s.{s}" for s in stats])
+
+
 def explode_seasons(documents: DataFrame, keys: Sequence[str], period: str = "period") -> DataFrame:
     """One row per document and period: the keys, ``games`` and ``all``."""
     return documents.select(*keys, F.explode("seasons").alias(period, "_s")).select(

@@ -15,13 +15,13 @@ from debutrank.functions.cells import (
 )
 from debutrank.functions.periods import season_start
 from debutrank.operators.dedupe import dedupe_first, dedupe_last
-from debutrank.operators.documents import compact, game_means, nest
+from debutrank.operators.documents import as_maps, compact, game_means, nest
 from debutrank.operators.joins import limit_entities, look_up
 from debutrank.operators.numbering import dense_number
 from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import FILE_STATS, GAME_FIELDS, GAME_FILE, GAME_MEANS, STATS
 from debutrank.session import written
-from debutrank.sources.store import read_documents, write_documents, write_profile
+from debutrank.sources.store import read_entries, write_entries, write_profile
 from debutrank.sources.tsv import (
     FILE_ORDER,
     read_games,
@@ -105,8 +105,8 @@ def populate(
     nested = None
     if store:
         nested = documents(games, seasons, members)
-        write_documents(nested, f"{store}/documents")
-        nested = read_documents(spark, f"{store}/documents", nested.schema)
+        write_entries(nested, f"{store}/documents")
+        nested = as_maps(read_entries(spark, f"{store}/documents"))
         compacted = compact(nested, ["player_id", "college", "state"], STATS)
         compacted.write.parquet(f"{store}/compacted")
         write_profile(measures, f"{store}/profile")

@@ -1,4 +1,4 @@
-"""Stored tables: documents as JSON, the profile, whole or kept up to date, and tables changed by key."""
+"""Stored tables: documents by column or as JSON, the profile, whole or kept up to date, and tables changed by key."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from debutrank.operators import profile_state
-from debutrank.operators.documents import with_labels, with_years
+from debutrank.operators.documents import as_entries, with_labels, with_years
 from debutrank.operators.joins import upsert
 from debutrank.schemas import STATS
 from debutrank.session import written
@@ -28,6 +28,16 @@ def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return with_years(spark.read.schema(labelled).json(path))
 
 
+def write_entries(documents: DataFrame, path: str) -> None:
+    """Documents by column: Parquet, the seasons as sorted entries."""
+    as_entries(documents).write.parquet(path)
+
+
+def read_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Documents stored by column; take single statistics with ``documents.entry_rows`` and ``entry_stat``."""
+    return spark.read.parquet(path)
+
+
 def write_profile(profile: DataFrame, path: str, period: str = "period") -> None:
     """The profile, a folder for each period."""
     profile.repartition(period).write.partitionBy(period).parquet(path)

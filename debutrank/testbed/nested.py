@@ -40,6 +40,11 @@ def documents(spark, sf_dir):
     return _once(spark, sf_dir, "documents", lambda: build_documents(spark, sf_dir))
 
 
+def entries(spark, sf_dir):
+    """The same documents, stored by column once per session."""
+    return _once(spark, sf_dir, "entries", lambda: docs.as_entries(documents(spark, sf_dir)))
+
+
 def _flat(rows):
     """Per customer and period: number of games, sums of all their fields, all statistics."""
     values = F.map_values("games")
@@ -93,7 +98,8 @@ def nest_documents(spark, sf_dir):
 
 @R.query("scan_documents", _FLAT_SQL)
 def scan_documents(spark, sf_dir):
-    return _flat(documents(spark, sf_dir))
+    """Whole documents, from the store by column."""
+    return _flat(docs.as_maps(entries(spark, sf_dir)))
 
 
 @R.query("sink_documents", _FLAT_SQL)
@@ -153,14 +159,29 @@ LEFT JOIN seasons p98 ON p98.entity = c.entity AND p98.period = 1998
 LEFT JOIN seasons p99 ON p99.entity = c.entity AND p99.period = 1999""",
 )
 def nested_get(spark, sf_dir):
-    rows = documents(spark, sf_dir)
-    return rows.select(
+    return entries(spark, sf_dir).select(
         "player_id",
-        snap(docs.season_stat(F.lit(1998), "points")).alias("points_1998"),
-        snap(docs.season_stat(F.lit(1999), "steals")).alias("steals_1999"),
+        snap(docs.entry_stat(F.lit(1998), "points")).alias("points_1998"),
+        snap(docs.entry_stat(F.lit(1999), "steals")).alias("steals_1999"),
     )
 
 
+@R.query(
+    "scan_statistics",
+    "WITH"
+    + SEASON_CTE
+    + ","
+    + _PEOPLE
+    + f""" SELECT entity AS player_id, region AS state, CAST(period AS INTEGER) AS period,
+  {snap_sql("points")} AS points, {snap_sql("plus_minus")} AS plus_minus
+FROM seasons JOIN people USING (entity)""",
+)
+def scan_statistics(spark, sf_dir):
+    """Two of the 26 statistics of stored documents; the scan reads these and no games."""
+    rows = docs.entry_rows(entries(spark, sf_dir), ["player_id", "state"], ["points", "plus_minus"])
+    return rows.withColumns({s: snap(s) for s in ("points", "plus_minus")})
+
+
 @R.query(
     "compact_documents",
     "WITH"

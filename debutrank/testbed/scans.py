@@ -84,6 +84,20 @@ def scan_range_batches(spark, sf_dir):
     return rows.groupBy("batch").agg(F.count("*").alias("orders"), total.alias("total"))
 
 
+@R.query(
+    "scan_range_stored",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders, (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high "
+    "FROM orders) WHERE o_orderkey >= low + (high - low) // 3 AND o_orderkey < low + (high - low) // 2",
+)
+def scan_range_stored(spark, sf_dir):
+    """The orders of a stretch of numbers, from a table that is stored by ranges."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    path = shared_path(spark, "orders-by-range")
+    batches.write_ranges(orders, path, "o_orderkey", (high - low) // 16 + 1)
+    return batches.read_ranges(spark, path, "o_orderkey", low + (high - low) // 3, low + (high - low) // 2)
+
+
 @R.query(
     "scan_prefix_partitions",
     "SELECT CASE WHEN lower(substr(p_name, 1, 1)) BETWEEN 'a' AND 'z' "
@@ -91,12 +105,40 @@ def scan_range_batches(spark, sf_dir):
     "count(DISTINCT p_name) AS names FROM part GROUP BY 1",
 )
 def scan_prefix_partitions(spark, sf_dir):
-    rows = batches.with_prefix(table(spark, sf_dir, "part").select("p_name"), "p_name")
-    return rows.groupBy("prefix").agg(
+    path = shared_path(spark, "parts-by-prefix")
+    batches.write_prefixes(table(spark, sf_dir, "part").select("p_name"), path, "p_name")
+    return batches.read_prefixes(spark, path).groupBy("prefix").agg(
         F.count("*").alias("parts"), F.count_distinct("p_name").alias("names")
     )
 
 
+@R.query(
+    "scan_prefix_stored",
+    "SELECT p_partkey, p_name, lower(substr(p_name, 1, 1)) AS prefix FROM part "
+    "WHERE lower(substr(p_name, 1, 1)) IN ('a', 'b', 'g', 's')",
+)
+def scan_prefix_stored(spark, sf_dir):
+    """The parts of some first letters, from a table that is stored by first letter."""
+    path = shared_path(spark, "parts-by-prefix")
+    batches.write_prefixes(table(spark, sf_dir, "part").select("p_partkey", "p_name"), path, "p_name")
+    return batches.read_prefixes(spark, path, ["a", "b", "g", "s"])
+
+
+@R.query(
+    "scan_prefix_keys",
+    "SELECT p_partkey, p_name, CASE WHEN lower(substr(p_name, 1, 1)) BETWEEN 'a' AND 'z' "
+    "THEN lower(substr(p_name, 1, 1)) ELSE 'other' END AS prefix FROM part "
+    "WHERE p_name IN (SELECT p_name FROM part WHERE p_size = 1)",
+)
+def scan_prefix_keys(spark, sf_dir):
+    """All parts of the names that another table asks for, from a table that is stored by first letter."""
+    part = table(spark, sf_dir, "part")
+    path = shared_path(spark, "parts-by-prefix")
+    batches.write_prefixes(part.select("p_partkey", "p_name"), path, "p_name")
+    wanted = part.filter("p_size = 1")
+    return batches.read_keys(spark, path, wanted, "p_name").select("p_partkey", "p_name", "prefix")
+
+
 @R.query(
     "scan_fixed_batches",
     "SELECT CAST(floor(n / 400) AS BIGINT) AS batch, count(*) AS customers, "
@@ -123,10 +165,7 @@ def scan_fixed_batches(spark, sf_dir):
 )
 def union_batches(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    reads = batches.range_batches(orders, "o_orderkey", 3)
-    return batches.union_batches(
-        [rows.withColumn("batch", F.lit(i)) for i, rows in enumerate(reads)]
-    )
+    return batches.with_equal_batch(orders, "o_orderkey", 3)
 
 
 @R.query(
