@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from debutrank.functions.cells import MISSING_GROUP
 from debutrank.functions.scores import plain_rescale, shifted_rescale
+from debutrank.session import written_with_extrema
 
 
 def extrema(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,18 +29,36 @@ def _with_bounds(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.withColumn("_bounds", one.select(F.struct(*one.columns)).scalar())
 
 
-def rescale(rows: DataFrame, columns: Sequence[str] | str, top: float = 100.0) -> DataFrame:
-    """Rescale each column to 0..top over all rows, shifting a column with a negative minimum."""
+def rescale(
+    rows: DataFrame, columns: Sequence[str] | str, top: float = 100.0, bounds: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Rescale each column to 0..top over all rows, shifting a column with a negative minimum.
+
+    ``bounds`` has ``<column>_max`` and ``<column>_min`` where they are known, for instance from
+    ``session.written_with_extrema``; else they are a second read of the rows.
+    """
     columns = [columns] if isinstance(columns, str) else list(columns)
+    kinds = dict(rows.dtypes)
+
+    def bound(c, which):
+        if bounds is None:
+            return F.col(f"_bounds.{c}_{which}")
+        return F.lit(bounds[f"{c}_{which}"]).cast(kinds[c])
 
     def value(c):
-        low, high = F.col(f"_bounds.{c}_min"), F.col(f"_bounds.{c}_max")
-        return shifted_rescale(F.col(c), low, high, top)
+        return shifted_rescale(F.col(c), bound(c, "min"), bound(c, "max"), top)
 
-    bounded = _with_bounds(rows, columns)
+    bounded = _with_bounds(rows, columns) if bounds is None else rows
     return bounded.select(*[value(c).alias(c) if c in columns else c for c in rows.columns])
 
 
+def rescale_written(rows: DataFrame, columns: Sequence[str] | str, label: str, top: float = 100.0) -> DataFrame:
+    """Write the rows, take their extrema in passing, and rescale what was written: one read of it."""
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    stored, bounds = written_with_extrema(rows, label, columns)
+    return rescale(stored, columns, top, bounds)
+
+
 def rescale_columns(rows: DataFrame, columns: Sequence[str], top: float = 100.0) -> DataFrame:
     """Rescale each column by its own maximum, without a shift."""
 
@@ -80,6 +99,7 @@ def sum_and_last(
 
 
 def top_k(rows: DataFrame, k: int, score: str, tie: Sequence[str]) -> DataFrame:
+    """The k best rows, in order. Each task sends its k best to one, so ``k`` is for a report, not for a share of the rows."""
     return rows.orderBy(F.col(score).desc(), *tie).limit(k)
 
 

@@ -20,7 +20,7 @@ from debutrank.operators.joins import limit_entities, look_up
 from debutrank.operators.numbering import dense_number
 from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import FILE_STATS, GAME_FIELDS, GAME_FILE, GAME_MEANS, STATS
-from debutrank.session import written
+from debutrank.session import bucketed, written
 from debutrank.sources.store import read_entries, write_entries, write_profile
 from debutrank.sources.tsv import (
     FILE_ORDER,
@@ -36,7 +36,8 @@ class Tables:
     """``seasons``: entity, period, 26 statistics. ``members``: entity, name, grp, region.
 
     ``documents``: the nested documents, if they were asked for. ``rejected``: game rows whose
-    season cannot be read, which are in none of the other tables.
+    season cannot be read, which are in none of the other tables. Seasons and members are stored in the same
+    buckets of the entity, so that scoring and grouping need no exchange by it.
     """
 
     seasons: DataFrame
@@ -99,9 +100,9 @@ def populate(
     stats = with_file_order(read_season_stats(spark, season_stats_path))
     players = with_file_order(read_players(spark, players_path))
     games = limit_entities(games, "player_id", limit)
-    seasons = written(season_table(games, stats), "seasons")
+    seasons = bucketed(season_table(games, stats), "seasons", ["entity"])
     measures = written(profile(seasons, stats_per_pass=STORED_STATS_PER_PASS), "profile")
-    members = members_table(players)
+    members = bucketed(members_table(players), "members", ["entity"])
     nested = None
     if store:
         nested = documents(games, seasons, members)

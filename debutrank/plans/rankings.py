@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from debutrank.categories import CATEGORIES, Category, category
 from debutrank.functions.cells import MISSING_GROUP
-from debutrank.operators.ranking import group_sum_count, rescale, with_group
+from debutrank.operators.ranking import group_sum_count, rescale_written, with_group
 from debutrank.operators.scoring import long_scores, score_columns, score_entities
 from debutrank.plans.populate import Tables
 from debutrank.session import written
@@ -25,10 +25,10 @@ def rank_entities(
     name: str | Category,
     scaled: bool = False,
 ) -> DataFrame:
-    """``entity, score`` with the scores rescaled to 0..100."""
+    """``entity, score`` with the scores rescaled to 0..100; the raw scores are written."""
     column = f"{category(name).short}_score"
     scores = score_entities(seasons, profile, [name], scaled=scaled)
-    return rescale(scores.withColumnRenamed(column, "score"), "score")
+    return rescale_written(scores.withColumnRenamed(column, "score"), "score", "scores")
 
 
 def rank_groups(
@@ -55,13 +55,13 @@ def rank_groups_of(
 ) -> DataFrame:
     """Like ``rank_groups``, from a stored table of raw scores, one column or several.
 
-    The sums are written once: the extrema and the rescaling both read them.
+    The sums are written once, which gives their extrema, and read once by the rescaling.
     ``without_missing`` leaves out the entities without a group.
     """
     rows = with_group(scores, members)
     if without_missing:
         rows = rows.filter(F.col("grp") != MISSING_GROUP)
-    return rescale(written(group_sum_count(rows, "grp", columns), "group-scores"), columns)
+    return rescale_written(group_sum_count(rows, "grp", columns), columns, "group-scores")
 
 
 def rank_entities_all(
@@ -76,7 +76,7 @@ def rank_entities_all(
     """
     columns = score_columns(categories)
     scores = score_entities(seasons, profile, categories, scaled=scaled)
-    return rescale(written(scores, "scores"), columns)
+    return rescale_written(scores, columns, "scores")
 
 
 def rank_groups_all(

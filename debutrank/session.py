@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _folders: dict[str, str] = {}  # by application, as handed in by the caller
+_bucketed: dict[str, list[str]] = {}  # by application, tables to drop from the catalog
 
 
 def local_session(cpus: int | str = 8, app: str = "debutrank", memory: str = "8g") -> SparkSession:
@@ -57,6 +61,8 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Drop all that this session has written; frames that still read it fail from then on."""
+    for name in _bucketed.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -75,3 +81,28 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_with_extrema(df: DataFrame, label: str, columns: Sequence[str]) -> tuple[DataFrame, dict]:
+    """``written``, and ``<column>_max`` and ``<column>_min`` as they were observed in passing.
+
+    A task that runs twice is observed twice, which does not change a maximum or minimum.
+    """
+    seen = Observation()
+    measures = [f(c).alias(f"{c}_{f.__name__}") for c in columns for f in (F.max, F.min)]
+    return written(df.observe(seen, *measures), label), seen.get
+
+
+def bucketed(df: DataFrame, label: str, by: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Write ``df`` in buckets of the hash of ``by``, sorted by them, and read it back.
+
+    Joins, aggregations and windows on ``by`` of tables with as many buckets need no exchange. The
+    number is that of the shuffle partitions unless it is given. Every bucket is one file, written by one task.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"debutrank_{label}_{uuid.uuid4().hex}".replace("-", "_")
+    writer = df.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by)
+    writer.option("path", shared_path(spark, label)).format("parquet").saveAsTable(name)
+    _bucketed.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)

@@ -381,7 +381,7 @@ def rescale_groups(spark, sf_dir):
     )
     grouped = ranking.group_sum_count(rows, "grp", "score")
     grouped = grouped.withColumn("score", F.col("score").cast("double"))
-    return ranking.rescale(grouped, "score").withColumn("score", snap("score"))
+    return ranking.rescale_written(grouped, "score", "balances").withColumn("score", snap("score"))
 
 
 @R.query(
@@ -482,7 +482,8 @@ def merge_categories(spark, sf_dir):
     base = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("entity"), F.col("c_name").alias("name")
     )
-    merged = base.join(_ranked(spark, sf_dir), "entity", "left")
+    scores = long_scores(_ranked(spark, sf_dir), ["entity"], CATEGORIES)
+    merged = rollup.merge_categories(base, scores, "entity", SHORTS)
     return merged.select("entity", "name", *[snap(c).alias(c) for c in COLUMNS])
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from debutrank.operators.bitmaps import Counted, distinct_counts, words
 from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import STATS
-from debutrank.session import written
+from debutrank.session import bucketed, written
 
 _schemas: dict[str, StructType] = {}
 _stored: dict[tuple[str, str, str], DataFrame] = {}
@@ -173,16 +173,16 @@ def forget() -> None:
     _stored.clear()
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _once(spark: SparkSession, sf_dir: str, name: str, build, by: str | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        _stored[key] = written(build(), name)
+        _stored[key] = bucketed(build(), name, [by]) if by else written(build(), name)
     return _stored[key]
 
 
 def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The season table, written once per session: every ranking reads it twice."""
-    return _once(spark, sf_dir, "seasons", lambda: build_seasons(spark, sf_dir))
+    """The season table, written once per session in buckets of the entity: the profile and the scores read it."""
+    return _once(spark, sf_dir, "seasons", lambda: build_seasons(spark, sf_dir), by="entity")
 
 
 def season_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +195,11 @@ def stored_profile(seasons: DataFrame) -> DataFrame:
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their name, nation (group) and region."""
+    """Customers with their name, nation (group) and region, in the buckets of the seasons."""
+    return _once(spark, sf_dir, "members", lambda: build_members(spark, sf_dir), by="entity")
+
+
+def build_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "customer")
         .join(nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")

@@ -103,6 +103,13 @@ def test_rescale_of_zeros_is_null(spark):
     assert {r.score for r in ranking.rescale(df, "score").collect()} == {None}
 
 
+@pytest.mark.parametrize("scores", [[-4.0, None, 6.0], [1.0, 5.0], [0.0, 0.0], [None], []])
+def test_rescale_by_observed_extrema(spark, scores):
+    df = spark.createDataFrame([(s, i) for i, s in enumerate(scores)], "score double, id int").repartition(3)
+    want = sorted(ranking.rescale(df, "score").collect(), key=lambda r: r.id)
+    assert sorted(ranking.rescale_written(df, "score", "s").collect(), key=lambda r: r.id) == want
+
+
 def test_rescale_columns_does_not_shift(spark):
     df = spark.createDataFrame([(-2.0, 1.0), (4.0, 2.0)], "a double, b double")
     got = sorted(tuple(r) for r in ranking.rescale_columns(df, ["a", "b"]).collect())

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from debutrank.categories import CATEGORIES
 from debutrank.operators import dedupe, documents, ranking, runs, scoring
+from debutrank import session
 from debutrank.operators.scoring import score_entities
+from debutrank.plans import rankings
 from debutrank.session import written
 from debutrank.testbed import seasons as testbed
 from debutrank.testbed.queries import QUERIES
@@ -29,8 +31,45 @@ def test_no_cross_join_and_no_python(spark, sf_dir, name):
         assert operator not in plan
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_bucketed_tables_need_no_exchange_by_entity(spark, sf_dir, tables, no_broadcast):
+    """Runs, scores and the groups of the members: the first exchange is that of the group sums."""
+    scores = score_entities(*tables, CATEGORIES)
+    rows = ranking.with_group(scores, testbed.members(spark, sf_dir))
+    plan = plan_of(ranking.group_sum_count(rows, "grp", ["att_score", "plm_score"]))
+    assert exchange_keys(plan) == [("coalesce(grp",)] or exchange_keys(plan) == [("grp",)]
+    assert "SortMergeJoin" in plan and "Window" in plan
+    loose = written(tables[0], "loose"), tables[1]
+    assert ("entity",) in exchange_keys(plan_of(score_entities(*loose, CATEGORIES)))
+
+
+def test_bucketed_rows_are_all_there(spark, tables):
+    df = spark.range(1000).select((F.col("id") % 70).alias("k"), "id").withColumn("k", F.expr("nullif(k, 3)"))
+    stored = session.bucketed(df, "some", ["k"], 4)
+    assert stored.exceptAll(df).count() == 0 and stored.count() == 1000
+    assert len(stored.inputFiles()) == 4
+    none = session.bucketed(df.limit(0), "none", ["k"], 4)
+    assert none.count() == 0 and none.columns == ["k", "id"]
+
+
+def test_rescaling_reads_written_scores_once(spark, sf_dir, tables):
+    plan = plan_of(rankings.rank_entities_all(*tables))
+    assert plan.count("FileScan") == 1 and "Subquery" not in plan and "Exchange" not in plan
+    members = testbed.members(spark, sf_dir)
+    assert plan_of(rankings.rank_groups(*tables, members, "attackers")).count("FileScan") == 1
+
+
 def test_one_shuffle_scores_all_categories(spark, tables):
-    plan = plan_of(score_entities(*tables, CATEGORIES))
+    """Of a season table that is not stored in buckets."""
+    plan = plan_of(score_entities(written(tables[0], "loose"), tables[1], CATEGORIES))
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
     assert "BroadcastHashJoin" in plan  # the profile, by its size
     # Later periods are dropped before the shuffle.
@@ -40,7 +79,7 @@ def test_one_shuffle_scores_all_categories(spark, tables):
 
 def test_only_needed_statistics_are_read(spark, tables):
     plan = plan_of(score_entities(*tables, ["plus_minus"]))
-    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    scans = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\]", plan)
     read = {re.sub(r"#\d+L?", "", c) for scan in scans for c in scan.split(",")}
     assert read == {
         "entity", "period", "plus_minus", "played_minutes", "games_played",
@@ -63,7 +102,7 @@ def test_profile_is_broadcast_by_its_rows(spark, tables, monkeypatch):
 
 
 def test_rescaling_reuses_the_scores(spark, tables):
-    df = ranking.rescale(score_entities(*tables, ["att"]), "att_score")
+    df = ranking.rescale(score_entities(written(tables[0], "loose"), tables[1], ["att"]), "att_score")
     df.collect()
     assert "ReusedExchange" in plan_of(df)
 
