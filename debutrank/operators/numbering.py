@@ -36,3 +36,14 @@ def dense_number(df: DataFrame, keys: str | list[str], name: str = "number") ->
         .withColumn(name, F.col("_offset") + position)
         .drop("_id", "_part", "_offset")
     )
+
+
+def continue_numbers(numbered: DataFrame, keys: DataFrame, key: str, name: str = "number") -> DataFrame:
+    """Numbers of new keys: those that ``numbered`` (key, number) has not got, from its largest number on.
+
+    In key order and without gaps; null keys are left out, repeats are one key. The old numbers are read for their
+    maximum and for the keys only.
+    """
+    top = numbered.agg(F.max(name)).first()[0]
+    fresh = keys.select(key).filter(F.col(key).isNotNull()).distinct().join(numbered.select(key), key, "left_anti")
+    return dense_number(fresh, key, name).withColumn(name, F.col(name) + F.lit(0 if top is None else top + 1))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,12 @@ from debutrank.operators.numbering import dense_number
 from debutrank.operators.profile import STORED_STATS_PER_PASS, profile
 from debutrank.schemas import FILE_STATS, GAME_FIELDS, GAME_FILE, GAME_MEANS, STATS
 from debutrank.session import bucketed, written
-from debutrank.sources.store import read_entries, write_entries, write_profile
+from debutrank.sources.store import number_stored, read_entries, write_entries, write_profile
 from debutrank.sources.tsv import (
     FILE_ORDER,
     read_games,
     read_players,
     read_season_stats,
-    with_file_order,
 )
 
 
@@ -37,7 +37,8 @@ class Tables:
 
     ``documents``: the nested documents, if they were asked for. ``rejected``: game rows whose
     season cannot be read, which are in none of the other tables. Seasons and members are stored in the same
-    buckets of the entity, so that scoring and grouping need no exchange by it.
+    buckets of the entity, so that scoring and grouping need no exchange by it. ``malformed``: kind of file, file
+    and text of the lines that could not be read at all.
     """
 
     seasons: DataFrame
@@ -45,6 +46,7 @@ class Tables:
     members: DataFrame
     documents: DataFrame | None = None
     rejected: DataFrame | None = None
+    malformed: DataFrame | None = None
 
 
 def clean_games(games: DataFrame) -> DataFrame:
@@ -87,34 +89,43 @@ def populate(
     games_path: str,
     limit: int = -1,
     store: str | None = None,
+    numbers: str | None = None,
 ) -> Tables:
     """Read the files, build the tables once and write them to the shared folder.
 
     With ``store``, a folder that is still empty, the documents are built as well, and they, their compacted
-    form and the profile by period are written there.
+    form and the profile by period are written there. ``numbers`` names the table of the players' numbers that goes
+    from load to load (it is made by the first): a player keeps the number, new ones follow.
     """
-    games = with_file_order(read_games(spark, games_path))
+    read = {
+        "players": read_players(spark, players_path),
+        "seasons": read_season_stats(spark, season_stats_path),
+        "games": read_games(spark, games_path),
+    }
+    kinds = [r.rejected.select(F.lit(kind).alias("kind"), "*") for kind, r in read.items()]
+    malformed = reduce(DataFrame.unionByName, kinds)
+    games, stats, players = read["games"].rows, read["seasons"].rows, read["players"].rows
     readable = season_start(F.col("season")).isNotNull()
     rejected = written(games.filter(~readable), "rejected")
     games = clean_games(games.filter(readable))
-    stats = with_file_order(read_season_stats(spark, season_stats_path))
-    players = with_file_order(read_players(spark, players_path))
     games = limit_entities(games, "player_id", limit)
     seasons = bucketed(season_table(games, stats), "seasons", ["entity"])
     measures = written(profile(seasons, stats_per_pass=STORED_STATS_PER_PASS), "profile")
     members = bucketed(members_table(players), "members", ["entity"])
     nested = None
     if store:
-        nested = documents(games, seasons, members)
+        nested = documents(games, seasons, members, numbers)
         write_entries(nested, f"{store}/documents")
         nested = as_maps(read_entries(spark, f"{store}/documents"))
         compacted = compact(nested, ["player_id", "college", "state"], STATS)
         compacted.write.parquet(f"{store}/compacted")
         write_profile(measures, f"{store}/profile")
-    return Tables(seasons, measures, members, nested, rejected)
+    return Tables(seasons, measures, members, nested, rejected, malformed)
 
 
-def documents(games: DataFrame, seasons: DataFrame, members: DataFrame) -> DataFrame:
+def documents(
+    games: DataFrame, seasons: DataFrame, members: DataFrame, kept_numbers: str | None = None
+) -> DataFrame:
     """One document per player: id, college, state, number and the season map.
 
     ``games`` comes with the file order: the last row of a repeated game wins.
@@ -127,17 +138,22 @@ def documents(games: DataFrame, seasons: DataFrame, members: DataFrame) -> DataF
         *GAME_FIELDS,
     )
     nested = nest(rows, seasons, "entity", "period", "season_game", GAME_FIELDS, STATS)
-    return numbered_documents(nested, members)
+    return numbered_documents(nested, members, kept_numbers)
 
 
-def numbered_documents(nested: DataFrame, members: DataFrame) -> DataFrame:
+def numbered_documents(nested: DataFrame, members: DataFrame, kept_numbers: str | None = None) -> DataFrame:
     """Documents with a dense number, and college and state or the labels for missing ones.
 
+    With ``kept_numbers``, the path of a table that goes from load to load, an entity keeps its number.
     A player without a row in ``members`` keeps the document. The documents are written first:
     they are read for the numbers and for the join.
     """
     nested = written(nested, "nested")
-    numbers = dense_number(nested.select("entity").distinct(), "entity")
+    entities = nested.select("entity").distinct()
+    if kept_numbers:
+        numbers = number_stored(entities, kept_numbers, "entity").join(entities, "entity", "left_semi")
+    else:
+        numbers = dense_number(entities, "entity")
     people = numbers.join(members.select("entity", "grp", "region"), "entity", "left")
     group = F.coalesce("grp", F.lit(MISSING_GROUP))
     region = F.when(F.col("grp").isNull(), MISSING_GROUP).otherwise(

@@ -94,7 +94,7 @@ def written_with_extrema(df: DataFrame, label: str, columns: Sequence[str]) -> t
 
 
 def bucketed(df: DataFrame, label: str, by: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Write ``df`` in buckets of the hash of ``by``, sorted by them, and read it back.
+    """Write ``df`` in buckets of the hash of ``by`` and read it back.
 
     Joins, aggregations and windows on ``by`` of tables with as many buckets need no exchange. The
     number is that of the shuffle partitions unless it is given. Every bucket is one file, written by one task.
@@ -102,7 +102,7 @@ def bucketed(df: DataFrame, label: str, by: Sequence[str], buckets: int | None =
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"debutrank_{label}_{uuid.uuid4().hex}".replace("-", "_")
-    writer = df.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by)
+    writer = df.repartition(buckets, *by).write.bucketBy(buckets, *by)
     writer.option("path", shared_path(spark, label)).format("parquet").saveAsTable(name)
     _bucketed.setdefault(spark.sparkContext.applicationId, []).append(name)
     return spark.table(name)

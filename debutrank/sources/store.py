@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from debutrank.operators import profile_state
 from debutrank.operators.documents import as_entries, with_labels, with_years
 from debutrank.operators.joins import upsert
+from debutrank.operators.numbering import continue_numbers
 from debutrank.schemas import STATS
 from debutrank.session import written
 from debutrank.sources import keyed
 
 PROFILE_BUCKETS = 4  # a period is one row
+NUMBER_BUCKETS = 64
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
@@ -85,3 +88,26 @@ def save_upsert(
         return upsert(existing, new, updates, key, column, new_order, update_order)
 
     keyed.change(new.sparkSession, path, touched, make)
+
+
+def number_stored(keys: DataFrame, path: str, key: str, name: str = "number") -> DataFrame:
+    """Number the keys of a load by a stored table (key, number), which is made if it is not there.
+
+    A key that the table has keeps its number; new ones follow in key order and are stored. Of two loads at
+    once the second numbers its new keys after those of the first. Returns the whole table.
+    """
+    spark = keys.sparkSession
+    kinds = dict(keys.dtypes)
+    try:
+        keyed.create(spark.createDataFrame([], f"`{key}` {kinds[key]}, `{name}` long"), path, [key], NUMBER_BUCKETS)
+    except keyed.Taken:
+        pass
+    known = keyed.read(spark, path).select(key)
+    new = written(keys.select(key).filter(F.col(key).isNotNull()).distinct().join(known, key, "left_anti"), "new-keys")
+
+    def make(present: DataFrame) -> DataFrame:
+        # The newest version has all numbers; if it is not the one that is changed, the change is refused.
+        return present.unionByName(continue_numbers(keyed.read(spark, path), new, key, name).select(*present.columns))
+
+    keyed.change(spark, path, new, make)
+    return keyed.read(spark, path)

@@ -9,6 +9,7 @@ from debutrank.operators.profile import STORED_STATS_PER_PASS, profile_long
 from debutrank.operators.ranking import group_sum_count
 from debutrank.session import shared_path, written
 from debutrank.sources import keyed, store
+from debutrank.sources.tsv import read_checked
 from debutrank.testbed.registry import Registry, snap
 from debutrank.testbed.scans import R as SCANS
 from debutrank.testbed.seasons import order_lines, seasons, table
@@ -82,3 +83,39 @@ def keyed_update(spark, sf_dir):
 
     keyed.change(spark, path, spent, set_balance)
     return keyed.read(spark, path)
+
+
+@R.query(
+    "number_continued",
+    "WITH first AS (SELECT DISTINCT o_custkey AS entity FROM orders WHERE year(o_orderdate) < 1995), "
+    "old AS (SELECT entity, row_number() OVER (ORDER BY entity) - 1 AS number FROM first), "
+    "rest AS (SELECT DISTINCT o_custkey AS entity FROM orders WHERE o_custkey NOT IN (SELECT entity FROM first)) "
+    "SELECT * FROM old UNION ALL SELECT entity, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY entity) - 1 "
+    "FROM rest",
+)
+def number_continued(spark, sf_dir):
+    """The customers of the years up to 1994 are numbered by one load, the others by a second one with all years."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity"), "o_orderdate")
+    path = shared_path(spark, "numbers")
+    store.number_stored(orders.filter(F.year("o_orderdate") < 1995), path, "entity")
+    return store.number_stored(orders, path, "entity")
+
+
+@R.query(
+    "rejected_lines",
+    "SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey || chr(9) || o_orderstatus "
+    "ELSE o_orderkey || chr(9) || '\"' || o_orderstatus || chr(9) || o_orderpriority END AS line FROM orders "
+    "WHERE o_orderpriority IN ('1-URGENT', '5-LOW')",
+)
+def rejected_lines(spark, sf_dir):
+    """Orders as lines, some of them with a cell too few or with a quote that is not closed."""
+    broken = F.when(
+        F.col("o_orderpriority") == "1-URGENT", F.concat_ws("\t", "o_orderkey", "o_orderstatus")
+    ).when(
+        F.col("o_orderpriority") == "5-LOW",
+        F.concat_ws("\t", "o_orderkey", F.concat(F.lit('"'), "o_orderstatus"), "o_orderpriority"),
+    )
+    whole = F.concat_ws("\t", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = shared_path(spark, "order-lines")
+    table(spark, sf_dir, "orders").select(F.coalesce(broken, whole).alias("line")).write.text(path)
+    return read_checked(spark, path, ["key", "status", "priority"], header=False).rejected.select("line")

@@ -228,7 +228,7 @@ def test_limit(spark, files):
 
 
 def test_documents(spark, tables, files):
-    games = tsv.with_file_order(tsv.read_games(spark, files["games"]))
+    games = tsv.read_games(spark, files["games"]).rows
     docs = populate.documents(populate.clean_games(games), tables.seasons, tables.members)
     rows = docs.collect()
     assert sorted(r.number for r in rows) == list(range(12))
