@@ -15,7 +15,7 @@ from debutrank.operators.profile import profile_long
 from debutrank.operators.ranking import group_sum_count, with_group
 from debutrank.schemas import STATS
 from debutrank.session import shared_path
-from debutrank.sources import batches, keyed, pages, store
+from debutrank.sources import batches, keyed, markup, pages, store
 from debutrank.sources.tsv import read_scores, read_tsv, tab_lines, write_tsv
 from debutrank.testbed.registry import Registry, snap, snap_sql
 from debutrank.testbed.seasons import (
@@ -418,3 +418,29 @@ def default_missing(spark, sf_dir):
         .alias("priority"),
     )
     return cells.default_missing(gaps, ["status", "priority"])
+
+
+# A table with a table, a comment and a script in its cells, around the title of every page. A
+# regular expression for rows and cells would end both with the inner table.
+_NESTED = (
+    "concat('<table class=\"t\"><tr id=''head''><th>no</th></tr><tr data-x=\"a>b\" id=''row.', page_id, '''><td>', "
+    "page_id, '</td><td><!-- <td>old</td> --><b>', title, '</b></td><td><table><tr id=\"inner\"><td>in</td>"
+    "<td>ner</td></tr></table></td><td><script>\"</td>\"</script>&#38;&#x41;</td></tr></table>')"
+)
+
+
+@R.query(
+    "page_nested_rows",
+    "WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages), "
+    "d AS (SELECT page_id, coalesce(nullif(replace(replace(replace(replace(title, '&lt;', '<'), '&gt;', '>'), "
+    "'&quot;', '\"'), '&amp;', '&'), ''), '0') AS title FROM t) "
+    "SELECT page_id, 0 AS position, page_id || '|' || title || '|0|&A|0' AS line FROM d "
+    "UNION ALL SELECT page_id, 1, 'in|ner|0' FROM d",
+)
+def page_nested_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")
+    )
+    nested = rows.select("page_id", F.expr(_NESTED).alias("html"))
+    found = markup.row_cells(nested, "html", r"^(row\.\d+|inner)$", width=5)
+    return found.select("page_id", "position", F.array_join("cells", "|").alias("line"))
