@@ -103,19 +103,24 @@ def number_continued(spark, sf_dir):
 
 @R.query(
     "rejected_lines",
-    "SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey || chr(9) || o_orderstatus "
-    "ELSE o_orderkey || chr(9) || '\"' || o_orderstatus || chr(9) || o_orderpriority END AS line FROM orders "
-    "WHERE o_orderpriority IN ('1-URGENT', '5-LOW')",
+    "WITH cells AS (SELECT coalesce(CAST(o_orderkey AS VARCHAR), '') AS key, coalesce(o_orderstatus, '') AS status, "
+    "o_orderpriority AS priority FROM orders) "
+    "SELECT CASE WHEN priority = '1-URGENT' THEN key || chr(9) || status "
+    "ELSE key || chr(9) || '\"' || status || chr(9) || priority END AS line FROM cells "
+    "WHERE priority IN ('1-URGENT', '5-LOW')",
 )
 def rejected_lines(spark, sf_dir):
     """Orders as lines, some of them with a cell too few or with a quote that is not closed."""
-    broken = F.when(
-        F.col("o_orderpriority") == "1-URGENT", F.concat_ws("\t", "o_orderkey", "o_orderstatus")
-    ).when(
-        F.col("o_orderpriority") == "5-LOW",
-        F.concat_ws("\t", "o_orderkey", F.concat(F.lit('"'), "o_orderstatus"), "o_orderpriority"),
+    orders = table(spark, sf_dir, "orders").select(
+        F.coalesce(F.col("o_orderkey").cast("string"), F.lit("")).alias("key"),
+        F.coalesce("o_orderstatus", F.lit("")).alias("status"),
+        F.coalesce("o_orderpriority", F.lit("")).alias("priority"),
+    )
+    line = (
+        F.when(F.col("priority") == "1-URGENT", F.concat_ws("\t", "key", "status"))
+        .when(F.col("priority") == "5-LOW", F.concat_ws("\t", "key", F.concat(F.lit('"'), "status"), "priority"))
+        .otherwise(F.concat_ws("\t", "key", "status", "priority"))
     )
-    whole = F.concat_ws("\t", "o_orderkey", "o_orderstatus", "o_orderpriority")
     path = shared_path(spark, "order-lines")
-    table(spark, sf_dir, "orders").select(F.coalesce(broken, whole).alias("line")).write.text(path)
+    orders.select(line.alias("line")).write.text(path)
     return read_checked(spark, path, ["key", "status", "priority"], header=False).rejected.select("line")
