@@ -93,7 +93,9 @@ def written_with_extrema(df: DataFrame, label: str, columns: Sequence[str]) -> t
     return written(df.observe(seen, *measures), label), seen.get
 
 
-def bucketed(df: DataFrame, label: str, by: Sequence[str], buckets: int | None = None) -> DataFrame:
+def bucketed(
+    df: DataFrame, label: str, by: Sequence[str], buckets: int | None = None, compression: str = "snappy"
+) -> DataFrame:
     """Write ``df`` in buckets of the hash of ``by`` and read it back.
 
     Joins, aggregations and windows on ``by`` of tables with as many buckets need no exchange. The
@@ -103,6 +105,6 @@ def bucketed(df: DataFrame, label: str, by: Sequence[str], buckets: int | None =
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"debutrank_{label}_{uuid.uuid4().hex}".replace("-", "_")
     writer = df.repartition(buckets, *by).write.bucketBy(buckets, *by)
-    writer.option("path", shared_path(spark, label)).format("parquet").saveAsTable(name)
+    writer.option("path", shared_path(spark, label)).option("compression", compression).format("parquet").saveAsTable(name)
     _bucketed.setdefault(spark.sparkContext.applicationId, []).append(name)
     return spark.table(name)
