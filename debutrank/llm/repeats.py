@@ -14,6 +14,8 @@ elsewhere. Sending every window would cost several times the text. Instead:
    pieces (a common phrase) is dealt out again by anchors of almost a window's length.
 4. Where even such an anchor has very many pieces (a shared phrase hardly shorter than a window), its windows
    are dealt out one by one, by the hash of the whole window, and settled as equal pieces are in step 2.
+
+Texts are shuffled once, into buckets by document; contents are read and spans are cut out there.
 """
 
 from __future__ import annotations
@@ -28,10 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from debutrank.llm import kernels as K
-from debutrank.session import written
+from debutrank.session import bucketed, written
 
+DOCUMENT = ["key", "text_hash"]
 NO_KEY = (1 << 63) - 1  # stands for a null document key, which is later than all others
 HOT_PIECES = 4096  # different pieces of one anchor, beyond which it is dealt out again
+REPEATED = 10_000  # a row that stands for more than this part of all rows is dealt out in parts
+LEAST_REPEATED = 1_000
 SHARD_TOKENS = {"words": 150_000, "bytes": 1_500_000}
 
 
@@ -272,8 +277,8 @@ def _windows(what: Repeats) -> Callable:
 Compare = Callable[[pd.DataFrame], pd.DataFrame]
 
 
-def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare: Compare) -> DataFrame:
-    """(key, text_hash, spans) of the documents with covered tokens.
+def with_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare: Compare) -> DataFrame:
+    """(key, text_hash, text, spans) of all rows, ``spans`` being null where no token is covered.
 
     ``spans`` are (low, high) token ranges, in no order, which may overlap. ``compare`` gets the pieces of a
     shard (key, text_hash, at, n, content) and returns covered ranges (key, text_hash, low, high).
@@ -283,7 +288,7 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
     """
     if 2 * what.length - what.gram > 255:
         raise ValueError("a piece must fit in 255 tokens")
-    rows = keyed(docs, key, text)
+    rows, repeated = _stored(docs, key, text)
     sent = "anchor long, piece long, key long, text_hash long, place long"
 
     def resolved(pieces: DataFrame) -> DataFrame:
@@ -291,7 +296,7 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
         dealt = pieces.repartition("anchor").sortWithinPartitions(*PIECES)
         return dealt.mapInArrow(_resolve(what), "anchor long, key long, text_hash long, place long")
 
-    found = written(resolved(rows.mapInArrow(_split_batches(what), sent)), "pieces")
+    found = written(resolved(rows.select("key", "text_hash", "text").mapInArrow(_split_batches(what), sent)), "pieces")
 
     contested = found.filter(F.col("place").bitwiseAND(1) == 0)
     size = F.shiftright("place", 1).bitwiseAND(0xFF)
@@ -300,9 +305,10 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
     hot = contested.groupBy("anchor").count().filter(F.col("count") > HOT_PIECES).select("anchor", F.lit(True).alias("hot"))
     # written, so that its true size lets Spark broadcast it, or else split a skewed join with it
     hot = written(hot, "hot")
-    wanted = contested.join(hot, "anchor", "left").groupBy("key", "text_hash")
+    one = contested.join(hot, "anchor", "left").join(F.broadcast(repeated), DOCUMENT, "left")
+    wanted = one.withColumn("part", F.pmod("text_hash", F.coalesce("parts", F.lit(1)))).groupBy(*DOCUMENT, "part")
     wanted = wanted.agg(F.collect_list(F.struct("place", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
-    texts = rows.join(wanted, ["key", "text_hash"]).dropDuplicates(["key", "text_hash"])
+    texts = rows.join(wanted, [*DOCUMENT, "part"]).dropDuplicates([*DOCUMENT, "part"])
     schema = "anchor long, sub boolean, key long, text_hash long, at long, n long, content binary"
     pieces = texts.select("key", "text_hash", "text", "wanted").mapInArrow(_fetch(what), schema)
     settled = found.filter(F.col("place").bitwiseAND(1) == 1).select("key", "text_hash", "place")
@@ -322,8 +328,24 @@ def covered_spans(docs: DataFrame, key: str, text: str, what: Repeats, compare:
 
     at = F.shiftright("place", 9)
     whole = settled.select("key", "text_hash", at.alias("low"), (at + size).alias("high"))
-    spans = whole.union(spans).groupBy("key", "text_hash")
-    return spans.agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = whole.union(spans).join(F.broadcast(repeated), DOCUMENT, "left")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))
+    spans = spans.select(*DOCUMENT, parts.alias("part"), "low", "high").groupBy(*DOCUMENT, "part")
+    spans = spans.agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    return rows.join(spans, [*DOCUMENT, "part"], "left").select(*DOCUMENT, "text", "spans")
+
+
+def _stored(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """All rows (key, text_hash, part, text) in buckets of the first three, and (key, text_hash, parts) of
+    the rows that are repeated so often that they lie in several buckets, ``REPEATED`` at most."""
+    rows = keyed(docs, key, text)
+    most = max(LEAST_REPEATED, docs.count() // REPEATED)
+    count = rows.groupBy(*DOCUMENT).agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    repeated = written(count.select(*DOCUMENT, F.ceil(F.col("n") / most).alias("parts")), "repeated")
+    dealt = rows.withColumn("row", F.monotonically_increasing_id()).join(F.broadcast(repeated), DOCUMENT, "left")
+    part = F.coalesce(F.pmod(F.xxhash64("row"), "parts"), F.lit(0))
+    rows = dealt.select(*DOCUMENT, part.alias("part"), "text")
+    return bucketed(rows, "texts", [*DOCUMENT, "part"], compression="zstd"), repeated
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:

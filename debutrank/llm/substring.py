@@ -169,8 +169,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     words. A null key is larger than all others and stays null. Rows with the same key do not
     count against each other, whether their texts are equal or not. Other columns are ignored.
     """
-    spans = repeats.covered_spans(docs, key, text, WHAT, _shard)
-    rows = repeats.keyed(docs, key, text).join(spans, ["key", "text_hash"], "left")
-    rows = rows.select("key", "text_hash", "text", "spans")
+    rows = repeats.with_spans(docs, key, text, WHAT, _shard)
     out = rows.mapInArrow(_cut, "key long, text_hash long, n_words long, n_removed long, kept string")
     return out.withColumnRenamed("key", key).withColumn(key, F.nullif(F.col(key), F.lit(repeats.NO_KEY)))

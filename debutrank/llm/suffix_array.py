@@ -161,9 +161,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     different texts with one key come in the order of a hash of the text. Rows with the same key and
     text are one document. Other columns are ignored.
     """
-    spans = repeats.covered_spans(docs, key, text, WHAT, _shard)
-    rows = repeats.keyed(docs, key, text).join(spans, ["key", "text_hash"], "left")
-    rows = rows.select("key", "text_hash", "text", "spans")
+    rows = repeats.with_spans(docs, key, text, WHAT, _shard)
     schema = "key long, text_hash long, n_bytes long, n_removed long, n_spans long, kept binary"
     out = rows.mapInArrow(_cut, schema)
     return out.withColumnRenamed("key", key).withColumn(key, F.nullif(F.col(key), F.lit(repeats.NO_KEY)))

@@ -207,6 +207,46 @@ def test_hot_anchors_are_dealt_again(docs, texts, monkeypatch):
     assert byte_rows(cut) == byte_want(texts)
 
 
+def test_repeated_rows_lie_in_several_buckets(spark, monkeypatch):
+    """Rows of one key and text are dealt out in parts, each with the same result."""
+    rng = np.random.default_rng(31)
+    shared, own = ([f"{x:06d}" for x in rng.integers(0, 1_000_000, n)] for n in (20, 30))
+    rows = [(1, " ".join(shared + own[:9]))] + 9 * [(2, " ".join(own[9:] + shared))] + 5 * [(None, " ".join(shared))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(repeats, "LEAST_REPEATED", 2)
+    stored, repeated = repeats._stored(df, "doc_id", "text")
+    assert sorted(r.parts for r in repeated.collect()) == [3, 5]
+    assert stored.count() == 15 and stored.select("key", "part").distinct().count() > 3
+    for module in (substring, suffix_array):
+        cut = module.remove_repeats(df).select("doc_id", "n_removed", F.length("kept").alias("kept"))
+        assert cut.count() == 15 and cut.distinct().count() == 3
+    words = {r.doc_id: r.n_removed for r in substring.remove_repeats(df).collect()}
+    assert words == {1: 0, 2: 20, None: 20}
+
+
+def test_texts_are_shuffled_once(docs, monkeypatch):
+    """Contents are fetched, and spans cut out, where the stored texts lie."""
+    spark = docs.sparkSession
+    monkeypatch.setattr(repeats, "LEAST_REPEATED", 10**9)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for module in (substring, suffix_array):
+            plan = module.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString()
+            lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in plan.splitlines()]
+            scans = [i for i, (_, x) in enumerate(lines) if "FileScan" in x and "text#" in x]
+            assert scans and "SortMergeJoin" in plan
+            for i in scans:  # what takes the scan's rows, up to the Python function that reads the text
+                depth = lines[i][0]
+                for d, x in reversed(lines[:i]):
+                    if d < depth:
+                        depth = d
+                        assert "Exchange" not in x
+                        if "InArrow" in x:
+                            break
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def at_most(n, shard):
     def compare(pieces):
         assert len(pieces) <= n
