@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from debutrank.llm import kernels as K
-from debutrank.session import written
+from debutrank.session import bucketed, written
 
 PIECE_TOKENS = 600_000
 BUCKET_BYTES = 8 << 20  # of text for each bucket of the counts
+PAIR_BITS = 40  # of a pair's hash within its bucket
 BITS = 10  # for each entry of a filter
 WORDS = 4  # of 64 bits in a block; an entry sets two bits in each
 STEP = 1.1  # between quantised counts; the small ones are exact
@@ -69,19 +70,9 @@ def _two(bits: np.ndarray, word: int) -> tuple[np.ndarray, np.ndarray]:
     return (bits >> K.U64(12 * word + 16)) & K.U64(63), (bits >> K.U64(12 * word + 22)) & K.U64(63)
 
 
-def build_segment(hashes: np.ndarray, counts: np.ndarray, most_bytes: int = 1 << 60) -> bytes:
-    """The bits of one bucket's n-grams (with a count from 1 on).
-
-    ``BITS`` for each entry. If that is more than ``most_bytes``, the n-grams of the lowest counts
-    are left to the lower order, as few levels of them as are needed.
-    """
+def build_segment(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """The bits of one bucket's n-grams (with a count from 1 on), ``BITS`` for each entry."""
     level = np.searchsorted(LEVELS, counts, "right")
-    entries = np.bincount(level, np.maximum(level, 0)).astype(np.int64)
-    above = np.cumsum(entries[::-1])[::-1]  # entries of this level and all higher ones
-    fits = np.flatnonzero(above * BITS <= most_bytes * 8)
-    least = int(fits[0]) if len(fits) else len(above)
-    kept = level >= max(least, 1)
-    hashes, level = hashes[kept], level[kept]
     block = 64 * WORDS
     size = max(1, -(-int(level.sum()) * BITS // block)) * block
     flags = np.zeros(size, np.uint8)
@@ -232,16 +223,41 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
 
 
-def _dealt(piece: int, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+def _within(hashes: np.ndarray, to: np.ndarray, buckets: int) -> np.ndarray:
+    """The first ``PAIR_BITS`` bits of the hashes' places within their buckets, in the order of the hashes.
+
+    A bucket has the pairs of ``BUCKET_BYTES`` of text at any size of the corpus, some two millions, so that one
+    in a few hundred thousand falls on another: far less than a filter's own error.
+    """
+    low = (-(-(to << 32) // buckets)).astype(K.U64) << K.U64(32)
+    width = ((1 << 32) // buckets + 1) << 32
+    return (hashes - low) >> K.U64(max(0, width.bit_length() - PAIR_BITS))
+
+
+def packed(rising: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
+    """Sorted hashes as their steps, all lowest bytes first, so that the high ones take no room."""
+    steps = np.diff(rising, prepend=K.U64(0))
+    return packer.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(K.U64).reshape(-1), dtype=K.U64)
+
+
+def _dealt(piece: int, hashes: np.ndarray, counts: np.ndarray, buckets: int, pairs: bool = False) -> pa.RecordBatch:
     """Sorted hashes with their counts, cut at the buckets."""
+    packer = zstandard.ZstdCompressor(level=1)
     to = bucket_of(hashes, buckets)
+    if pairs:
+        hashes = _within(hashes, to, buckets)
     cuts = np.flatnonzero(np.diff(to, prepend=-1)) if len(to) else np.zeros(0, np.int64)
     ends = np.append(cuts[1:], len(to))
     arrays = [
         pa.array(np.full(len(cuts), piece, np.int64)),
         pa.array(to[cuts]),
-        pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-        pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+        pa.array([packed(hashes[a:b], packer) for a, b in zip(cuts, ends)], pa.binary()),
+        pa.array([packer.compress(counts[a:b].astype(np.uint32).tobytes()) for a, b in zip(cuts, ends)], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(arrays, ["piece", "bucket", "hashes", "counts"])
 
@@ -268,18 +284,19 @@ def _pair_rows(buckets: int):
             hashes, places, _, _ = piece.pairs(history, token)
             counts = np.bincount(places[piece.trained()[doc]], minlength=len(hashes))
             order = np.argsort(hashes)
-            yield _dealt(row["piece"], hashes[order], counts[order], buckets)
+            yield _dealt(row["piece"], hashes[order], counts[order], buckets, pairs=True)
 
     return run
 
 
-def _totals(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All hashes of a bucket's rows, the distinct ones with their total counts as places and sums."""
-    hashes = np.frombuffer(b"".join(rows["hashes"]), K.U64)
-    counts = np.frombuffer(b"".join(rows["counts"]), np.uint32)
-    distinct, places = np.unique(hashes, return_inverse=True)
+def _totals(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """The distinct hashes of a bucket's rows, the places of all among them, their total counts, and the rows' lengths."""
+    parts = [unpacked(x) for x in rows["hashes"]]
+    counts = np.frombuffer(b"".join(zstandard.decompress(x) for x in rows["counts"]), np.uint32)
+    distinct, places = np.unique(np.concatenate(parts), return_inverse=True)
     # sums of integers in doubles are exact up to 2**53
-    return distinct, places, np.bincount(places, counts, len(distinct)).astype(np.int64)
+    total = np.bincount(places, counts, len(distinct)).astype(np.int64)
+    return distinct, places, total, np.array([len(x) for x in parts], np.int64)
 
 
 def _replies(values: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> list[bytes]:
@@ -288,8 +305,7 @@ def _replies(values: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> list[
 
 def _count_words(rows: pd.DataFrame) -> pd.DataFrame:
     """Per piece the total counts of its words and their levels; as piece -1, the bucket's sums."""
-    distinct, places, total = _totals(rows)
-    lengths = (rows["hashes"].str.len() // 8).to_numpy()
+    distinct, places, total, lengths = _totals(rows)
     ends = np.cumsum(lengths)
     narrow = total.astype(np.uint32) if total.max(initial=0) < 1 << 32 else total
     out = pd.DataFrame(
@@ -302,8 +318,7 @@ def _count_words(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _count_pairs(rows: pd.DataFrame) -> pd.DataFrame:
     """Per piece the levels of its pairs."""
-    distinct, places, total = _totals(rows)
-    lengths = (rows["hashes"].str.len() // 8).to_numpy()
+    distinct, places, total, lengths = _totals(rows)
     levels = _replies(probed(distinct, total)[places], np.cumsum(lengths), lengths)
     return pd.DataFrame({"piece": rows["piece"], "bucket": rows["bucket"], "levels": levels})
 
@@ -410,7 +425,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     Counts cover all training documents, and all their n-grams are in the filters, ``BITS`` bits for each
     entry. The filters grow with the corpus by the number of buckets; only sums and the weights go to
     the driver and to all workers. An empty table gives no rows.
-    Words and pairs are told apart by 64-bit hashes.
+    Words are told apart by 64-bit hashes, pairs by ``PAIR_BITS`` bits within their bucket.
     """
     spark = docs.sparkSession
     name = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
@@ -426,7 +441,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.count_if(F.col("flags").bitwiseAND(HELD_OUT) == 0), F.sum(F.octet_length("text"))
     ).first()
     buckets = max(1, -(-(size or 0) // BUCKET_BYTES))
-    pieces = written(rows.mapInArrow(_pieces, PIECE_SCHEMA), "pieces")
+    # in buckets, so that the replies come to the pieces and these never move again
+    pieces = bucketed(rows.mapInArrow(_pieces, PIECE_SCHEMA), "pieces", ["piece"])
 
     dealt = pieces.select(*NAMES).mapInArrow(_word_rows(buckets), DEALT)
     schema = "piece long, bucket long, data binary, levels binary, n long, tokens long"
@@ -440,9 +456,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     replies = counted.filter("piece >= 0").groupBy("piece")
     replies = replies.agg(F.collect_list(F.struct("bucket", "n", "data", "levels")).alias("replies"))
     pairs = pairs.groupBy("piece").agg(F.collect_list(F.struct("bucket", "levels")).alias("pair_replies"))
-    joined = pieces.join(replies, "piece", "left").join(pairs, "piece", "left")
+    both = bucketed(pairs.join(replies, "piece", "left"), "replies", ["piece"])
     replied = [F.coalesce(c, F.array()).alias(c) for c in ("replies", "pair_replies")]
-    joined = written(joined.select(*NAMES, *replied), "replies")
+    joined = pieces.join(both, "piece", "left").select(*NAMES, *replied)
 
     space = tokens + ADDED * (types + 1)
     weights = np.zeros(BINS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import collections
 import fractions
 import hashlib
@@ -237,3 +238,46 @@ def variants(docs, least_length=6, least_count=5):
         f = form.get(w)
         out.append((w, f, root, n, len(near[w]), None if f is None else count[f]))
     return out
+
+
+def interpolated(texts, levels, weights, bins=48):
+    """log10 probability of each (doc_id, n_tokens) under pair and word counts, as op 1 describes it."""
+    rows = []
+    for doc_id, text in texts:
+        folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        name = "" if doc_id is None else str(doc_id)
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", folded) if w]
+        rows.append((doc_id, zlib.crc32(name.encode()) % 10 == 0, [*words, None]))
+    word, pair = collections.Counter(), collections.Counter()
+    for _, held_out, tokens in rows:
+        if not held_out:
+            word.update(tokens)
+            pair.update(zip([None, *tokens], tokens))
+    space = word.total() + 0.1 * (len(word) + 1)
+
+    def rounded(n):
+        return levels[bisect.bisect_right(levels, n) - 1] if n else 0
+
+    def counts(h, t):
+        ch, ct = (word[w] if w is None else rounded(word[w]) for w in (h, t))
+        return ch, ct, min(rounded(pair[h, t]), ch, ct)
+
+    def bin_of(ch):
+        return min(int(math.log2(max(ch, 1))), bins - 1)
+
+    gain = collections.defaultdict(lambda: [0.0] * len(weights))
+    for (h, t), n in pair.items():
+        ch, ct, cp = counts(h, t)
+        low, high = (max(ct - 1, 0) + 0.1) / space, max(cp - 1, 0) / max(ch - 1, 1)
+        for i, w in enumerate(weights):
+            gain[bin_of(ch)][i] += n * math.log(w * high + (1 - w) * low)
+    best = {b: weights[max(range(len(weights)), key=lambda i: (round(g[i], 3), -i))] for b, g in gain.items()}
+    out = {}
+    for doc_id, _, tokens in rows:
+        total = 0.0
+        for h, t in zip([None, *tokens], tokens):
+            ch, ct, cp = counts(h, t)
+            w = best.get(bin_of(ch), 0.0) if ch else 0.0
+            total += math.log10(w * cp / max(ch, 1) + (1 - w) * (ct + 0.1) / space)
+        out[doc_id, len(tokens)] = total
+    return out

@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+import zstandard
 from pyspark.sql import functions as F
 
 from debutrank.llm import (
@@ -51,7 +52,7 @@ def test_filter_reads_back_counts():
     hashes = rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     counts = rng.integers(1, 9, 3000)
     counts[:50] = rng.integers(10, 100_000, 50)
-    segment = lm_bloom.build_segment(hashes, counts, 1 << 20)
+    segment = lm_bloom.build_segment(hashes, counts)
     table = lm_bloom.LogFilter(*lm_bloom.joined_segments([(0, segment)], 1, len(segment) - 8))
     read = table.counts(hashes)
     assert (read[counts < 10] >= counts[counts < 10]).all()
@@ -61,13 +62,29 @@ def test_filter_reads_back_counts():
     assert (table.counts(others) > 0).mean() < 0.02
 
 
-def test_small_filter_drops_rare_ngrams():
-    hashes = kernels.mix(np.arange(1, 1001, dtype=np.uint64))
-    counts = np.where(np.arange(1000) < 900, 1, 50)
-    segment = lm_bloom.build_segment(hashes, counts, 4000)
-    assert len(segment) <= 4008
-    read = lm_bloom.LogFilter(*lm_bloom.joined_segments([(0, segment)], 1, len(segment) - 8)).counts(hashes)
-    assert (read[900:] > 0).all() and (read[:900] > 0).mean() < 0.05
+def test_hashes_are_packed_by_steps():
+    rng = np.random.default_rng(8)
+    packer = zstandard.ZstdCompressor(level=1)
+    for n in (0, 1, 5000):
+        hashes = np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        assert (lm_bloom.unpacked(lm_bloom.packed(hashes, packer)) == hashes).all()
+    for buckets in (1, 3, 3750):
+        to = lm_bloom.bucket_of(hashes, buckets)
+        within = lm_bloom._within(hashes, to, buckets)
+        assert int(within.max()) < 1 << lm_bloom.PAIR_BITS
+        for b in np.unique(to):
+            part = within[to == b]
+            assert (part[1:] >= part[:-1]).all() and len(np.unique(part)) == len(part)
+
+
+def test_scores_are_those_of_exact_counts(docs, texts):
+    """The model with exact counts, rounded as its levels are; what differs are chance hits of the filters."""
+    want = brute.interpolated(texts, lm_bloom.LEVELS.tolist(), lm_bloom.WEIGHTS)
+    got = {(r.doc_id, r.n_tokens): r.score for r in lm_bloom.score(docs).collect()}
+    assert got.keys() == want.keys()
+    for place, value in want.items():
+        assert got[place] == pytest.approx(value, rel=0.05)
+    assert np.mean([abs(got[k] / want[k] - 1) for k in want]) < 0.01
 
 
 def test_scores_read_all_counts_without_broadcast(spark, docs, monkeypatch):
