@@ -350,13 +350,20 @@ def chunks_by_hand(docs):
     first, out = {}, {}
     for k, t in sorted({(brute.order(k), t or "") for k, t in docs}):
         lines = t.split("\n") if t else []
+        pairs = [np.array([code(x) for x in lines[j : j + 2]]) for j in range(len(lines) - 1)]
+        rolled = [int(kernels.grams(pair, line_chunks.ROLLING)[0]) for pair in pairs]
         cuts = [0]
-        for j in range(line_chunks.ROLLING, len(lines)):
-            rolled = kernels.grams(np.array([code(x) for x in lines[j - line_chunks.ROLLING : j]]), line_chunks.ROLLING)
-            if (int(rolled[0]) >> 7) % line_chunks.DIVISOR == 0:
-                cuts.append(j)
+        for j, value in enumerate(rolled):
+            lower = j == 0 or value < rolled[j - 1]
+            if lower and (j + 1 == len(rolled) or value <= rolled[j + 1]) and j + 2 < len(lines):
+                cuts.append(j + 2)
+        cuts.append(len(lines))
+        parts = list(zip(cuts, cuts[1:]))
+        if len(cuts) > 2 and cuts[-1] - cuts[-2] == 1:
+            parts.append((cuts[-3], cuts[-1]))
+        parts.sort()
         gone = [False] * len(lines)
-        for a, b in zip(cuts, [*cuts[1:], len(lines)]):
+        for a, b in parts:
             text = "\n".join(lines[a:b])
             if b - a >= 2 and text.strip(" \t\n\r\x0b\x0c") and first.setdefault(text, (k, t, a)) != (k, t, a):
                 gone[a:b] = [True] * (b - a)
@@ -376,6 +383,30 @@ def test_line_chunks(spark, texts, docs):
     assert odd == [r for r in chunks_by_hand(texts) if r[0] != 20]
 
 
+def test_chunks_cover_all_lines(spark):
+    """Every line is in a chunk of two lines or more; equal texts lose all; a shared passage loses all but its edges."""
+    rng = np.random.default_rng(21)
+    for _ in range(200):
+        counts = rng.integers(0, 12, 5)
+        first = np.concatenate([[0], np.cumsum(counts)])
+        codes = rng.integers(0, 6, first[-1]).astype(np.uint64)
+        low, high, text = line_chunks.chunks(codes, first)
+        assert (high - low >= 2).all() and (first[text] <= low).all() and (high <= first[text + 1]).all()
+        covered = {i for a, b in zip(low.tolist(), high.tolist()) for i in range(a, b)}
+        assert covered == {i for a, n in zip(first.tolist(), counts.tolist()) if n > 1 for i in range(a, a + n)}
+    copies = [(i, "\n".join(f"copy {x}" for x in range(n))) for n in range(2, 30) for i in (n, 100 + n)]
+    got = rows_of(line_chunks.remove_chunks(spark.createDataFrame(copies, "doc_id long, text string")), "doc_id", "kept")
+    assert all(kept == "" for k, kept in got if k >= 100)
+    passage = [f"passage {x}" for x in range(40)]
+    around = [([f"a {i} {x}" for x in range(9)], [f"b {i} {x}" for x in range(9)]) for i in range(50)]
+    made = [(i, "\n".join([*a, *passage, *b])) for i, (a, b) in enumerate(around)]
+    got = rows_of(line_chunks.remove_chunks(spark.createDataFrame(made, "doc_id long, text string")), "doc_id", "kept")
+    stay = [[x for x in kept.split("\n") if x.startswith("passage")] for _, kept in got]
+    assert len(stay[0]) == 40
+    left = [sum(int(x.split()[1]) in range(8, 32) for x in s) for s in stay[1:]]
+    assert sum(left) == 0 and np.mean([len(s) for s in stay[1:]]) < 8
+
+
 @pytest.mark.parametrize("parts", [1, 4])  # the copies in one task, and in several
 def test_repeated_rows_are_one_document(spark, parts):
     rng = np.random.default_rng(12)
