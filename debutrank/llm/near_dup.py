@@ -221,14 +221,15 @@ def _links(nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     3. Where tables still hold several components, an exact prefix filter finds what is left, so no
        link is lost. Pairs inside a component need no test.
     """
-    smallest = F.min("node").over(Window.partitionBy("table"))
-    stars = _keys(nodes).withColumn("a", smallest).filter("a <> node")
-    stars = stars.groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("n"))
+    table = Window.partitionBy("table")
+    stars = _keys(nodes).withColumn("a", F.min("node").over(table)).withColumn("last", F.max("node").over(table))
+    # tables of one node go; the smallest node of another is kept, though it proposes itself to nobody
+    stars = stars.filter("a <> last").groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("n"))
     # a node is in GROUPS ** 2 tables, so it has no more proposals than that
-    ranked = F.sort_array(F.collect_list(F.struct("n", "a")), asc=False)
+    ranked = F.sort_array(F.collect_list(F.when(F.col("a") != F.col("b"), F.struct("n", "a"))), asc=False)
     stars = written(stars.groupBy("b").agg(F.slice(ranked, 1, PROPOSALS).alias("best")), "stars")
     pairs = stars.select("b", F.posexplode("best").alias("place", "p")).select("place", F.col("p.a").alias("a"), "b")
-    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "proposed")
+    ends = stars.select(F.col("b").alias("node"))  # all that share a table with another, whatever was cut off
 
     chosen = nodes.join(ends, "node", "left_semi").select(
         "node", F.col("min_key").alias("_key"), F.col("min_hash").alias("_hash")
