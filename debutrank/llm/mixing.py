@@ -23,7 +23,7 @@ SHARE = 1.5
 CAP = 2
 STEPS = 40
 TOLERANCE = 1e-6  # of the target
-CELL_ROWS = 10_000
+PARTS = 1024  # of the hashes of the keys, in which the rows of a cell are numbered
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -122,13 +122,14 @@ def duals(cells: DataFrame, goal: DataFrame, cap: int = CAP, steps: int = STEPS)
 
 
 def _diffuse(cap: int):
-    """Copies per cell of one source: what rounding leaves over goes on to shorter documents.
+    """Copies per cell of one source: what rounding a cell leaves over goes on to the next shorter one.
 
-    A document of a cell is taken ``whole`` times, the first ``extra`` ones once more.
+    A document of a cell is taken ``whole`` times, the first ``extra`` ones once more. A source has one row for
+    each size that occurs in it, as many as its longest document has words at most.
     """
 
     def run(cells: pd.DataFrame) -> pd.DataFrame:
-        cells = cells.sort_values(["size", "part"], ascending=[False, True], kind="stable")
+        cells = cells.sort_values("size", ascending=False, kind="stable")
         copies, owed = [], 0.0
         for size, n, rate in zip(cells["size"].tolist(), cells["n"].tolist(), cells["rate"].tolist()):
             owed += size * n * rate
@@ -136,13 +137,20 @@ def _diffuse(cap: int):
             owed -= copies[-1] * size
         whole, extra = divmod(pd.Series(copies, cells.index, "int64"), cells["n"])
         return pd.DataFrame(
-            {"_s": cells["source"], "_z": cells["size"], "_p": cells["part"], "rate": cells["rate"],
-             "whole": whole, "extra": extra}
-        )
+            {"source": cells["source"], "size": cells["size"], "rate": cells["rate"], "whole": whole, "extra": extra}
+        )
 
     return run
 
 
+def _same(a: DataFrame, b: DataFrame, *columns: str) -> Column:
+    """Equality on the source, null or not, and on ``columns``."""
+    condition = a["source"].eqNullSafe(b["source"])
+    for c in columns:
+        condition = condition & (a[c] == b[c])
+    return condition
+
+
 def take(
     sizes: DataFrame,
     key: str,
@@ -156,65 +164,68 @@ def take(
     (they have one rate). From the longest documents to the shortest, what rounding a cell leaves
     over is carried to the next one, so the words taken differ from the target by about the
     size of a short document; inside the cell extra copies go to the rows first in the order of a
-    hash of ``key``. A cell of more than ``CELL_ROWS`` rows (a hot group of copies) is split by that
-    hash into parts that are treated alike, so no task gets more.
+    hash of ``key``. Rows of a cell are numbered in ``PARTS`` parts of that hash, each from the
+    number of rows in the parts before it, so that a cell with a third of all rows (a hot group of copies)
+    is in no task as a whole, and the order is the same at every size.
 
     A null ``source`` is a source of its own. A null ``size`` counts as 0; empty documents have
     rate 1 or the cap and take nothing. Repeated rows are separate documents. No document is
-    taken more than ``cap`` times. Reruns agree as long as ``key`` tells documents apart.
+    taken more than ``cap`` times. Reruns agree as long as ``key`` tells documents apart. Input columns may
+    have any other names; those named as the ones added are replaced. ``sizes`` is computed once.
     """
-    rows = sizes.withColumn("size", F.coalesce(F.col("size"), F.lit(0)).cast("long"))
+    added = ("source_size", "target", "rate", "copies")
+    others = [c for c in sizes.columns if c not in added]
+    hash_ = F.xxhash64(F.col(f"`{key}`"))
+    rows = sizes.select(
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "source",
+        F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"),
+        hash_.alias("hash"), F.pmod(hash_, F.lit(PARTS)).cast("int").alias("part"), F.col(f"`{key}`").alias("key"),
+    )
+    rows = written(rows, "sizes")
     goal = written(targets(rows, weights, share, cap), "targets")
-    hashed = rows.withColumn("_hash", F.xxhash64(F.col(f"`{key}`")))
-    counted = written(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
-    hot = counted.filter(F.col("n") > CELL_ROWS).select(
-        F.col("source").alias("_s"), F.col("size").alias("_z"),
-        F.ceil(F.col("n") / CELL_ROWS).cast("long").alias("_parts"),
-    )
-    hashed = hashed.join(hot, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
-    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.col("_hash"), F.col("_parts")))
-    hashed = hashed.withColumn("part", part.cast("int")).drop("_s", "_z", "_parts")
+    parts = written(rows.groupBy("source", "size", "part").agg(F.count("*").alias("n")), "parts")
+    cells = written(parts.groupBy("source", "size").agg(F.sum("n").alias("n")), "cells")
 
     # rounded, as the last bits of a distributed sum depend on the order of its rows
-    dual = duals(counted, goal, cap).select(
-        F.col("source").alias("_source"), "mean", "full", F.round("dual", 9).alias("dual")
-    )
-    cells = hashed.groupBy("source", "size", "part").agg(F.count("*").alias("n"))
-    cells = cells.join(dual, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    cells = cells.withColumn("x", F.col("size") / F.greatest(F.col("mean"), F.lit(1e-9)))
-    cells = cells.withColumn("rate", F.when(F.col("full"), F.lit(float(cap))).otherwise(_tilted(cap)))
-    cells = cells.select("source", "size", "part", "n", "rate")
-    cells = cells.groupBy("source").applyInPandas(
-        _diffuse(cap), "_s string, _z long, _p int, rate double, whole long, extra long"
-    )
-    cells = written(cells, "rates")
-    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("part") == F.col("_p"))
-    rows = hashed.join(cells, same)
-    turn = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("_hash", f"`{key}`"))
-    rows = rows.withColumn("copies", (F.col("whole") + (turn <= F.col("extra")).cast("long")).cast("int"))
+    dual = duals(cells, goal, cap).select("source", "mean", "full", F.round("dual", 9).alias("dual"))
+    rated = cells.join(dual, _same(cells, dual)).drop(dual["source"])
+    rated = rated.withColumn("x", F.col("size") / F.greatest(F.col("mean"), F.lit(1e-9)))
+    rated = rated.withColumn("rate", F.when(F.col("full"), F.lit(float(cap))).otherwise(_tilted(cap)))
+    rated = rated.select("source", "size", "n", "rate").groupBy("source")
+    rated = rated.applyInPandas(_diffuse(cap), "source string, size long, rate double, whole long, extra long")
+    rated = written(rated, "rates")
+
+    order = Window.partitionBy("source", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    before = before.join(rated, _same(before, rated, "size")).drop(rated["source"], rated["size"])
+    before = written(before.select("source", "size", "part", "rate", "whole", "extra", "before"), "extras")
+    rows = rows.join(before, _same(rows, before, "size", "part")).drop(before["source"], before["size"], before["part"])
+    turn = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("hash", "key"))
+    extra = (F.col("before") + turn <= F.col("extra")).cast("long")
+    rows = rows.withColumn("copies", (F.col("whole") + extra).cast("int"))
     # one row for each source; Spark broadcasts it only if its file is small
-    goal = goal.select(F.col("source").alias("_source"), "source_size", "target")
-    rows = rows.join(goal, F.col("source").eqNullSafe(F.col("_source")))
-    return rows.select(*[f"`{c}`" for c in sizes.columns], "source_size", "target", "rate", "copies")
+    goal = goal.select("source", "source_size", "target")
+    rows = rows.join(goal, _same(rows, goal)).drop(goal["source"])
+    columns = [F.col("size") if c == "size" else F.col("row").getField(c).alias(c) for c in others]
+    return rows.select(*columns, *added)
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **terms) -> DataFrame:
-    """The rows of ``docs`` in the mix: each as often as it is taken, with all its columns.
+    """The rows of ``docs`` in the mix: each as often as it is taken, with all its columns, whatever their names.
 
-    Repeated rows (same key, source and text) all get the copies of the one that is taken most often.
+    Repeated rows (same key, source and text) all get the copies of the one that is taken most often. Null texts
+    and empty ones have no words; an empty table stays empty.
     """
     narrow = docs.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").cast("string").alias("source"),
         F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"),
     )
     copies = take(word_counts(narrow), "key", **terms).filter("copies > 0")
-    copies = copies.groupBy(
-        F.col("key").alias("_mix_key"), F.col("source").alias("_mix_source"), F.col("text_hash").alias("_mix_hash")
-    ).agg(F.max("copies").alias("_mix_copies"))
-    same = (
-        docs[key].eqNullSafe(F.col("_mix_key"))
-        & docs[source].cast("string").eqNullSafe(F.col("_mix_source"))
-        & (F.xxhash64(docs[text]) == F.col("_mix_hash"))
+    copies = copies.groupBy("key", "source", "text_hash").agg(F.max("copies").alias("copies"))
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"),
+        F.col(f"`{source}`").cast("string").alias("source"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
     )
-    taken = docs.join(copies, same)
-    return taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_copies"))).select(*[docs[c] for c in docs.columns])
+    same = _same(whole, copies, "text_hash") & whole["key"].eqNullSafe(copies["key"])
+    taken = whole.join(copies, same).select("row", F.explode(F.sequence(F.lit(1), "copies")))
+    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

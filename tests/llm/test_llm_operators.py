@@ -167,12 +167,30 @@ def test_rounding_goes_on_to_short_documents(spark):
 
 
 def test_hot_cell_is_split(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "CELL_ROWS", 50)
+    """A cell is numbered in parts of the hash; the words taken do not depend on their number."""
     df = spark.range(600).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(10).cast("long").alias("size"))
-    more = spark.createDataFrame([(1000, "b", 9000)], "doc_id long, source string, size long")
-    got = mixing.take(df.union(more), "doc_id").toPandas()
-    for _, mine in got.groupby("source"):
-        assert abs((mine.copies * mine["size"]).sum() - mine.target.iloc[0]) <= 9000
+    df = df.union(spark.createDataFrame([(1000, "b", 9000)], "doc_id long, source string, size long"))
+    taken = []
+    for parts in (1, 7, 1024):
+        monkeypatch.setattr(mixing, "PARTS", parts)
+        got = mixing.take(df, "doc_id").toPandas()
+        taken.append((got.copies * got["size"]).groupby(got.source).sum().to_dict())
+        for _, mine in got.groupby("source"):
+            assert abs((mine.copies * mine["size"]).sum() - mine.target.iloc[0]) <= 9000
+        assert set(got[got.source == "a"].copies) <= {1, 2}
+    assert taken[0] == taken[1] == taken[2]
+
+
+def test_mix_keeps_any_column(spark):
+    rows = [(i, "ab"[i % 2], i % 5 + 1, 77, "x", "y") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, part int, `_mix.copies` string, row string")
+    got = mixing.take(df, "doc_id")
+    assert got.columns == [*df.columns, "source_size", "target", "rate", "copies"]
+    assert {(r["part"], r["_mix.copies"], r["row"]) for r in got.collect()} == {(77, "x", "y")} and got.count() == 40
+    texts = df.withColumn("text", F.expr("repeat('w ', size)")).withColumn("_mix_copies", F.lit(5)).withColumn("hash", F.lit(3))
+    out = mixing.mix(texts)
+    assert out.columns == texts.columns and {(r["_mix_copies"], r["hash"]) for r in out.collect()} == {(5, 3)}
+    assert set(map(tuple, out.collect())) <= set(map(tuple, texts.collect()))
 
 
 def test_mix_repeats_rows(docs):
@@ -451,8 +469,10 @@ def test_near_duplicates(docs, texts):
     assert [r[0] for r in rows_of(stay, "doc_id")] == want
 
 
-def test_borderline_family(spark):
+@pytest.mark.parametrize("proposals", [1, near_dup.PROPOSALS])  # what is cut off, the prefix filter finds
+def test_borderline_family(spark, monkeypatch, proposals):
     """Copies of one text with up to a third of it changed: some are linked only through others."""
+    monkeypatch.setattr(near_dup, "PROPOSALS", proposals)
     rng = np.random.default_rng(9)
     base = [f"w{i}" for i in range(200)]
     made = []
