@@ -35,6 +35,7 @@ SYLLABLES = {
 _SURNAME = r"\p{Lu}[\p{Ll}]+(?:-\p{Lu}[\p{Ll}]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _FREE, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+_APART, _ENDS = r"(?<![\p{L}\p{N}+])(?<![0-9][-./])", r"(?![\p{L}\p{N}]|[-./][0-9])"
 _names = "|".join(n for names in GIVEN.values() for n in names)
 
 #: Kind of entity -> pattern. Every pattern starts where no letter or digit stands before and does not
@@ -42,15 +43,22 @@ _names = "|".join(n for names in GIVEN.values() for n in names)
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,24}" + _END,
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.[0-9])",
+    "ipv6": r"(?<![\p{L}\p{N}:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    + r"|(?:(?:[0-9A-Fa-f]{1,4}:){2,6}|[Ff][Ee]80:)(?::[0-9A-Fa-f]{1,4}){1,5})(?![\p{L}\p{N}:])",
+    # with a country code; of pairs of digits; of 3, 3 and 4 digits; of an area code from 0 and a number
     "phone": r"(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,5}){2,4}" + _END
+    + r"|(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3} ?(?:\(0\) ?)?[1-9]|0[1-9])(?:[ .-][0-9]{2}){4}" + _END
+    + r"|" + _APART + r"(?:1[-. ])?[0-9]{3}(?:-[0-9]{3}-|\.[0-9]{3}\.)[0-9]{4}" + _ENDS
+    + r"|" + _APART + r"0[1-9][0-9]{1,3}[ /-][0-9]{5,8}" + _ENDS
     + r"|(?<![\p{L}\p{N}])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}" + _END,
     "ssn": _FREE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END,
-    "card": _FREE + r"(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{13,19})" + _END,
-    "iban": _FREE + r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}" + _END,
+    "card": _FREE + r"(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})" + _END,
+    "iban": _FREE + r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}| [A-Z0-9]{4}(?: [0-9]{4}){2,6}(?: [0-9]{1,3})?)" + _END,
     "secret": _FREE + r"(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|[0-9a-f]{32,128}|[0-9A-F]{32,128})" + _END,
     "name": _FREE + rf"(?:(?:{_names}) {_SURNAME}|(?:{'|'.join(TITLES)})\.? {_SURNAME})" + _END,
 }
 SAME_RANGE = 6
+LEAST_BARE = 3  # letters of a surname that is replaced where it stands alone
 NOT_REAL = 12
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _HINT = "[0-9@]|" + _FREE + f"(?:{_names}|{'|'.join(TITLES)})" + _END  # what every entity has
@@ -62,9 +70,9 @@ def _sql(text: str) -> str:
 
 
 def _kind(value: str) -> str:
-    """The kind of a value, that of the first pattern which matches all of it."""
+    """The kind of a value, that of the first pattern which matches all of it; ``bare`` for a part of a name."""
     cases = " ".join(f"WHEN rlike({value}, {_sql(f'^(?:{p})$')}) THEN '{k}'" for k, p in PATTERNS.items())
-    return f"CASE {cases} ELSE 'name' END"
+    return f"CASE {cases} ELSE 'bare' END"
 
 
 def _given_index() -> str:
@@ -93,6 +101,10 @@ def _atoms(kind: str, value: str) -> str:
         WHEN 'secret' THEN array({pair("IF(rlike(" + value + ", '^[0-9a-fA-F]+$'), 'hex', 'secret')",
                                        f"IF(rlike({value}, '^[0-9a-fA-F]+$'), lower({value}), {value})")})
         WHEN 'name' THEN array({pair("'given'", first)}, {pair(f"concat('surname_', {script})", f"lower({last})")})
+        WHEN 'bare' THEN array(IF(try_element_at({_given_index()}, {value}) IS NOT NULL, {pair("'given'", value)},
+                                  {pair(f"concat('surname_', {script})", f"lower({value})")}))
+        WHEN 'iban' THEN array({pair("'iban'", f"replace({value}, ' ', '')")})
+        WHEN 'ipv6' THEN array({pair("'ipv6'", f"lower({value})")})
         ELSE array({pair(kind, value)}) END"""
 
 
@@ -108,7 +120,7 @@ def _chars(atom: str, keep: str = "false") -> str:
     return f"""array_join(transform(sequence(1, length({atom})), i -> CASE
         WHEN {keep} THEN {c}
         WHEN rlike({c}, '[0-9]') THEN string({_draw(10)})
-        WHEN kind = 'hex' THEN substring('abcdef', 1 + {_draw(6)}, 1)
+        WHEN kind IN ('hex', 'ipv6') AND rlike({c}, '[a-f]') THEN substring('abcdef', 1 + {_draw(6)}, 1)
         WHEN rlike({c}, '[a-z]') THEN substring({letters}, 1 + {_draw(26)}, 1)
         WHEN rlike({c}, '[A-Z]') THEN substring(upper({letters}), 1 + {_draw(26)}, 1)
         ELSE {c} END), '')"""
@@ -136,11 +148,16 @@ def _surrogates(atoms: DataFrame, secret: str) -> DataFrame:
     inner = f"""IF(attempt > {SAME_RANGE}, array_join({octet}, '.'), concat(regexp_extract(atom, {_sql(private)}, 0), array_join(slice({octet},
         1 + size(split(regexp_extract(atom, {_sql(private)}, 0), '[.]')) - 1,
         5 - size(split(regexp_extract(atom, {_sql(private)}, 0), '[.]'))), '.')))"""
+    # the first group stays; where the format has few values, later attempts fill the groups
+    group = "IF(i = 0 OR g = '', g, substring(sha2(concat(seed, string(i)), 256), 1, 4))"
+    ipv6 = f"""IF(attempt > {SAME_RANGE}, array_join(transform(split(atom, ':'), (g, i) -> {group}), ':'),
+        {_chars('atom', "i <= instr(atom, ':')")})"""
     # the part after the last point of a domain stays, as does the country of an IBAN
     end = "length(substring_index(atom, '.', -1))"
     cases = [
         ("kind = 'card'", fixed),
         ("kind = 'ip'", inner),
+        ("kind = 'ipv6'", ipv6),
         ("kind = 'phone'", _chars("atom", "i <= 2")),
         ("kind = 'domain'", _chars("atom", f"i >= length(atom) - {end}")),
         ("kind = 'iban'", _chars("atom", "i <= 2")),
@@ -150,7 +167,10 @@ def _surrogates(atoms: DataFrame, secret: str) -> DataFrame:
     ]
     picked = "CASE " + " ".join(f"WHEN {when} THEN {then}" for when, then in cases) + f" ELSE {_chars('atom')} END"
     # where a format has few values, later attempts are longer
-    longer = f"IF(attempt > 3 AND kind IN ('local', 'domain', 'phone'), concat(string({_draw('pow(10, attempt)', '0')}), p), p)"
+    few, digits = "kind IN ('local', 'domain', 'phone')", "string({})".format
+    longer = f"""CASE WHEN attempt > 3 AND {few} THEN concat({digits(_draw('pow(10, least(attempt, 9))', '0'))}, p)
+        WHEN attempt > {NOT_REAL} AND kind IN ('ssn', 'card', 'iban', 'hex', 'secret')
+        THEN concat(p, {digits(_draw('pow(10, least(attempt, 9))', '0'))}) ELSE p END"""
     rows = rows.withColumn("p", F.expr(picked)).withColumn("surrogate", F.expr(longer))
     return rows.select("kind", "atom", "attempt", "surrogate")
 
@@ -177,26 +197,36 @@ def _surname(script: str) -> str:
 def assign(atoms: DataFrame, secret: str) -> DataFrame:
     """(kind, atom, surrogate), one to one within each kind, and never a real atom of that kind.
 
-    ``atoms`` (kind, atom) are distinct. In every step the atoms whose surrogate is taken by another (the
-    smallest keeps it) or is real are drawn again, until none is left. Given names are shifted
+    ``atoms`` (kind, atom) are distinct. In every step the atoms whose surrogate is settled for another, is drawn by
+    a smaller one as well or is real are drawn again, only they, until none is left. Given names are shifted
     within their list, so they are one to one from the start and may be real. So that it ends where a
-    format has hardly more values than the corpus, addresses leave a private range after ``SAME_RANGE``
-    attempts, other short formats get longer, and after ``NOT_REAL`` attempts a real value will do.
+    format has hardly more values than the corpus, addresses leave their range after ``SAME_RANGE``
+    attempts and other formats get longer, the short ones after three attempts and the others after ``NOT_REAL``. There are
+    no longer IPv4 addresses: of these a real one will do after ``NOT_REAL`` attempts.
     """
     shift = F.pmod(F.xxhash64(F.sha2(F.lit(secret), 256)), F.lit(1_000_000)).cast("int")
     state = atoms.withColumn("attempt", F.lit(0)).withColumn("shift", shift)
     real = atoms.select("kind", F.col("atom").alias("surrogate"), F.lit(True).alias("real"))
+    settled = None
     while True:
         drawn = written(_surrogates(state, secret), "surrogates")
         same = Window.partitionBy("kind", "surrogate").orderBy("atom")
-        judged = drawn.join(real, ["kind", "surrogate"], "left").withColumn("turn", F.row_number().over(same))
-        real_too = F.col("real").isNotNull() & (F.col("attempt") < NOT_REAL)
-        again = (F.col("kind") != "given") & ((F.col("turn") > 1) | real_too)
-        judged = written(judged.withColumn("again", again).select(*drawn.columns, "again"), "judged")
-        if judged.filter("again").isEmpty():
-            return judged.select("kind", "atom", "surrogate")
-        attempt = F.col("attempt") + F.col("again").cast("int")
-        state = judged.select("kind", "atom", attempt.alias("attempt"), shift.alias("shift"))
+        judged = drawn.join(real, ["kind", "surrogate"], "left")
+        if settled is None:
+            judged = judged.withColumn("held", F.lit(False))
+        else:
+            held = settled.select("kind", "surrogate", F.lit(True).alias("held"))
+            judged = judged.join(held, ["kind", "surrogate"], "left")
+        real_too = F.col("real").isNotNull() & ((F.col("kind") != "ip") | (F.col("attempt") < NOT_REAL))
+        taken = (F.row_number().over(same) > 1) | F.coalesce("held", F.lit(False)) | real_too
+        judged = judged.withColumn("again", (F.col("kind") != "given") & taken)
+        judged = written(judged.select(*drawn.columns, "again"), "judged")
+        new = judged.filter("NOT again").select("kind", "atom", "surrogate")
+        settled = new if settled is None else settled.unionByName(new)
+        again = judged.filter("again")
+        if again.isEmpty():
+            return settled
+        state = again.select("kind", "atom", (F.col("attempt") + 1).alias("attempt"), shift.alias("shift"))
 
 
 def _render() -> str:
@@ -211,21 +241,37 @@ def _render() -> str:
     filled = f"""concat(array_join(transform(sequence(1, length(value)), i -> IF(
         rlike(substring(value, i, 1), '[0-9]'), substring({digit}, {at}, 1), substring(value, i, 1))), ''),
         substring({digit}, length(regexp_replace(value, '[^0-9]', '')) + 1))"""
-    surname = "IF(value = upper(value), upper(s[1]), initcap(s[1]))"
+    spaced = """array_join(transform(sequence(1, length(value)), i -> IF(substring(value, i, 1) = ' ', ' ',
+        substring(s[0], length(replace(left(value, i), ' ', '')), 1))), '')"""
+    iban = f"concat({spaced}, substring(s[0], length(replace(value, ' ', '')) + 1))"
+    surname = "IF(value = upper(value), upper({0}), initcap({0}))".format
     return f"""CASE kind
         WHEN 'email' THEN concat({local}, '@', {domain})
         WHEN 'phone' THEN {filled} WHEN 'card' THEN {filled} WHEN 'ssn' THEN {filled}
         WHEN 'secret' THEN IF(rlike(value, '^[0-9A-F]+$'), upper(s[0]), s[0])
-        WHEN 'name' THEN concat(s[0], ' ', {surname})
+        WHEN 'name' THEN concat(s[0], ' ', {surname('s[1]')})
+        WHEN 'bare' THEN {surname('s[0]')}
+        WHEN 'iban' THEN {iban}
+        WHEN 'ipv6' THEN {cased('s[0]', 'value')}
         ELSE s[0] END"""
 
 
+def _with_bare_names(found: str) -> str:
+    """The pattern of a document: all entities, and the parts of the names found in it where they stand alone."""
+    full = f"filter({found}, v -> rlike(v, {_sql('^(?:' + PATTERNS['name'] + ')$')}))"
+    givens = f"filter(transform({full}, v -> split(v, ' ')[0]), g -> try_element_at({_given_index()}, g) IS NOT NULL)"
+    surnames = f"filter(transform({full}, v -> element_at(split(v, ' '), -1)), w -> length(w) >= {LEAST_BARE})"
+    parts = f"array_join(array_distinct(concat({givens}, {surnames})), '|')"
+    return f"concat({_sql(ANY + '|' + _FREE + '(?:')}, {parts}, {_sql(')' + _END)})"
+
+
 def surrogate(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Replace the personal data in ``text``; add ``n_entities`` and ``kinds`` (distinct, sorted).
 
     All rows and columns are kept (columns with the names added are replaced). Equal entities have
     equal surrogates in all documents, under one ``secret``; addresses agree in their domains, phone and
-    card numbers by their digits, names in given name and surname. Different atoms have
+    card numbers by their digits, names in given name and surname. In a document with a name its given name and its
+    surname (of ``LEAST_BARE`` letters or more) are also replaced where they stand alone, above and below. Different atoms have
     different surrogates, and no surrogate is an atom that occurs. Kept are: separators, length and
     case; the top-level domain; the first digit of phone and card numbers and whether a card's
     check digit is right; private address ranges; prefixes of secrets; script and gender of given names.
@@ -240,7 +286,13 @@ def surrogate(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "te
     none = rows.filter(~has).withColumn("n_entities", F.lit(0)).withColumn("kinds", F.array().cast("array<string>"))
     some = rows.filter(has)
     some = some.withColumn("_found", F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0)))
-    some = some.withColumn("_rest", F.split(F.col(f"`{text}`"), ANY, -1))
+    # a document with names is searched once more, for the parts of these names that stand alone
+    some = some.withColumn("_pattern", F.expr(_with_bare_names("_found")))
+    named = ~F.col("_pattern").endswith("(?:)" + _END)
+    again = F.regexp_extract_all(F.col(f"`{text}`"), F.col("_pattern"), F.lit(0))
+    some = some.withColumn("_found", F.when(named, again).otherwise(F.col("_found")))
+    some = some.withColumn("_pattern", F.when(named, F.col("_pattern")).otherwise(ANY))
+    some = some.withColumn("_rest", F.split(F.col(f"`{text}`"), F.col("_pattern"), -1)).drop("_pattern")
     some = written(some.withColumn("_row", F.monotonically_increasing_id()), "entities")
 
     values = some.select(F.explode("_found").alias("value")).distinct()
@@ -258,7 +310,7 @@ def surrogate(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "te
     used = some.select("_row", F.posexplode("_found").alias("at", "value")).join(new, "value")
     used = used.groupBy("_row").agg(
         F.sort_array(F.collect_list(F.struct("at", "new"))).alias("_new"),
-        F.sort_array(F.collect_set("kind")).alias("kinds"),
+        F.sort_array(F.collect_set(F.expr("IF(kind = 'bare', 'name', kind)"))).alias("kinds"),
     )
     filled = F.transform("_new", lambda x: x["new"])
     whole = F.array_join(

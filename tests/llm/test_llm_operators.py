@@ -540,6 +540,60 @@ def test_surrogates(spark, docs):
     assert set(docs.columns) <= set(kept.columns) and kept.count() == docs.count()
 
 
+FORMS = (  # kind, form, what stays of it
+    ("phone", "555-123-4567"), ("phone", "415.555.0132"), ("phone", "1-800-555-1234"), ("phone", "030 1234567"),
+    ("phone", "+33 6 12 34 56 78"), ("phone", "06 12 34 56 78"), ("card", "3782 822463 10005"),
+    ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB29 NWBK 6016 1331 9268 19"), ("iban", "DE89370400440532013000"),
+    ("ipv6", "2001:db8:85a3::8a2e:370:7334"), ("ipv6", "fe80::1ff:fe23:4567:890a"),
+    ("ipv6", "2001:0DB8:0000:0000:0000:FF00:0042:8329"),
+)
+
+
+def shape(text):
+    return "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in text)
+
+
+def test_surrogates_of_more_forms(spark):
+    rows = [(i, f"see {form}, then on") for i, (_, form) in enumerate(FORMS)]
+    clean = ["at 12:30:45 or 2024-05-06", "std::vector and a::b", "version 1.2.3, 10 000 people, 555-1234", "ISBN 978-3-16-148410-0"]
+    rows += [(100 + i, t) for i, t in enumerate(clean)]
+    out = pii.surrogate(spark.createDataFrame(rows, "doc_id long, text string"), "s").collect()
+    got = {r["doc_id"]: r for r in out}
+    for i, (kind, form) in enumerate(FORMS):
+        text = got[i]["text"]
+        assert got[i]["kinds"] == [kind] and text.startswith("see ") and text.endswith(", then on"), form
+        new = text[4:-9]
+        same = shape(new) == shape(form) if kind != "ipv6" else len(new) == len(form) and new.count(":") == form.count(":")
+        assert new != form and same, (form, new)
+    assert got[7]["text"].replace(" ", "") == got[9]["text"].replace(" ", "")  # one account, however it is written
+    assert [got[100 + i]["text"] for i in range(len(clean))] == clean
+
+
+def test_names_that_stand_alone(spark):
+    rows = [
+        (1, "Miller came. John Miller said hi. Miller added, and John's MILLERS; Millers stay. Herr Ott, Ott!"),
+        (2, "Miller and Ott are not named in full here, on page 2."),
+        (3, "Mary Miller met Miller-Ott. Иван Петров: Петров"),
+    ]
+    out = pii.surrogate(spark.createDataFrame(rows, "doc_id long, text string"), "s").collect()
+    got = {r["doc_id"]: r for r in out}
+    words = got[1]["text"].replace(".", "").replace(",", "").split()
+    assert words[0] == words[3] == words[6] and words[0] != "Miller" and words[2] in pii.GIVEN["latin", "m"]
+    assert words[9] == words[2] + "'s" and "Millers stay" in got[1]["text"] and "John" not in got[1]["text"]
+    assert "Ott" not in got[1]["text"] and got[1]["n_entities"] == 6 and got[1]["kinds"] == ["name"]
+    assert got[2]["text"] == rows[1][1] and got[2]["n_entities"] == 0
+    assert f"met {words[0]}-Ott" in got[3]["text"] and "Петров" not in got[3]["text"]
+
+
+def test_surrogates_of_full_formats(spark):
+    """More atoms than a format has free values: the rest leave it, and all stay apart."""
+    atoms = [("ipv6", f"fe80::{x}") for x in "0123456789abcdef"] + [("phone", f"{x}") for x in range(100, 200)]
+    got = pii.assign(spark.createDataFrame(atoms, "kind string, atom string"), "s").collect()
+    assert sorted((r["kind"], r["atom"]) for r in got) == sorted(atoms)
+    assert len({(r["kind"], r["surrogate"]) for r in got}) == len(atoms)
+    assert not {(r["kind"], r["surrogate"]) for r in got} & set(atoms)
+
+
 def test_surrogates_are_one_to_one(spark):
     atoms = [("local", c) for c in "abcdefghijklmnopqrstuvwxyz"] + [("ssn", f"{i:09d}") for i in range(300)]
     atoms += [("given", n) for n in pii.GIVEN["latin", "f"]]
