@@ -139,8 +139,11 @@ def contamination(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """The rows of ``docs`` without a hit, with all their columns."""
+    """The rows of ``docs`` without a hit, with all their columns, whatever their names.
+
+    Null and empty texts stay. Equal rows, also those of a null key, stay or go together; an empty benchmark takes nothing.
+    """
     hit = contamination(docs, benchmark, key, text, **names).filter("n_hit > 0")
     hit = hit.select(F.col(key).alias("_hit_key"), F.col("text_hash").alias("_hit_hash")).distinct()
-    same = docs[key].eqNullSafe(F.col("_hit_key")) & (F.xxhash64(docs[text]) == F.col("_hit_hash"))
+    same = docs[key].eqNullSafe(hit["_hit_key"]) & (F.xxhash64(docs[text]) == hit["_hit_hash"])
     return docs.join(hit, same, "left_anti")

@@ -297,8 +297,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each component, with all their columns."""
+    """The rows of ``docs`` that stay, one document of each component, with all their columns, whatever their names.
+
+    Texts without words are no one's duplicates and stay, as do the rows of a component without any key. Rows with the
+    key and text of the one that stays all stay; an empty table stays empty.
+    """
     gone = near_duplicates(docs, key, text).filter("NOT kept")
     gone = gone.select(F.col(key).alias("_gone_key"), F.col("text_hash").alias("_gone_hash")).distinct()
-    same = docs[key].eqNullSafe(F.col("_gone_key")) & (F.xxhash64(docs[text]) == F.col("_gone_hash"))
+    same = docs[key].eqNullSafe(gone["_gone_key"]) & (F.xxhash64(docs[text]) == gone["_gone_hash"])
     return docs.join(gone, same, "left_anti")

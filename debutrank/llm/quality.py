@@ -176,7 +176,10 @@ def rate(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def keep(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows that ``rate`` keeps, with the columns of ``docs`` as they were."""
+    """The rows that ``rate`` keeps, with the columns of ``docs`` as they were, whatever their names.
+
+    Null and empty texts have too few words and go; equal rows stay or go together; an empty table stays empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,7 +4,7 @@ import pytest
 
 CLASHING = (
     "key text_hash size shard slot row kept n_words node place component rate copies spans "
-    "number part anchor bucket item window kinds target"
+    "number part anchor bucket item window kinds target _hit_key _gone_hash _mix_copies before hash held"
 ).split()
 
 
