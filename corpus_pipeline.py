@@ -1,6 +1,7 @@
 """A training corpus from ``documents``: quality, near-duplicates, decontamination, mixing, shards.
 
-Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept.
+Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All of them keep the columns
+of ``docs``, whatever their names, give an empty table for an empty one, and treat a null text as an empty one.
 """
 
 from __future__ import annotations
@@ -14,29 +15,46 @@ SHARDS = 8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression bands and the counted rules keep."""
+    """Documents that the compression bands and the counted rules keep.
+
+    Every row is judged by its own text: null and empty texts go (too few words), equal rows stay or go together.
+    """
     kept = quality.keep(docs)
     return kept.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates."""
+    """One document, that of the smallest id, of each group of near-duplicates.
+
+    Texts without words and rows of a group without any id stay; rows with equal id and text stay or go together.
+    """
     return near_dup.deduplicate(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item.
+
+    Null and empty texts stay, and so does everything if the benchmark has no words; equal rows stay or go together.
+    """
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontam.decontaminate(docs, benchmark)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, none to twice.
+
+    A null source is a source of its own; texts without words add none and may be left out. Rows with equal
+    id, source and text are all taken as often as the one of them that is taken most.
+    """
     return mixing.mix(docs)
 
 
 def sharding_by_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their shard and their slot in it."""
+    """All rows with their size, their shard and their slot in it, in the order of the ids.
+
+    Every row is placed, equal ones too, in shards of nearly equal bytes; a null text has the size 1. Input columns named
+    ``size``, ``shard`` or ``slot`` are replaced.
+    """
     return sharding.shard_by_bytes(docs, ["doc_id"], SHARDS)
 
 
