@@ -54,9 +54,12 @@ def nest(
         entity, F.lit(0).alias("part"), period, F.struct(*stats).alias("all")
     )
     # Both kinds of rows in one aggregation: joining them on the entity would bring
-    # all parts of a large one together again. Missing games make an empty map.
+    # all parts of a large one together again. Missing games make an empty map. Lists get no
+    # shorter by partial results, so the rows are dealt out once, by document, for both aggregations.
+    document = [entity, "part"] if parts > 1 else [entity]
     seasons = (
         game_rows.unionByName(stat_rows, allowMissingColumns=True)
+        .repartition(*document)
         .groupBy(entity, "part", period)
         .agg(
             F.map_from_entries(F.sort_array(F.collect_list("_game"))).alias("games"),

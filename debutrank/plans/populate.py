@@ -141,15 +141,19 @@ def documents(
     return numbered_documents(nested, members, kept_numbers)
 
 
-def numbered_documents(nested: DataFrame, members: DataFrame, kept_numbers: str | None = None) -> DataFrame:
+def numbered_documents(
+    nested: DataFrame, members: DataFrame, kept_numbers: str | None = None, entities: DataFrame | None = None
+) -> DataFrame:
     """Documents with a dense number, and college and state or the labels for missing ones.
 
     With ``kept_numbers``, the path of a table that goes from load to load, an entity keeps its number.
-    A player without a row in ``members`` keeps the document. The documents are written first:
-    they are read for the numbers and for the join.
+    A player without a row in ``members`` keeps the document. ``entities``: all entities of the documents, each once,
+    from a table that is cheaper to read. Without it the documents are written first: they are read for the numbers
+    and for the join.
     """
-    nested = written(nested, "nested")
-    entities = nested.select("entity").distinct()
+    if entities is None:
+        nested = written(nested, "nested")
+        entities = nested.select("entity").distinct()
     if kept_numbers:
         numbers = number_stored(entities, kept_numbers, "entity").join(entities, "entity", "left_semi")
     else:

@@ -30,10 +30,10 @@ def build_documents(spark, sf_dir):
         F.concat_ws("-", *_LINE_KEY).alias("game"),
         *_FIELDS,
     )
-    nested = docs.nest(
-        games, seasons(spark, sf_dir), "entity", "period", "game", _FIELDS, STATS
-    )
-    return numbered_documents(nested, members(spark, sf_dir))
+    rows = seasons(spark, sf_dir)
+    nested = docs.nest(games, rows, "entity", "period", "game", _FIELDS, STATS)
+    # every order line with an order is in a season, so these are the entities of all documents
+    return numbered_documents(nested, members(spark, sf_dir), entities=rows.select("entity").distinct())
 
 
 def documents(spark, sf_dir):

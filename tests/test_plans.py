@@ -9,7 +9,7 @@ from debutrank.categories import CATEGORIES
 from debutrank.operators import dedupe, documents, ranking, runs, scoring
 from debutrank import session
 from debutrank.operators.scoring import score_entities
-from debutrank.plans import rankings
+from debutrank.plans import populate, rankings
 from debutrank.session import written
 from debutrank.testbed import seasons as testbed
 from debutrank.testbed.queries import QUERIES
@@ -193,3 +193,27 @@ def test_season_table_shuffles(spark, sf_dir):
     by_order = [k for k in keys if len(k) == 1]
     assert sorted(k for k in keys if len(k) > 1) == sorted([season, season, word])
     assert set(by_order) == {("l_orderkey",), ("o_orderkey",)}
+
+
+def test_documents_are_dealt_out_once(spark):
+    games = spark.range(100).selectExpr("id % 7 AS entity", "cast(id % 3 AS int) AS period", "cast(id AS string) AS g", "id")
+    stats = games.groupBy("entity", "period").agg(F.count("*").alias("n"))
+    for parts, dealt_by in ((1, "entity"), (5, "entity.*part")):
+        plan = plan_of(documents.nest(games, written(stats, "stats"), "entity", "period", "g", ["id"], ["n"], parts))
+        assert re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan) and plan.count("Exchange") == 1
+        assert re.search(rf"Exchange hashpartitioning\({dealt_by}", plan)
+
+
+def test_numbering_known_entities_writes_no_documents(spark, monkeypatch):
+    games = spark.range(40).selectExpr("id % 5 AS entity", "cast(id % 2 AS int) AS period", "cast(id AS string) AS g", "id")
+    stats = games.groupBy("entity", "period").agg(F.count("*").alias("n"))
+    nested = documents.nest(games, stats, "entity", "period", "g", ["id"], ["n"])
+    members = spark.createDataFrame([(1, "g", "r"), (2, "h", None)], "entity long, grp string, region string")
+    expected = populate.numbered_documents(nested, members)
+    labels = []
+    monkeypatch.setattr(populate, "written", lambda df, label: labels.append(label))
+    got = populate.numbered_documents(nested, members, entities=stats.select("entity").distinct())
+    assert not labels
+    columns = ["player_id", "college", "state", "number", F.size("seasons").alias("n")]
+    assert sorted(got.select(*columns).collect()) == sorted(expected.select(*columns).collect())
+    assert {r.number for r in got.collect()} == set(range(5))
