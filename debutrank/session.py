@@ -67,7 +67,9 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def written(
+    df: DataFrame, label: str, partition_by: str | None = None, compression: str = "snappy"
+) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage so that several consumers share one computation, survives the
@@ -76,7 +78,7 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    writer = df.write
+    writer = df.write.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

@@ -176,7 +176,9 @@ def forget() -> None:
 def _once(spark: SparkSession, sf_dir: str, name: str, build, by: str | None = None) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        _stored[key] = bucketed(build(), name, [by]) if by else written(build(), name)
+        _stored[key] = (
+            bucketed(build(), name, [by], compression="zstd") if by else written(build(), name, compression="zstd")
+        )
     return _stored[key]
 
 
