@@ -66,14 +66,16 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Sums over the lines of an order, then over the orders of a season, in steps of 1/10000: whole
-# numbers add up exactly, in any order, and in generated code.
+# numbers add up exactly, in any order, and in generated code. The classes of lines do not overlap, so most
+# are empty in an order and take little room in the shuffle; what is asked for is added up from them.
+_F = "coalesce(l_linestatus = 'F', false)"
 _STEPS = {
-    "q": "quantity",
-    "q_f": "CASE WHEN l_linestatus = 'F' THEN quantity END",
-    "q_n": "CASE WHEN l_returnflag = 'N' THEN quantity END",
-    "q_nf": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN quantity END",
-    "q_o": "CASE WHEN l_returnflag <> 'N' THEN quantity END",
-    "q_of": "CASE WHEN l_returnflag <> 'N' AND l_linestatus = 'F' THEN quantity END",
+    "q_nf": f"CASE WHEN l_returnflag = 'N' AND {_F} THEN quantity END",
+    "q_nx": f"CASE WHEN l_returnflag = 'N' AND NOT {_F} THEN quantity END",
+    "q_of": f"CASE WHEN l_returnflag <> 'N' AND {_F} THEN quantity END",
+    "q_ox": f"CASE WHEN l_returnflag <> 'N' AND NOT {_F} THEN quantity END",
+    "q_uf": f"CASE WHEN l_returnflag IS NULL AND {_F} THEN quantity END",
+    "q_ux": f"CASE WHEN l_returnflag IS NULL AND NOT {_F} THEN quantity END",
     "d": "discount",
     "t": "tax",
     "p": "price",
@@ -82,10 +84,18 @@ _COUNTS = {
     "c": "count(*)",
     "r_o": "count_if(l_returnflag = 'R' AND l_linestatus <> 'F')",
     "r_f": "count_if(l_returnflag = 'R' AND l_linestatus = 'F')",
-    "r": "count_if(l_returnflag = 'R')",
+    "r_u": "count_if(l_returnflag = 'R' AND l_linestatus IS NULL)",
     "big": "count_if(discount >= 800)",
     "a_f": "count_if(l_returnflag = 'A' AND l_linestatus = 'F')",
-    "a": "count_if(l_returnflag = 'A')",
+    "a_x": f"count_if(l_returnflag = 'A' AND NOT {_F})",
+}
+_TOTALS = {
+    "q": ["q_nf", "q_nx", "q_of", "q_ox", "q_uf", "q_ux"],
+    "q_f": ["q_nf", "q_of", "q_uf"],
+    "q_n": ["q_nf", "q_nx"],
+    "q_o": ["q_of", "q_ox"],
+    "r": ["r_o", "r_f", "r_u"],
+    "a": ["a_f", "a_x"],
 }
 
 # Numbers of lines up to 63 are the bits of a word of their order; those beyond, if any, are counted with the suppliers.
@@ -156,12 +166,15 @@ def build_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"bit_count({_NEAR_LINES}) AS near_lines"),
     )
     sums = per_order.join(orders, same).groupBy(*keys).agg(
-        *[F.expr(f"coalesce(sum({n}), 0L) / 10000D AS {n}") for n in _STEPS],
+        *[F.expr(f"coalesce(sum({n}), 0L) AS {n}") for n in _STEPS],
         F.expr("coalesce(sum(4L * p - order_price * c), 0L) / 40000D AS pm"),
         *[F.sum(n).alias(n) for n in _COUNTS],
         F.sum(F.coalesce("near_lines", F.lit(0))).alias("near_lines"),
         F.count("*").alias("n"),
     )
+    sums = sums.withColumns({n: F.expr(" + ".join(classes)) for n, classes in _TOTALS.items()})
+    steps = [*_STEPS, *(n for n in _TOTALS if n.startswith("q"))]
+    sums = sums.withColumns({n: F.expr(f"{n} / 10000D") for n in steps})
     narrow = lines.selectExpr("l_orderkey", "l_suppkey", _FAR_LINE).join(orders.drop("order_price"), same)
     numbers = distinct_counts(words(narrow, keys, _DISTINCT), keys, list(_DISTINCT))
     parts = sums.join(numbers, keys, "left").withColumn("nl", F.expr("near_lines + coalesce(far_lines, 0)"))

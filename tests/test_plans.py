@@ -217,3 +217,21 @@ def test_numbering_known_entities_writes_no_documents(spark, monkeypatch):
     columns = ["player_id", "college", "state", "number", F.size("seasons").alias("n")]
     assert sorted(got.select(*columns).collect()) == sorted(expected.select(*columns).collect())
     assert {r.number for r in got.collect()} == set(range(5))
+
+
+def test_season_sums_have_one_class_for_a_line(spark):
+    """Classes that overlap carry the same sum through the shuffle more than once."""
+    flags = spark.sql(
+        "SELECT * FROM VALUES ('N'), ('A'), ('R'), (NULL) AS f(l_returnflag), VALUES ('F'), ('O'), (NULL) AS s(l_linestatus)"
+    ).withColumn("quantity", F.lit(5))
+    parts = [n for n in testbed._STEPS if n.startswith("q")]
+    rows = flags.select("l_returnflag", "l_linestatus", *[F.expr(testbed._STEPS[n]).alias(n) for n in parts]).collect()
+    assert len(rows) == 12 and all([r[n] for n in parts].count(5) == 1 for r in rows)
+    for name, asked in (
+        ("q", lambda f, s: True),
+        ("q_f", lambda f, s: s == "F"),
+        ("q_n", lambda f, s: f == "N"),
+        ("q_o", lambda f, s: f is not None and f != "N"),
+    ):
+        for r in rows:
+            assert any(r[n] for n in testbed._TOTALS[name]) == asked(r.l_returnflag, r.l_linestatus)
